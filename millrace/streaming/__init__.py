@@ -1,0 +1 @@
+"""Empty on purpose: every input and output of this library is a batch table."""
