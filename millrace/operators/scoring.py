@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,20 +26,19 @@ def score_with(
     """Add the predictions of a Python model as a double column, one per row.
 
     ``predict_fn`` takes a pandas frame of the feature columns and returns one number per row. It
-    is broadcast, so each executor receives it once. Only the feature columns travel to Python, in
-    Arrow batches; all other columns stay in the JVM.
+    is broadcast in pickled form, so each executor receives it once and each task unpacks it once.
+    Only the feature columns travel to Python, in Arrow batches; all others stay in the JVM.
     """
-    model = df.sparkSession.sparkContext.broadcast(predict_fn)
+    packed = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(predict_fn))
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = cloudpickle.loads(packed.value)
         for frame in frames:
-            predictions = pd.Series(model.value(frame), dtype="float64").reset_index(drop=True)
+            predictions = pd.Series(predict(frame), dtype="float64").reset_index(drop=True)
             if len(predictions) != len(frame):
                 raise ValueError(f"{len(predictions)} predictions for {len(frame)} rows")
             yield predictions
 
-    # The annotations above are text here, so the UDF kind is stated by real types.
-    batches.__annotations__ = {"frames": Iterator[pd.DataFrame], "return": Iterator[pd.Series]}
     scored = F.pandas_udf(batches, "double")
     features = F.struct(*(F.col(f"`{c}`") for c in feature_cols))
     return df.withColumn(output, scored(features))
