@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # At most this many values of a column are sorted inside one task; above it the search narrows.
-SORT_LIMIT = 500_000
-SKETCH_ACCURACY = 20_000
-GRID_STEPS = 4_000
+SORT_LIMIT = 1_000_000
+# About this many values are drawn to propose the next interval.
+PROPOSAL_SIZE = 1_000_000
+PROPOSAL_STEPS = 1_000
+PROPOSAL_ACCURACY = 10_000
+# Rank error of 1/1000 for approximate medians: every task sends its whole sketch to one task.
+APPROX_ACCURACY = 1_000
 
 
 def _present(df: DataFrame, name: str) -> Column:
@@ -36,6 +40,7 @@ class _MedianSearch:
     n: int = 0
     rank: int = 0
     before: int = 0
+    expected: float | None = None
     sortable: bool = False
     lower: float | None = None
     upper: float | None = None
@@ -66,8 +71,16 @@ class _MedianSearch:
             none if self.high is None else F.count_if(column > high),
         )
 
+    def proposal(self, column: Column, draw: Column, size: int) -> Column:
+        """Evenly spaced quantiles of about ``size`` random values of the interval."""
+        if self.expected is None:
+            return F.lit(None).cast("array<double>")
+        steps = F.lit([step / PROPOSAL_STEPS for step in range(PROPOSAL_STEPS + 1)])
+        drawn = F.when(draw < F.lit(size / max(self.expected, 1.0)), self.interior(column))
+        return F.percentile_approx(drawn, steps, PROPOSAL_ACCURACY)
+
     def learn(
-        self, counts: Sequence[int], grid: Sequence[float] | None, sort_limit: int, accuracy: int
+        self, counts: Sequence[int], quantiles: Sequence[float] | None, sort_limit: int, size: int
     ) -> None:
         """Take in one pass: settle the value, stop for the final sort, or choose an interval."""
         below, on_low, inside, on_high, above = counts
@@ -80,60 +93,69 @@ class _MedianSearch:
         if self.rank < below:
             self.high = self.outer_high = self.low
             self.low = self.outer_low
+            self.expected = below
         elif self.rank < self.before:
             self.lower = self.low
         elif self.rank < self.before + inside:
-            if inside <= sort_limit:
-                self.sortable = True
-                return
-            self.outer_low, self.outer_high = self.low, self.high
-            steps = len(grid) - 1
-            # A sketch rank may be off by inside / accuracy; leave room on both sides.
-            slack = 2.0 / accuracy
-            at = (self.rank - self.before) / inside
-            self.low = grid[max(0, math.floor((at - slack) * steps))]
-            self.high = grid[min(steps, math.ceil((at + slack) * steps))]
+            self.sortable = inside <= sort_limit
+            self.expected = inside
+            if quantiles and not self.sortable:
+                self._cut((self.rank - self.before) / inside, quantiles, size)
         elif self.rank < self.before + inside + on_high:
             self.lower = self.high
         else:
             self.low = self.outer_low = self.high
             self.high = self.outer_high
+            self.expected = above
+
+    def _cut(self, at: float, quantiles: Sequence[float], size: int) -> None:
+        """Keep the part of the interval around the share ``at`` of its values."""
+        # Five standard errors of a sample quantile, and the error of the sketch.
+        slack = 2.5 / math.sqrt(size) + 2.0 / PROPOSAL_ACCURACY
+        first = max(0, math.floor((at - slack) * PROPOSAL_STEPS))
+        last = min(PROPOSAL_STEPS, math.ceil((at + slack) * PROPOSAL_STEPS))
+        self.outer_low, self.outer_high = self.low, self.high
+        self.low, self.high = quantiles[first], quantiles[last]
+        self.expected *= (last - first) / PROPOSAL_STEPS
 
 
 def exact_medians(
     df: DataFrame,
     columns: Sequence[str],
     sort_limit: int = SORT_LIMIT,
-    accuracy: int = SKETCH_ACCURACY,
-    steps: int = GRID_STEPS,
+    proposal_size: int = PROPOSAL_SIZE,
 ) -> dict[str, float | None]:
     """Exact median of each column; missing values are skipped, no values give None.
 
     ``median`` itself gathers every distinct value of a column in one task. Here each pass is a
-    plain scan of the columns that returns five counts and a bounded quantile sketch for each. The
-    sketch only proposes an interval around the middle; the next pass counts what really lies
-    below, on, inside and above it, so the answer does not depend on the sketch being right. An
-    interval keeps about two grid steps of the values it was cut from, and at most ``sort_limit``
-    values per column are sorted in the end. All columns share each pass.
+    plain scan of the columns that counts, over all rows, how many values lie below, on, inside and
+    above an interval around the middle. The interval of the next pass is read off the quantiles of
+    some random values of this one. That is a guess only: the counts of the next pass show where
+    the middle really is, so the result is exact even where the guess was wrong. A guess keeps under
+    one percent of the values, and at most ``sort_limit`` values per column are sorted in the end:
+    two passes for up to ``sort_limit`` rows, six or seven for 10^12. All columns share each pass.
     """
     if not columns:
         return {}
     scan = df.select(*(_present(df, c).cast("double").alias(c) for c in columns))
     values = {c: F.col(f"`{c}`") for c in columns}
     searches = {c: _MedianSearch() for c in columns}
-    grid = F.lit([step / steps for step in range(steps + 1)])
 
     active = list(columns)
     while active:
-        row = scan.agg(
-            *(searches[c].counts(values[c]).alias(f"n{i}") for i, c in enumerate(active)),
-            *(
-                F.percentile_approx(searches[c].interior(values[c]), grid, accuracy).alias(f"g{i}")
-                for i, c in enumerate(active)
-            ),
-        ).first()
+        row = (
+            scan.withColumn("_draw", F.rand())
+            .agg(
+                *(searches[c].counts(values[c]).alias(f"n{i}") for i, c in enumerate(active)),
+                *(
+                    searches[c].proposal(values[c], F.col("_draw"), proposal_size).alias(f"q{i}")
+                    for i, c in enumerate(active)
+                ),
+            )
+            .first()
+        )
         for i, c in enumerate(active):
-            searches[c].learn(row[f"n{i}"], row[f"g{i}"], sort_limit, accuracy)
+            searches[c].learn(row[f"n{i}"], row[f"q{i}"], sort_limit, proposal_size)
         active = [c for c in active if searches[c].searching]
 
     _read_middles(scan, values, {c: s for c, s in searches.items() if s.n})
@@ -193,7 +215,7 @@ def column_statistics(
     fills: dict[str, float | None] = {c: r for c, r in rules.items() if not isinstance(r, str)}
     one_pass = {c: F.avg(_present(df, c)) for c, r in rules.items() if r == "mean"}
     if approx:
-        one_pass |= {c: F.percentile_approx(_present(df, c), 0.5, SKETCH_ACCURACY) for c in medians}
+        one_pass |= {c: F.percentile_approx(_present(df, c), 0.5, APPROX_ACCURACY) for c in medians}
     else:
         fills |= exact_medians(df, medians)
     if one_pass:

@@ -24,15 +24,14 @@ def _number_staged(staged: DataFrame, block: Sequence[str], line: str, name: str
     sizes = staged.groupBy(*block).agg(
         F.count(F.lit(1)).alias("_size"), F.min(line).alias("_first")
     )
-    sizes = stage(sizes, "blocks")
-    n_blocks = sizes.count()
     # One row per block, not per data row, so one task can hold the running sum.
     earlier = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *block,
         (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    if n_blocks <= BROADCAST_BLOCKS:
+    offsets = stage(offsets, "offsets")
+    if offsets.count() <= BROADCAST_BLOCKS:
         offsets = F.broadcast(offsets)
     numbered = staged.join(offsets, list(block), "inner")
     data = [F.col(f"`{c}`") for c in staged.columns if c not in (*block, line)]
@@ -56,12 +55,15 @@ def add_sequential_key(
     return _number_staged(stage(placed, "sorted"), ["_part"], "_place", name)
 
 
-def number_file_rows(df: DataFrame, name: str = "id") -> DataFrame:
+def number_file_rows(df: DataFrame, name: str = "id", stored: bool = False) -> DataFrame:
     """Number rows 1..n in file order, files by name, without any sort.
 
-    ``df`` is the result of ``read_raw_csv(..., with_position=True)``, with no rows removed.
+    ``df`` holds the rows of ``read_raw_csv(..., with_position=True)``, none of them removed. They
+    are written once, because a second reading of the text might cut it into other blocks; with
+    ``stored=True`` they already come from a written table.
     """
-    return _number_staged(stage(df, "placed"), [FILE, BLOCK], LINE, name)
+    placed = df if stored else stage(df, "placed")
+    return _number_staged(placed, [FILE, BLOCK], LINE, name)
 
 
 def zip_by_position(
@@ -87,11 +89,16 @@ def attach_by_key(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 
 def repeat_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the values of a one-row frame on every row of ``df``.
+    """Put the values of a frame of exactly one row on every row of ``df``.
 
-    The values are scalar subqueries: evaluated once and used as constants. More than one row is an
-    error; no row gives NULLs.
+    The row is a scalar subquery: evaluated once, then used as a constant. Any other number of rows
+    stops the query.
     """
-    return df.select(
-        "*", *(one_row.select(F.col(f"`{c}`")).scalar().alias(c) for c in one_row.columns)
+    packed = F.first(F.struct(*(F.col(f"`{c}`") for c in one_row.columns)))
+    rows = F.count(F.lit(1))
+    message = F.concat(F.lit("expected one row to repeat, found "), rows.cast("string"))
+    checked = one_row.agg(F.when(rows == 1, packed).otherwise(F.raise_error(message)).alias("row"))
+    repeated = df.withColumn("_row", checked.scalar())
+    return repeated.select(
+        *(F.col(f"`{c}`") for c in df.columns), *(F.col("_row")[c].alias(c) for c in one_row.columns)
     )

@@ -91,8 +91,6 @@ def attach_predictions(
     if not isinstance(predictions, DataFrame):
         return df.withColumn(output, F.lit(float(predictions)))
     if key not in predictions.columns:
-        if len(predictions.limit(2).collect()) != 1:
-            raise ValueError(f"predictions without the column {key} must be exactly one row")
         return repeat_row(df, predictions)
     check_same_rows(df, predictions, key)
     return attach_by_key(df, predictions, key)

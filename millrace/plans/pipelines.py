@@ -67,7 +67,7 @@ def clean_table(
     typed = stage(typed.select(*(F.col(f"`{c}`") for c in wanted)), "typed")
     filled = impute(typed, fills)
     if order_keys is None:
-        numbered = number_file_rows(filled, columns.key)
+        numbered = number_file_rows(filled, columns.key, stored=True)
     else:
         numbered = add_sequential_key(filled, order_keys, columns.key)
     return select_features(numbered, columns.cat, columns.num, columns.target, columns.key)
