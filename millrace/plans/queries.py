@@ -215,12 +215,12 @@ def zip_by_position(spark, sf_dir):
 
 
 @_query(
-    "SELECT o_orderkey, round((SELECT avg(c_acctbal) FROM customer), 4) AS mean_balance, "
+    "SELECT o_orderkey, round((SELECT avg(c_acctbal) FROM customer), 6) AS mean_balance, "
     "(SELECT count(*) FROM customer) AS n_customers FROM orders"
 )
 def repeat_row(spark, sf_dir):
     one_row = _read(spark, sf_dir, "customer").agg(
-        F.round(F.avg("c_acctbal"), 4).alias("mean_balance"), F.count("*").alias("n_customers")
+        F.round(F.avg("c_acctbal"), 6).alias("mean_balance"), F.count("*").alias("n_customers")
     )
     return keys.repeat_row(_read(spark, sf_dir, "orders").select("o_orderkey"), one_row)
 
@@ -730,7 +730,7 @@ def registry_score(spark, sf_dir):
     "AS v, user_id, row_number() OVER (ORDER BY ts, event_id) AS id FROM typed), "
     "parted AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42:' || id), CAST(id AS VARCHAR)) "
     "<= ceil((SELECT count(*) FROM events) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS part "
-    "FROM numbered) SELECT part, event_type, count(*) AS n, round(avg(v), 4) AS mean_value, "
+    "FROM numbered) SELECT part, event_type, count(*) AS n, round(avg(v), 6) AS mean_value, "
     "CAST(sum(user_id) AS BIGINT) AS user_sum FROM parted GROUP BY part, event_type"
 )
 def clean_and_split(spark, sf_dir):
@@ -740,7 +740,7 @@ def clean_and_split(spark, sf_dir):
     parts = _labelled(split.split_exact(cleaned, "Id"), "event_type", "v", "user_id")
     return parts.groupBy("part", "event_type").agg(
         F.count("*").alias("n"),
-        F.round(F.avg("v"), 4).alias("mean_value"),
+        F.round(F.avg("v"), 6).alias("mean_value"),
         F.sum("user_id").alias("user_sum"),
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.storage import delete_path
 from millrace.sources.tables import add_columns, align, merged_schema
 
 VERSION = "snapshot_version"
@@ -25,9 +26,9 @@ def write_snapshot(
 ) -> int:
     """Store ``df`` as the next version of ``table`` and return its number, from 0.
 
-    Each version is one partition, and writing a version again replaces that partition only. With a
-    ``bucket_key`` at the first write, all versions are bucketed by it, and :func:`change_feed` on
-    that key then needs no shuffle.
+    Each version is one partition, known to the catalog only when it is complete; what a failed
+    attempt left in its folder is removed first. With a ``bucket_key`` at the first write, all
+    versions are bucketed by it, and :func:`change_feed` on that key then needs no shuffle.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -50,8 +51,9 @@ def write_snapshot(
     if int(details.get("Num Buckets", 0)) > 0:
         key = details["Bucket Columns"].strip("[]`")
         aligned = aligned.repartition(int(details["Num Buckets"]), F.col(f"`{key}`"))
+    delete_path(spark, f"{details['Location'].rstrip('/')}/{VERSION}={version}")
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({VERSION} = {version}) SELECT * FROM {{rows}}",
+        f"INSERT INTO TABLE {table} PARTITION ({VERSION} = {version}) SELECT * FROM {{rows}}",
         rows=aligned,
     )
     return version

@@ -1,0 +1,89 @@
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import ledger
+from millrace.operators.boosting import fit_gbt
+from millrace.operators.features import predict
+from millrace.sources.snapshots import write_snapshot
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 9.0)] * 20, "c string, y double")
+
+
+@pytest.fixture(scope="module")
+def model(rows):
+    return fit_gbt(rows, ["c"], [], "y", {"n_estimators": 1, "max_depth": 1})
+
+
+def test_run_metadata_and_dataset(spark, database, tmp_path, rows, model):
+    table = f"{database}.train"
+    version = write_snapshot(rows, table)
+    run_id = ledger.log_run(
+        spark,
+        database,
+        "wine",
+        model,
+        str(tmp_path / "models"),
+        {"mae": 1.5, "r2_score": None},
+        {"max_depth": 1},
+        {"branch": "main"},
+        dataset=(table, version),
+        inputs=rows.select("c"),
+    )
+    write_snapshot(rows.limit(1), table)
+    recorded = ledger.run_metadata(spark, database, run_id).first()
+    assert recorded["metrics"] == {"mae": 1.5, "r2_score": None}
+    assert recorded["params"] == {"max_depth": "1"}
+    assert recorded["tags"] == {"branch": "main"}
+    assert ledger.run_dataset(spark, database, run_id).count() == 60
+    stored = spark.table(f"{database}.runs").first()
+    assert (stored["dataset_table"], stored["dataset_version"]) == (table, 0)
+    assert stored["dataset_context"] == "training"
+
+
+def test_run_without_dataset(spark, database, tmp_path, model):
+    run_id = ledger.log_run(spark, database, "wine", model, str(tmp_path), {"mae": 1.0})
+    with pytest.raises(ValueError, match="no recorded dataset"):
+        ledger.run_dataset(spark, database, run_id)
+    with pytest.raises(ValueError, match="no recorded dataset"):
+        ledger.run_dataset(spark, database, "unknown")
+
+
+def test_latest_run_of_an_experiment(spark, database, tmp_path, model):
+    ids = [
+        ledger.log_run(spark, database, name, model, str(tmp_path), {"n": n})
+        for n, name in enumerate(["one", "two", "one", "two"])
+    ]
+    assert ledger.latest_run(spark, database, "one").first()["run_id"] == ids[2]
+    assert ledger.latest_run(spark, database, "two").first()["run_id"] == ids[3]
+    assert ledger.latest_run(spark, database, "three").isEmpty()
+
+
+def test_versions_aliases_and_loading(spark, database, tmp_path, rows, model):
+    run_id = ledger.log_run(spark, database, "wine", model, str(tmp_path), {})
+    path = f"{tmp_path}/{run_id}"
+    assert ledger.find_alias(spark, database, "m", ledger.LATEST_ALIAS) is None
+    with pytest.raises(LookupError, match="no alias latest-model"):
+        ledger.load_alias(spark, database, "m")
+    register = ledger.register_version
+    assert [register(spark, database, "m", run_id, path, {"t": "1"}) for _ in range(2)] == [1, 2]
+    assert register(spark, database, "other", run_id, "elsewhere") == 1
+    ledger.set_alias(spark, database, "m", ledger.LATEST_ALIAS, 2)
+    ledger.set_alias(spark, database, "other", ledger.LATEST_ALIAS, 1)
+    ledger.set_alias(spark, database, "m", ledger.LATEST_ALIAS, 1)
+    found = ledger.find_alias(spark, database, "m", ledger.LATEST_ALIAS)
+    assert (found["version"], found["path"]) == (1, path)
+    with pytest.raises(ValueError, match="has no version 5"):
+        ledger.set_alias(spark, database, "m", ledger.LATEST_ALIAS, 5)
+    loaded = ledger.load_alias(spark, database, "m")
+    total = F.sum("prediction")
+    assert predict(loaded, rows).agg(total).first() == predict(model, rows).agg(total).first()
+
+
+def test_a_model_that_cannot_be_loaded_is_an_error(spark, database):
+    ledger.register_version(spark, database, "m", "run", "/no/such/model")
+    ledger.set_alias(spark, database, "m", ledger.LATEST_ALIAS, 1)
+    with pytest.raises(Exception, match="(?i)no/such/model"):
+        ledger.load_alias(spark, database, "m")

@@ -1,0 +1,50 @@
+"""Every registered query against its DuckDB SQL, on the smallest tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def canonical(frame):
+    frame = frame[sorted(frame.columns)]
+    whole = frame.astype(object).where(frame.notna(), None)
+    texts = [
+        tuple(repr(float(v)) if isinstance(v, float) else str(v) for v in row)
+        for row in whole.itertuples(index=False, name=None)
+    ]
+    return sorted(texts)
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query(spark, duck, name):
+    found = entry_points.queries()[name](spark, SF_DIR)
+    assert len(set(found.columns)) == len(found.columns)
+    frame = found.toPandas()
+    sql = entry_points.oracle_sql().get(name)
+    if sql is None:
+        assert len(frame) > 0
+        return
+    expected = duck.execute(sql).df()
+    assert sorted(frame.columns) == sorted(expected.columns)
+    assert canonical(frame) == canonical(expected)
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 10
+
+
+def test_only_boosting_has_no_sql():
+    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"gbt_fit_score"}
