@@ -35,7 +35,13 @@ def _parameters(params: Mapping[str, Any] | None) -> tuple[float, int, int, dict
 def _training_columns(
     df: DataFrame, cat: Sequence[str], num: Sequence[str], target: str
 ) -> DataFrame:
-    return df.select(*(F.col(f"`{c}`") for c in (*cat, *num)), present_double(target).alias(LABEL))
+    training = df.select(
+        *(F.col(f"`{c}`") for c in (*cat, *num)), present_double(target).alias(LABEL)
+    )
+    # Growing trees passes over the rows many times, so a small input is spread over all cores. A
+    # large one has more partitions than that and is left where it is.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return training.repartition(cores) if training.rdd.getNumPartitions() < cores else training
 
 
 def fit_gbt(
@@ -75,7 +81,7 @@ def fit_mean_boost(
 ) -> PipelineModel:
     """Boosting that starts from the mean of the target, every tree counting by the rate.
 
-    The start is a tree of depth 0, which is the mean. Each round fits a tree to what the trees so
+    The start is a tree of depth 0 that holds the mean. Each round fits a tree to what the trees so
     far leave over. The result is one ordinary ``GBTRegressionModel`` made of all these trees, so
     it predicts in one pass and is saved and loaded like any other model.
 
@@ -105,7 +111,9 @@ def fit_mean_boost(
         return path, spark.read.parquet(path)
 
     path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
-    trees, weights = [grow(stored, 0)], [1.0]
+    mean = stored.agg(F.avg(LABEL)).first()[0]
+    # A few rows will do for the tree that knows the mean only; one row would allow no split bins.
+    trees, weights = [grow(stored.limit(100).withColumn(LABEL, F.lit(mean)), 0)], [1.0]
     pending = 1
     for _ in range(rounds):
         left_over = remainder(stored, trees[-pending:], weights[-pending:]) if pending else stored

@@ -146,15 +146,22 @@ def register_version(
     registry: str,
     name: str,
     run_id: str,
-    path: str,
     tags: Mapping[str, str] | None = None,
+    ledger: str | None = None,
 ) -> int:
-    """Append the next version of a model, from 1, and return it."""
+    """Append a run's model as the next version of ``name``, from 1, and return the number.
+
+    ``ledger`` is the database of the run, by default the registry's own.
+    """
+    runs = spark.table(f"{ledger or registry}.{RUNS}").where(F.col("run_id") == run_id)
+    run = runs.select("model_path").first()
+    if run is None:
+        raise LookupError(f"no run {run_id} in {ledger or registry}")
     version = 1
     if spark.catalog.tableExists(f"{registry}.{VERSIONS}"):
         stored = spark.table(f"{registry}.{VERSIONS}").where(F.col("name") == name)
         version = stored.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    row = (name, version, run_id, path, _texts(tags), _now())
+    row = (name, version, run_id, run["model_path"], _texts(tags), _now())
     _append(spark, registry, VERSIONS, row, VERSIONS_SCHEMA)
     return version
 

@@ -161,8 +161,7 @@ def train_and_promote(
     )
     outcome |= {"run_id": run_id, "version": None}
     if outcome["promote"]:
-        path = f"{model_root.rstrip('/')}/{run_id}"
-        outcome["version"] = register_version(spark, ledger, model_name, run_id, path, tags)
+        outcome["version"] = register_version(spark, ledger, model_name, run_id, tags)
         set_alias(spark, ledger, model_name, alias, outcome["version"])
     return outcome
 

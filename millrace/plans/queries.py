@@ -712,7 +712,7 @@ def registry_score(spark, sf_dir):
     )
     for model in (first, _fit_by_status(orders)):
         run_id = ledger.log_run(spark, database, "prices", model, root, {})
-        version = ledger.register_version(spark, database, "price", run_id, f"{root}/{run_id}")
+        version = ledger.register_version(spark, database, "price", run_id)
         ledger.set_alias(spark, database, "price", ledger.LATEST_ALIAS, version)
     scored = predict(ledger.load_alias(spark, database, "price"), orders)
     return scored.select(

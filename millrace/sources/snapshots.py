@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.storage import delete_path
-from millrace.sources.tables import add_columns, align, merged_schema
+from millrace.sources.tables import add_columns, align, merged_schema, table_details
 
 VERSION = "snapshot_version"
 CHANGE = "change_type"
@@ -45,9 +45,7 @@ def write_snapshot(
     target = merged_schema(current, df.schema)
     add_columns(spark, table, target.fields[len(current.fields) :])
     aligned = align(df, target)
-    details = {
-        r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()
-    }
+    details = table_details(spark, table)
     if int(details.get("Num Buckets", 0)) > 0:
         key = details["Bucket Columns"].strip("[]`")
         aligned = aligned.repartition(int(details["Num Buckets"]), F.col(f"`{key}`"))

@@ -15,7 +15,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_open_scopes: list[list[str]] = []
+# Paths handed out and not yet deleted: one list for the process, one more per open scope.
+_scopes: list[list[str]] = [[]]
 _local_dirs: list[str] = []
 
 
@@ -44,8 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    """A path for intermediate data below the shared folder that nothing has used yet."""
+    path = f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    _scopes[-1].append(path)
+    return path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -56,26 +59,26 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of what was written."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    if _open_scopes:
-        _open_scopes[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate data of this process, once no frame that reads it is needed."""
+    while _scopes[-1]:
+        delete_path(spark, _scopes[-1].pop())
 
 
 @contextmanager
 def stage_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end of the block, whatever :func:`stage` wrote inside it.
+    """Delete intermediate data that came about inside the block when the block ends.
 
-    Use it where the block ends in written tables. Without it staged data stays in the shared
-    folder for as long as frames may still read it.
+    For blocks that end in written tables, so that no frame has to read the data any more.
     """
-    paths: list[str] = []
-    _open_scopes.append(paths)
+    _scopes.append([])
     try:
         yield
     finally:
-        _open_scopes.remove(paths)
-        for path in paths:
-            delete_path(spark, path)
+        release(spark)
+        _scopes.pop()

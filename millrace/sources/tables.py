@@ -62,9 +62,11 @@ def add_columns(spark: SparkSession, table: str, fields: Sequence[T.StructField]
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'")
-    return rows.select("data_type").first()[0]
+def table_details(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog knows about a table, such as its location and format."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    start = [r["col_name"] for r in rows].index("# Detailed Table Information")
+    return {r["col_name"]: r["data_type"] for r in rows[start + 1 :]}
 
 
 def _new_version_path(spark: SparkSession, table: str) -> str:
@@ -88,10 +90,13 @@ def write_merged(df: DataFrame, table: str) -> None:
         df.write.parquet(path)
         spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
         return
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned; its folders cannot be replaced as one")
     current = spark.table(table).schema
     target = merged_schema(current, df.schema)
-    align(df, target).write.parquet(path)
-    old_path = _location(spark, table)
+    details = table_details(spark, table)
+    old_path = details["Location"]
+    align(df, target).write.format(details["Provider"]).save(path)
     add_columns(spark, table, target.fields[len(current.fields) :])
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)

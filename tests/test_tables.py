@@ -56,6 +56,27 @@ def test_a_failed_write_keeps_the_old_rows(spark, database):
     assert rows(spark.table(table)) == [(0,), (1,), (2,)]
 
 
+@pytest.mark.parametrize("source", ["orc", "json"])
+def test_merging_keeps_the_format_of_the_table(spark, database, source):
+    spark.range(3).write.format(source).saveAsTable(f"{database}.t")
+    tables.write_merged(spark.range(1).withColumn("Location", F.lit("y")), f"{database}.t")
+    tables.write_merged(spark.range(2), f"{database}.t")
+    assert rows(spark.table(f"{database}.t")) == [(0, None), (1, None)]
+
+
+def test_three_part_names(spark, database):
+    table = f"spark_catalog.{database}.t"
+    tables.write_merged(spark.range(3), table)
+    tables.write_merged(spark.range(2).withColumn("x", F.lit(1)), table)
+    assert rows(spark.table(table)) == [(0, 1), (1, 1)]
+
+
+def test_partitioned_tables_are_refused(spark, database):
+    snapshots.write_snapshot(spark.range(3), f"{database}.t")
+    with pytest.raises(ValueError, match="is partitioned"):
+        tables.write_merged(spark.range(3), f"{database}.t")
+
+
 def test_a_changed_type_is_refused(spark, database):
     tables.write_merged(spark.range(3), f"{database}.t")
     with pytest.raises(ValueError, match="column id is bigint in the table and string"):
@@ -124,5 +145,13 @@ def test_stages_are_removed_at_the_end_of_their_scope(spark):
         spark.read.parquet(path).count()
 
 
+def test_release_deletes_what_this_process_staged(spark):
+    staged = storage.stage(spark.range(5), "test")
+    path = staged.inputFiles()[0]
+    storage.release(spark)
+    with pytest.raises(Exception, match="(?i)not.exist|not_exist"):
+        spark.read.parquet(path).count()
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
