@@ -24,7 +24,7 @@ def test_run_metadata_and_dataset(spark, database, tmp_path, rows, model):
     run_id = ledger.log_run(
         spark,
         database,
-        "wine",
+        "trial",
         model,
         str(tmp_path / "models"),
         {"mae": 1.5, "r2_score": None},
@@ -45,7 +45,7 @@ def test_run_metadata_and_dataset(spark, database, tmp_path, rows, model):
 
 
 def test_run_without_dataset(spark, database, tmp_path, model):
-    run_id = ledger.log_run(spark, database, "wine", model, str(tmp_path), {"mae": 1.0})
+    run_id = ledger.log_run(spark, database, "trial", model, str(tmp_path), {"mae": 1.0})
     with pytest.raises(ValueError, match="no recorded dataset"):
         ledger.run_dataset(spark, database, run_id)
     with pytest.raises(ValueError, match="no recorded dataset"):
@@ -63,7 +63,7 @@ def test_latest_run_of_an_experiment(spark, database, tmp_path, model):
 
 
 def test_versions_aliases_and_loading(spark, database, tmp_path, rows, model):
-    run_id = ledger.log_run(spark, database, "wine", model, str(tmp_path), {})
+    run_id = ledger.log_run(spark, database, "trial", model, str(tmp_path), {})
     path = f"{tmp_path}/{run_id}"
     assert ledger.find_alias(spark, database, "m", ledger.LATEST_ALIAS) is None
     with pytest.raises(LookupError, match="no alias latest-model"):
@@ -86,7 +86,7 @@ def test_versions_aliases_and_loading(spark, database, tmp_path, rows, model):
 
 
 def test_a_model_that_cannot_be_loaded_is_an_error(spark, database, tmp_path, model):
-    run_id = ledger.log_run(spark, database, "wine", model, str(tmp_path), {})
+    run_id = ledger.log_run(spark, database, "trial", model, str(tmp_path), {})
     ledger.register_version(spark, database, "m", run_id)
     ledger.set_alias(spark, database, "m", ledger.LATEST_ALIAS, 1)
     delete_path(spark, f"{tmp_path}/{run_id}")

@@ -24,13 +24,13 @@ NUMERIC = [
     "sulphates",
     "alcohol",
 ]
-WINE = Columns(num=NUMERIC, cat=["type"], target="quality")
+COLUMNS = Columns(num=NUMERIC, cat=["type"], target="quality")
 FILLS = {"alcohol": "median", "citric_acid": "mean", "sulphates": 0}
 SMALL = {"learning_rate": 0.1, "n_estimators": 2, "max_depth": 2}
 
 
 @pytest.fixture
-def wine_csv(tmp_path):
+def raw_file(tmp_path):
     rows = 203
     frame = pd.DataFrame({c: [(i * (n + 3) % 17) / 4 for i in range(rows)] for n, c in enumerate(NUMERIC)})
     frame["quality"] = [3 + i % 6 for i in range(rows)]
@@ -41,7 +41,7 @@ def wine_csv(tmp_path):
     text.loc[6, "alcohol"] = None
     text.loc[7, "citric_acid"] = "?"
     text.loc[8, "sulphates"] = None
-    path = tmp_path / "wine.csv"
+    path = tmp_path / "raw.csv"
     text.to_csv(path, index=False)
     for column, missing in (("alcohol", [5, 6]), ("citric_acid", [7]), ("sulphates", [8])):
         frame.loc[missing, column] = None
@@ -49,10 +49,10 @@ def wine_csv(tmp_path):
 
 
 @pytest.mark.parametrize("exact", [True, False])
-def test_prepare(spark, database, wine_csv, exact):
-    path, frame = wine_csv
+def test_prepare(spark, database, raw_file, exact):
+    path, frame = raw_file
     train, test = f"{database}.train_set", f"{database}.test_set"
-    prepare(spark, path, WINE, FILLS, train, test, exact=exact)
+    prepare(spark, path, COLUMNS, FILLS, train, test, exact=exact)
     stored = spark.table(train).unionByName(spark.table(test))
     assert stored.columns == ["type", *NUMERIC, "quality", "Id", "update_timestamp_utc"]
     types = dict(stored.dtypes)
@@ -69,29 +69,29 @@ def test_prepare(spark, database, wine_csv, exact):
         assert spark.table(test).count() == math.ceil(len(frame) * 0.2)
 
 
-def test_prepare_again_replaces_the_tables(spark, database, wine_csv):
-    path, frame = wine_csv
+def test_prepare_again_replaces_the_tables(spark, database, raw_file):
+    path, frame = raw_file
     tables = f"{database}.train_set", f"{database}.test_set"
     for _ in range(2):
-        prepare(spark, path, WINE, FILLS, *tables)
+        prepare(spark, path, COLUMNS, FILLS, *tables)
     assert sum(spark.table(t).count() for t in tables) == len(frame)
 
 
-def test_train_promote_and_score(spark, database, wine_csv, tmp_path):
-    path, frame = wine_csv
+def test_train_promote_and_score(spark, database, raw_file, tmp_path):
+    path, frame = raw_file
     train, test = f"{database}.train_set", f"{database}.test_set"
-    prepare(spark, path, WINE, FILLS, train, test, snapshots=True)
+    prepare(spark, path, COLUMNS, FILLS, train, test, snapshots=True)
 
     def attempt(**options):
         return train_and_promote(
             spark,
             train,
             test,
-            WINE,
+            COLUMNS,
             database,
-            "quality_model",
+            "grader",
             str(tmp_path / "models"),
-            "wine",
+            "trial",
             params=SMALL,
             tags={"branch": "main"},
             snapshots=True,
@@ -114,24 +114,24 @@ def test_train_promote_and_score(spark, database, wine_csv, tmp_path):
     assert fitted_on.count() == read_snapshot(spark, train, 0).count()
 
     output = f"{database}.predictions"
-    scored = score_batch(spark, test, WINE, database, "quality_model", output, snapshots=True)
+    scored = score_batch(spark, test, COLUMNS, database, "grader", output, snapshots=True)
     assert scored.columns[-2:] == ["prediction", "prediction_timestamp_utc"]
     assert "quality" not in scored.columns
     assert scored.count() == math.ceil(len(frame) * 0.2)
     assert scored.where("prediction is null").isEmpty()
 
 
-def test_score_needs_a_model_and_rows(spark, database, wine_csv, tmp_path):
-    path, _ = wine_csv
+def test_score_needs_a_model_and_rows(spark, database, raw_file, tmp_path):
+    path, _ = raw_file
     train, test = f"{database}.train_set", f"{database}.test_set"
-    prepare(spark, path, WINE, FILLS, train, test)
+    prepare(spark, path, COLUMNS, FILLS, train, test)
     with pytest.raises(LookupError, match="no alias"):
-        score_batch(spark, test, WINE, database, "quality_model", f"{database}.p")
+        score_batch(spark, test, COLUMNS, database, "grader", f"{database}.p")
     train_and_promote(
-        spark, train, test, WINE, database, "quality_model", str(tmp_path), "wine", params=SMALL
+        spark, train, test, COLUMNS, database, "grader", str(tmp_path), "trial", params=SMALL
     )
     spark.table(test).where("false").write.saveAsTable(f"{database}.nothing")
-    arguments = (WINE, database, "quality_model", f"{database}.p")
+    arguments = (COLUMNS, database, "grader", f"{database}.p")
     assert score_batch(spark, f"{database}.nothing", *arguments) is None
     assert not spark.catalog.tableExists(f"{database}.p")
     spark.table(test).drop("pH").write.saveAsTable(f"{database}.narrow")
@@ -139,13 +139,13 @@ def test_score_needs_a_model_and_rows(spark, database, wine_csv, tmp_path):
         score_batch(spark, f"{database}.narrow", *arguments)
 
 
-def test_an_empty_test_table_never_promotes(spark, database, wine_csv, tmp_path):
-    path, _ = wine_csv
+def test_an_empty_test_table_never_promotes(spark, database, raw_file, tmp_path):
+    path, _ = raw_file
     train, test = f"{database}.train_set", f"{database}.test_set"
-    prepare(spark, path, WINE, FILLS, train, test)
+    prepare(spark, path, COLUMNS, FILLS, train, test)
     spark.table(test).where("false").write.saveAsTable(f"{database}.empty")
     outcome = train_and_promote(
-        spark, train, f"{database}.empty", WINE, database, "m", str(tmp_path), "wine", params=SMALL
+        spark, train, f"{database}.empty", COLUMNS, database, "m", str(tmp_path), "trial", params=SMALL
     )
     assert (outcome["promote"], outcome["reason"]) == (False, "no rows to evaluate")
     assert outcome["version"] is None and outcome["r2_score"] is None
