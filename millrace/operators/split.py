@@ -9,12 +9,13 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import HASH_BITS, digest_number, key_digest
+from millrace.functions.columns import digest_number, key_digest
 from millrace.operators.keys import add_sequential_key
 
 # Candidates for the boundary row are ordered once there are no more than this many.
 CANDIDATE_LIMIT = 100_000
-DIGIT_BITS = 12
+DIGITS = 3
+DIGEST_LENGTH = 32
 # Larger limits are cut by row number, since a limit gathers its rows in one place.
 LIMIT_ROWS = 100_000
 
@@ -29,42 +30,34 @@ def _boundary(
 ) -> tuple[str, object] | None:
     """Digest and key of the last test row, in the order of digest and key.
 
-    Finds the ⌈n·f⌉-th smallest digest by its leading bits: a scan of the key column counts the
-    rows per leading digit, the digit that holds the boundary is kept, and so on. Each pass returns
-    at most 4096 counts, and digests are spread evenly, so each pass leaves 1/4096 of the rows.
+    Finds the ⌈n·f⌉-th smallest digest by its leading characters: a scan of the key column counts
+    the rows per leading three hex digits, those that hold the boundary are kept, and so on. Each
+    pass returns at most 4096 counts, and digests are spread evenly, so each pass leaves 1/4096 of
+    the rows.
     """
-    digest = key_digest(key, seed)
-    hashed = df.select(digest_number(digest).alias("h"), digest.alias("d"), F.col(f"`{key}`").alias("k"))
-    prefix, used = 0, 0
-    wanted = None
+    hashed = df.select(key_digest(key, seed).alias("d"), F.col(f"`{key}`").alias("k"))
+    prefix, wanted = "", None
     while True:
-        shift = HASH_BITS - used - DIGIT_BITS
-        rows = hashed if used == 0 else hashed.where(F.shiftright("h", HASH_BITS - used) == prefix)
-        counts = {
-            r["digit"]: r["count"]
-            for r in rows.groupBy(
-                F.shiftright("h", shift).bitwiseAND(2**DIGIT_BITS - 1).alias("digit")
-            )
-            .count()
-            .collect()
-        }
+        digits = F.substring("d", len(prefix) + 1, DIGITS).alias("digits")
+        rows = hashed.where(F.col("d").startswith(prefix)) if prefix else hashed
+        counts = dict(map(tuple, rows.groupBy(digits).count().collect()))
         if wanted is None:
             n = sum(counts.values())
             if n == 0:
                 return None
             wanted = math.ceil(n * test_size)
-        for digit in sorted(counts):
-            if wanted <= counts[digit]:
+        for leading in sorted(counts):
+            if wanted <= counts[leading]:
                 break
-            wanted -= counts[digit]
-        prefix, used = (prefix << DIGIT_BITS) + digit, used + DIGIT_BITS
-        if counts[digit] <= candidate_limit:
+            wanted -= counts[leading]
+        prefix += leading
+        if counts[leading] <= candidate_limit:
             break
-        if used == HASH_BITS:
+        if len(prefix) + DIGITS > DIGEST_LENGTH:
             raise ValueError(f"column {key} is not unique: too many rows share one digest")
     # One row more than wanted shows whether the boundary falls between two rows of the same key.
     last, following = (
-        hashed.where(F.shiftright("h", HASH_BITS - used) == prefix)
+        hashed.where(F.col("d").startswith(prefix))
         .orderBy("d", "k")
         .limit(wanted + 1)
         .agg(F.sort_array(F.collect_list(F.struct("d", "k"))).alias("rows"))
