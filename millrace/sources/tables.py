@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.sources.storage import delete_path
 
 VERSION_FOLDER = "_versions"
+PREVIOUS = "millrace.previous"
 
 
 def scan(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -82,7 +83,7 @@ def write_merged(df: DataFrame, table: str) -> None:
     The new rows go to a new folder, and the table is then pointed at it: columns are added first,
     then the location moves. Both are catalog changes, so no data is copied or renamed, the table
     can be read at every moment, a failed write leaves the old rows, and ``df`` may read the table
-    it replaces. The folder this function wrote before is deleted at the end.
+    it replaces. The replaced folder stays until the next overwrite, for queries still reading it.
     """
     spark = df.sparkSession
     path = _new_version_path(spark, table)
@@ -100,5 +101,9 @@ def write_merged(df: DataFrame, table: str) -> None:
     add_columns(spark, table, target.fields[len(current.fields) :])
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
+    properties = dict(map(tuple, spark.sql(f"SHOW TBLPROPERTIES {table}").collect()))
+    outdated = properties.get(PREVIOUS)
     if f"/{VERSION_FOLDER}/" in old_path:
-        delete_path(spark, old_path)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PREVIOUS}' = '{old_path}')")
+    if outdated:
+        delete_path(spark, outdated)

@@ -56,6 +56,20 @@ def test_a_failed_write_keeps_the_old_rows(spark, database):
     assert rows(spark.table(table)) == [(0,), (1,), (2,)]
 
 
+def test_running_readers_survive_one_overwrite(spark, database, tmp_path):
+    table = f"{database}.t"
+    tables.write_merged(spark.range(3), table)
+    reader = spark.table(table)
+    first = reader.inputFiles()
+    tables.write_merged(spark.range(2), table)
+    assert rows(spark.read.parquet(*first)) == [(0,), (1,), (2,)]
+    tables.write_merged(spark.range(1), table)
+    tables.write_merged(spark.range(4), table)
+    versions = list((tmp_path / database / tables.VERSION_FOLDER / "t").iterdir())
+    assert len(versions) == 2
+    assert spark.table(table).count() == 4
+
+
 @pytest.mark.parametrize("source", ["orc", "json"])
 def test_merging_keeps_the_format_of_the_table(spark, database, source):
     spark.range(3).write.format(source).saveAsTable(f"{database}.t")
