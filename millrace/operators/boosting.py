@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,6 +15,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from millrace.functions.columns import present_double
 from millrace.operators.features import FEATURES, feature_stages
@@ -32,16 +34,25 @@ def _parameters(params: Mapping[str, Any] | None) -> tuple[float, int, int, dict
     return float(rate), int(rounds), int(depth), merged
 
 
-def _training_columns(
+@contextmanager
+def _training_rows(
     df: DataFrame, cat: Sequence[str], num: Sequence[str], target: str
-) -> DataFrame:
-    training = df.select(
-        *(F.col(f"`{c}`") for c in (*cat, *num)), present_double(target).alias(LABEL)
-    )
-    # Growing trees passes over the rows many times, so a small input is spread over all cores. A
-    # large one has more partitions than that and is left where it is.
+) -> Iterator[DataFrame]:
+    """The columns a fit needs.
+
+    A fit passes over its rows many times. An input with fewer partitions than there are cores is
+    small, so it is spread over all cores once and kept for the fit. A larger one stays where it is.
+    """
+    rows = df.select(*(F.col(f"`{c}`") for c in (*cat, *num)), present_double(target).alias(LABEL))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return training.repartition(cores) if training.rdd.getNumPartitions() < cores else training
+    if rows.rdd.getNumPartitions() >= cores:
+        yield rows
+        return
+    spread = rows.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield spread
+    finally:
+        spread.unpersist()
 
 
 def fit_gbt(
@@ -67,8 +78,8 @@ def fit_gbt(
         maxDepth=depth,
         **options,
     )
-    training = _training_columns(df, cat, num, target)
-    return Pipeline(stages=[*feature_stages(cat, num), regressor]).fit(training)
+    with _training_rows(df, cat, num, target) as training:
+        return Pipeline(stages=[*feature_stages(cat, num), regressor]).fit(training)
 
 
 def fit_mean_boost(
@@ -91,8 +102,6 @@ def fit_mean_boost(
     """
     rate, rounds, depth, extra = _parameters(params)
     spark = df.sparkSession
-    training = _training_columns(df, cat, num, target)
-    encoder = Pipeline(stages=feature_stages(cat, num)).fit(training)
     options = {"seed": 42, **extra}
 
     def grow(rows: DataFrame, max_depth: int) -> DecisionTreeRegressionModel:
@@ -110,7 +119,9 @@ def fit_mean_boost(
         rows.write.parquet(path)
         return path, spark.read.parquet(path)
 
-    path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
+    with _training_rows(df, cat, num, target) as training:
+        encoder = Pipeline(stages=feature_stages(cat, num)).fit(training)
+        path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
     mean = stored.agg(F.avg(LABEL)).first()[0]
     # A few rows will do for the tree that knows the mean only; one row would allow no split bins.
     trees, weights = [grow(stored.limit(100).withColumn(LABEL, F.lit(mean)), 0)], [1.0]

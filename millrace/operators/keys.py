@@ -17,12 +17,16 @@ BROADCAST_BLOCKS = 500_000
 def _number_staged(staged: DataFrame, block: Sequence[str], line: str, name: str) -> DataFrame:
     """Number stored rows 1..n, given their block and an ascending position inside the block.
 
-    Blocks sort by the columns ``block``; inside a block ``line`` counts up by one from anywhere.
-    One small aggregate per block gives its first line and size, and the running sum of the sizes
-    is the block's offset. Each row then finds its number by itself: data rows are not shuffled.
+    Blocks sort by the columns ``block``; inside a block ``line`` counts up by one from anywhere,
+    and a gap is an error. One small aggregate per block gives its first line and size, and the
+    running sum of the sizes is the block's offset. Each row then finds its number by itself: data
+    rows are not shuffled.
     """
+    size = F.count(F.lit(1))
+    gap = F.raise_error(F.lit("rows were removed after their positions had been taken"))
     sizes = staged.groupBy(*block).agg(
-        F.count(F.lit(1)).alias("_size"), F.min(line).alias("_first")
+        F.when(F.max(line) - F.min(line) + 1 == size, size).otherwise(gap).alias("_size"),
+        F.min(line).alias("_first"),
     )
     # One row per block, not per data row, so one task can hold the running sum.
     earlier = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)

@@ -28,7 +28,9 @@ def _check_size(test_size: float) -> None:
 def _boundary(
     df: DataFrame, key: str, seed: int, test_size: float, candidate_limit: int
 ) -> tuple[str, object] | None:
-    """Digest and key of the last test row, in the order of digest and key.
+    """Digest of the last test row in the order of digest and key, and its key if that matters.
+
+    The key matters only if the next row has the same digest; otherwise it is None.
 
     Finds the ⌈n·f⌉-th smallest digest by its leading characters: a scan of the key column counts
     the rows per leading three hex digits, those that hold the boundary are kept, and so on. Each
@@ -66,7 +68,8 @@ def _boundary(
     )
     if following is not None and following == last:
         raise ValueError(f"column {key} is not unique: {last['k']} lies on both sides of the split")
-    return last["d"], last["k"]
+    shared = following is not None and following["d"] == last["d"]
+    return last["d"], last["k"] if shared else None
 
 
 def split_exact(
@@ -88,9 +91,12 @@ def split_exact(
         return df, df
     digest = key_digest(key, seed)
     last_digest, last_key = boundary
-    is_test = (digest < last_digest) | (
-        (digest == last_digest) & (F.col(f"`{key}`") <= F.lit(last_key))
-    )
+    if last_key is None:
+        is_test = digest <= last_digest
+    else:
+        is_test = (digest < last_digest) | (
+            (digest == last_digest) & (F.col(f"`{key}`") <= F.lit(last_key))
+        )
     return df.where(~is_test), df.where(is_test)
 
 

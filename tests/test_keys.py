@@ -40,6 +40,14 @@ def test_file_rows_are_numbered_in_file_order(spark, people, tmp_path, block_byt
     assert all(int(r["key"]) + 1 == r["id"] for r in rows)
 
 
+def test_file_rows_must_be_complete(spark, people, tmp_path):
+    path = str(tmp_path / "csv")
+    people.coalesce(1).write.csv(path, header=True)
+    raw = read_raw_csv(spark, path, with_position=True)
+    with pytest.raises(Exception, match="rows were removed"):
+        keys.number_file_rows(raw.where("level <> 'a'"))
+
+
 def test_offsets_are_joined_when_there_are_too_many_blocks(people, monkeypatch):
     monkeypatch.setattr(keys, "BROADCAST_BLOCKS", 0)
     rows = keys.add_sequential_key(people, ["key"]).select("key", "id").collect()

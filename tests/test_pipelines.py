@@ -69,6 +69,24 @@ def test_prepare(spark, database, raw_file, exact):
         assert spark.table(test).count() == math.ceil(len(frame) * 0.2)
 
 
+def test_prepare_a_file_without_rows(spark, database, tmp_path):
+    path = tmp_path / "empty.csv"
+    path.write_text(",".join([*NUMERIC, "quality", "type"]) + "\n")
+    train, test = f"{database}.train_set", f"{database}.test_set"
+    prepare(spark, str(path), COLUMNS, FILLS, train, test)
+    assert spark.table(train).isEmpty() and spark.table(test).isEmpty()
+    assert spark.table(train).columns[-2:] == ["Id", "update_timestamp_utc"]
+
+
+def test_a_bad_target_stops_the_preparation(spark, database, raw_file, tmp_path):
+    _, frame = raw_file
+    path = tmp_path / "bad.csv"
+    frame.astype({"quality": object}).assign(quality="good").to_csv(path, index=False)
+    with pytest.raises(Exception, match="column quality holds a value that is no integer: good"):
+        prepare(spark, str(path), COLUMNS, FILLS, f"{database}.a", f"{database}.b")
+    assert not spark.catalog.tableExists(f"{database}.a")
+
+
 def test_prepare_again_replaces_the_tables(spark, database, raw_file):
     path, frame = raw_file
     tables = f"{database}.train_set", f"{database}.test_set"

@@ -33,6 +33,13 @@ def test_exact_size_is_rounded_up(people, rows, size):
     assert train.count() == rows - test.count()
 
 
+def test_rows_with_one_digest_are_parted_by_key(people, monkeypatch):
+    monkeypatch.setattr(split, "key_digest", lambda key, seed: F.lit("0" * 32))
+    train, test = split.split_exact(people, "key", 0.3)
+    assert keys_of(test) == list(range(300))
+    assert keys_of(train) == list(range(300, 1000))
+
+
 def test_seed_changes_the_split(people):
     first = keys_of(split.split_exact(people, "key", seed=1)[1])
     second = keys_of(split.split_exact(people, "key", seed=2)[1])
