@@ -13,17 +13,16 @@ def lenient_double(name: str, data_type: T.DataType) -> Column:
     """``name`` as double; text that is no number, and NaN, become NULL.
 
     Spark reads Java's number suffixes and hexadecimal floats (``1d``, ``1f``, ``0x1p3``) as
-    numbers. They are not numbers here, so text that ends in ``d``, or in ``f`` other than ``inf``,
-    or that holds an ``x`` is refused before the cast.
+    numbers. They are not numbers here, so text with a ``d`` or ``x`` in it is refused, and text
+    that ends in ``f`` unless it is ``inf``.
     """
     source = F.col(f"`{name}`")
     if isinstance(data_type, T.StringType):
-        text = F.lower(F.trim(source))
-        suffixed = (
-            text.endswith("d")
-            | (text.endswith("f") & ~text.endswith("inf"))
-            | text.contains("x")
+        holds, text = source.contains, F.lower(F.trim(source))
+        float_suffix = (
+            (holds("f") | holds("F")) & text.endswith("f") & ~text.endswith("inf")
         )
+        suffixed = holds("d") | holds("D") | holds("x") | holds("X") | float_suffix
         number = F.when(~suffixed, source.try_cast("double"))
     else:
         number = source.try_cast("double")

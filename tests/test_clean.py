@@ -28,6 +28,9 @@ def values(df, column):
         ("1d", None),
         ("1f", None),
         ("1F ", None),
+        (" +INF ", float("inf")),
+        ("-inf", float("-inf")),
+        ("infinityf", None),
         ("1e3D", None),
         (None, None),
     ],
