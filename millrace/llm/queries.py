@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import licenses, shards
+from millrace.llm import langid, licenses, packing, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,11 +21,29 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@_query
+def op1_simhash_groups(spark, sf_dir):
+    return simhash.near_groups(_documents(spark, sf_dir))
+
+
+@_query
+def op2_language(spark, sf_dir):
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out("doc_id", 4, 2))
+    model = langid.fit(docs.where("not held_out"))
+    return langid.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @_query
 def op5_rendezvous_shards(spark, sf_dir):
     return shards.shard_documents(_documents(spark, sf_dir), [1.0] * 16)
 
 
+@_query
+def op9_concat_pack(spark, sf_dir):
+    return packing.pack_documents(_documents(spark, sf_dir))
+
+
 @_query
 def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(_documents(spark, sf_dir))

@@ -1,0 +1,58 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import langid
+from millrace.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string, lang string"
+ROWS = [(i, w, "x") for i, w in enumerate(["the thing that", "this other then", "they with the"] * 8)]
+ROWS += [(i + 100, w, "y") for i, w in enumerate(["über schön grün", "äpfel schöner", "für grüne"] * 8)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return langid.fit(spark.createDataFrame(ROWS, SCHEMA))
+
+
+def test_held_out_accuracy(spark):
+    found = QUERIES["op2_language"](spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = found.join(docs, "doc_id").where("held_out").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_prediction_reads_the_text_alone(spark, model):
+    rows = [(1, "they with", "y"), (2, "über", None), (3, None, "x"), (4, "12 + !", "x"), (4, "", "x"), (None, "über", "x")]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("clash"))
+    found = langid.identify(frame, model)
+    assert found.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert [r["lang_pred"] for r in found.collect()] == ["x", "y", "und", "und", "und", "y"]
+    assert langid.identify(frame.limit(0), model).count() == 0
+
+
+def test_penalty_leaves_weights_out(model):
+    assert 0 < np.count_nonzero(model.weights) < model.weights.size / 10
+
+
+def test_long_text_and_single_letter(model):
+    assert model.predict("the thing " * 50_000)[0] == "x"
+    assert 0 < model.predict("q")[1] <= 1
+
+
+def test_nothing_to_learn(spark):
+    empty = langid.fit(spark.createDataFrame([(1, None, "x"), (2, "abc", None)], SCHEMA))
+    assert empty.predict("abc") == ("und", 0.0)
+
+
+def test_temperature_grows_with_errors():
+    logits = np.array([[4.0, 0.0]] * 20)
+    sure, unsure = np.zeros(20, int), np.array([0, 1] * 10)
+    assert langid.calibrate(logits, sure) < langid.calibrate(logits, unsure)
+
+
+def test_ngrams_count_code_points():
+    places, counts = langid.ngrams("ÄäÄ")
+    assert counts.sum() == 3 + 2 + 1
+    assert langid.ngrams("")[0].size == 0
