@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import langid, licenses, packing, shards, simhash
+from millrace.llm import langid, licenses, packing, repeats, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +39,12 @@ def op5_rendezvous_shards(spark, sf_dir):
     return shards.shard_documents(_documents(spark, sf_dir), [1.0] * 16)
 
 
+@_query
+def op7_bwt_repeats(spark, sf_dir):
+    found = repeats.remove_repeats(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @_query
 def op9_concat_pack(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir))
