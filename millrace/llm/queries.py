@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import langid, licenses, packing, repeats, shards, simhash
+from millrace.llm import fuzzy, langid, licenses, packing, repeats, shards, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,18 @@ def op2_language(spark, sf_dir):
     return langid.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@_query
+def op3_maxscore(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(topk.usable("embedding"))
+    vectors = table.select("vec_id", topk.scaled("embedding").alias("vector"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors)
+
+
+@_query
+def op4_fuzzy_hash(spark, sf_dir):
+    return fuzzy.describe_documents(_documents(spark, sf_dir))
+
+
 @_query
 def op5_rendezvous_shards(spark, sf_dir):
     return shards.shard_documents(_documents(spark, sf_dir), [1.0] * 16)
