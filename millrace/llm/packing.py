@@ -10,7 +10,7 @@ Task and place are read back from what was written, so a lost executor changes n
 
 from __future__ import annotations
 
-import os
+import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,66 +27,81 @@ WINDOW = 1024
 END = 0
 #: Chunks of text whose ids one worker remembers; it starts anew when there are more.
 REMEMBERED = 400_000
+#: Texts that are encoded together.
+TOGETHER = 128
 
-_chunks: dict[str, bytes] = {}
+#: Ids, as bytes, of chunks that follow a single space; None where white space must not be cut off.
+_chunks: dict[str, bytes | None] = {}
 
 
-def tokenizer_path() -> str:
-    """Place of the public byte-level vocabulary on the machine that asks."""
+def vocabulary_path() -> str:
+    """Place of the public byte-level vocabulary, as ranks, on the machine that asks."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+def _encoder(path: str):
+    """The encoder, the number of bytes of each token, and the type that holds an id."""
+    import public_tokenizers
+    import tiktoken
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-    return tokenizer
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    encoder = tiktoken.Encoding(
+        "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, rank in ranks.items():
+        sizes[rank] = len(token)
+    return encoder, sizes, np.dtype("<u2" if len(sizes) <= 1 << 16 else "<u4")
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers, without the end.
+    """Ids of each text as little-endian numbers of two or four bytes, without the end.
 
-    The vocabulary's rule never joins a character to a single space after it, so a text may be cut
-    before such a space; equal chunks are encoded once. Texts with other white space next to a space
-    are encoded whole.
+    The vocabulary's rule never joins a character to a single space after it, so a text without other
+    white space next to a space may be cut before every space, and equal chunks are encoded once.
+    Other texts are encoded whole. Names of special tokens in a text are ordinary text.
     """
-    tokenizer = _tokenizer(path)
+    encoder, _, kind = _encoder(path)
     if len(_chunks) > REMEMBERED:
         _chunks.clear()
-    parts = []
-    missing = dict()
-    for text in texts:
-        chunks = _cut(text)
-        parts.append(chunks)
-        for chunk in chunks:
-            if chunk not in _chunks:
-                missing[chunk] = None
-    if missing:
-        new = list(missing)
-        for chunk, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            _chunks[chunk] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join(map(_chunks.__getitem__, chunks)) for chunks in parts]
-
-
-def _cut(text: str) -> list[str]:
-    """Chunks that start at single spaces between visible ASCII characters."""
-    first, *others = text.split(" ")
-    if not others:
-        return [text] if text else []
-    chunks, last = [], first
-    for piece in others:
-        # An empty piece means two spaces, white space at an edge means a longer run.
-        if last and piece and not last[-1].isspace() and not piece[0].isspace():
-            chunks.append(last)
-            last = " " + piece
+    parts = [text.split(" ") for text in texts]
+    _remember(list(set().union(*(own[1:] for own in parts)).difference(_chunks)), path)
+    encoded = []
+    for text, own in zip(texts, parts):
+        first = own[0]
+        own[0] = ""
+        try:
+            if own[1:] and first != first.rstrip():
+                raise TypeError
+            rest = b"".join(map(_chunks.__getitem__, own[1:]))
+        except TypeError:  # a chunk of None
+            first, rest = text, b""
+        encoded.append(np.array(encoder.encode_ordinary(first), kind).tobytes() + rest)
+    return encoded
+
+
+def _remember(chunks: list[str], path: str) -> None:
+    """Encode new chunks in one go: joined by spaces, their ids fall apart at the same spaces."""
+    encoder, sizes, kind = _encoder(path)
+    plain = []
+    for chunk in chunks:
+        if chunk and chunk == chunk.strip():
+            plain.append(chunk)
         else:
-            last += " " + piece
-    chunks.append(last)
-    return chunks
+            _chunks[chunk] = None
+    if not plain:
+        return
+    ids = np.array(encoder.encode_ordinary(" " + " ".join(plain)), kind)
+    ends = np.cumsum([len(chunk.encode("utf-8")) + 1 for chunk in plain])
+    cuts = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1) * kind.itemsize
+    body, start = ids.tobytes(), 0
+    for chunk, end in zip(plain, cuts.tolist()):
+        _chunks[chunk] = body[start:end]
+        start = end
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -96,31 +111,31 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     holds little-endian numbers of two bytes, or of four for a vocabulary beyond 65,536.
     """
     spark = docs.sparkSession
-    path = path or tokenizer_path()
+    path = path or vocabulary_path()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        width = _width(path)
+        width = _encoder(path)[2]
+        end = np.array([END], width).tobytes()
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            encoded = [
-                np.append(np.frombuffer(x, "<u4"), END) for x in encode_texts(texts, path)
-            ]
-            sizes = np.array([len(x) for x in encoded], np.int64)
-            starts = before + np.cumsum(sizes) - sizes
-            before += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(np.full(len(texts), part, np.int32)),
-                    pa.array(starts),
-                    pa.array(sizes),
-                    pa.array([x.astype(width).tobytes() for x in encoded], pa.binary()),
-                ],
-                ["doc_id", "part", "before", "n", "ids"],
-            )
+        for whole in batches:
+            for begin in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(begin, TOGETHER)
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                encoded = [ids + end for ids in encode_texts(texts, path)]
+                sizes = np.array([len(x) // width.itemsize for x in encoded], np.int64)
+                starts = before + np.cumsum(sizes) - sizes
+                before += int(sizes.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array(np.full(len(texts), part, np.int32)),
+                        pa.array(starts),
+                        pa.array(sizes),
+                        pa.array(encoded, pa.binary()),
+                    ],
+                    ["doc_id", "part", "before", "n", "ids"],
+                )
 
     schema = f"doc_id {kind}, part int, before long, n long, ids binary"
     place = fresh_path(spark, "ids")
@@ -130,10 +145,6 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(schema).parquet(place)
 
 
-def _width(path: str) -> str:
-    return "<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
-
-
 def pack_documents(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
     """Pieces of all rows of ``docs`` in windows of ``window`` ids, without padding between them.
 
@@ -142,7 +153,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, path: str | None = Non
     pieces; columns other than ``doc_id`` and ``text`` are not read. Only the very last sequence can
     be shorter than ``window``.
     """
-    path = path or tokenizer_path()
+    path = path or vocabulary_path()
     coded = encode_documents(docs, path)
     totals = coded.groupBy("part").agg(F.max(F.col("before") + F.col("n")).alias("total"))
     # One row for each task of the first pass.
@@ -153,7 +164,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, path: str | None = Non
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = _width(path)
+        width = _encoder(path)[2]
         for batch in batches:
             at = batch.column(1).to_pylist()
             rows, crcs, starts, lengths, totals = [], [], [], [], []

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -14,7 +15,7 @@ SCHEMA = "doc_id long, text string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(packing.tokenizer_path())
+    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     found.encode_special_tokens = True
     return found
 
