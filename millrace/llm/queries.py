@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import fuzzy, langid, licenses, packing, repeats, shards, simhash, topk
+from millrace.llm import fuzzy, langid, licenses, packing, repeats, shards, simhash, suffixtree, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,6 +57,12 @@ def op7_bwt_repeats(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@_query
+def op8_suffix_tree(spark, sf_dir):
+    docs = _documents(spark, sf_dir).withColumn("held_out", langid.held_out("doc_id", 5, 1))
+    return suffixtree.score_documents(docs)
+
+
 @_query
 def op9_concat_pack(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir))
