@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import fuzzy, langid, licenses, packing, repeats, shards, simhash, suffixtree, topk
+from millrace.llm import (
+    fuzzy,
+    langid,
+    licenses,
+    packing,
+    pieces,
+    repeats,
+    shards,
+    simhash,
+    suffixtree,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,6 +62,11 @@ def op5_rendezvous_shards(spark, sf_dir):
     return shards.shard_documents(_documents(spark, sf_dir), [1.0] * 16)
 
 
+@_query
+def op6_stream_pieces(spark, sf_dir):
+    return pieces.encode_documents(_documents(spark, sf_dir))
+
+
 @_query
 def op7_bwt_repeats(spark, sf_dir):
     found = repeats.remove_repeats(_documents(spark, sf_dir))
