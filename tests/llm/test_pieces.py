@@ -84,7 +84,7 @@ def test_sums_equal_the_best_of_the_library_on_the_same_scores(public):
     words = ["the", "Straße", "naïve", "tokenization", "of", "and", "other", "a", "into"]
     for _ in range(60):
         text = " ".join(rng.choices(words, k=3))
-        own, best = public.encode(text).tolist(), library.nbest_encode(text, nbest_size=1)[0]
+        own, best = public.encode(text).tolist(), library.nbest_encode(text, nbest_size=2)[0]
         # Sums, since the library does not fix which of equally good ways it takes; and words of
         # letters, since it adds single-precision scores and some pieces have -1e9.
         assert sum(map(library.get_score, own)) == sum(map(library.get_score, best))
