@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bwt import repeated_windows
@@ -357,6 +357,17 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
     )
 
 
+def text_of(kept: str) -> Column:
+    """Kept bytes as text, without those of characters that were cut through."""
+
+    @F.arrow_udf("string")
+    def run(column: pa.Array) -> pa.Array:
+        texts = [(b or b"").decode("utf-8", "ignore") for b in column.to_pylist()]
+        return pa.array(texts, pa.string())
+
+    return run(kept)
+
+
 def _cut(body: bytes, ranges: list[dict]) -> tuple[int, int, bytes]:
     kept, at, spans, removed, edge = [], 0, 0, 0, -1
     for low, high in sorted((r["low"], r["high"]) for r in ranges):
