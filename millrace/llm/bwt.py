@@ -2,13 +2,15 @@
 
 A shard is a list of byte strings. Every string ends with a terminator of its own, and terminators
 sort below all bytes, in the order of the strings. The transform of a shard lists, for its suffixes
-in sorted order, the symbol before each of them.
+in sorted order, the symbols before each of them; with these, one suffix leads to the next longer one.
 
-The merge never looks at a suffix again. It starts from all entries of the first shard, then those of
-the second, and so on; this order is right for prefixes of length 0. From the order by prefixes of
-length h, a stable sort by the preceding symbols gives the order by prefixes of length h + 1. Where
-two neighbours begin to differ, their common prefix ends, so the refinement also finds which
-neighbours share a prefix of a given length: these are the repeated intervals.
+The merge compares no suffixes. It starts from all entries of the first shard, then those of the
+second, and so on; this order is right for prefixes of length 0. From the order by prefixes of length
+h, a stable sort by the preceding symbols gives the order by prefixes of length h + step, and entries
+of a shard always keep their order. Where two neighbours begin to differ, their common prefix ends, so
+entries fall into blocks of equal prefixes. What stands before an entry that is alone in its block is
+alone, too: such entries are final and take no part in further rounds. Blocks that are left at the
+wanted depth are the repeated intervals.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ import numpy as np
 
 @dataclass
 class Transform:
-    """Per suffix in sorted order: preceding symbol (byte + 1, or 0), string and offset."""
+    """Per suffix in sorted order: the two symbols before it as numbers of 9 bits each (byte + 1, or 0
+    before the start), the entries of the suffixes that begin there (or -1), string and offset."""
 
-    symbols: np.ndarray
+    before: np.ndarray
+    entries: np.ndarray
     string: np.ndarray
     offset: np.ndarray
-    strings: int
 
 
 def transform(strings: list[bytes]) -> Transform:
@@ -50,49 +53,56 @@ def transform(strings: list[bytes]) -> Transform:
     order = np.empty(total, np.int64)
     order[rank] = np.arange(total)
     string = np.repeat(np.arange(count), sizes)
-    offset = np.arange(total) - np.repeat(ends - sizes + 1, sizes)
-    symbols = np.where(offset[order] == 0, 0, text[order - 1] - count + 1)
-    return Transform(symbols.astype(np.uint16), string[order], offset[order], count)
+    offset = (np.arange(total) - np.repeat(ends - sizes + 1, sizes))[order]
+    symbols = np.maximum(text - count + 1, 0)
+    # Symbols and entries one and two places before each suffix.
+    back = np.stack([(order - 1) % total, (order - 2) % total])
+    outside = np.stack([offset < 1, offset < 2])
+    return Transform(
+        np.where(outside, 0, symbols[back]), np.where(outside, -1, rank[back]), string[order], offset
+    )
 
 
 def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, starts): entries of all shards, one after the other, in merged order, and whether each
-    differs from the entry before it within ``depth`` symbols."""
-    symbols = np.concatenate([t.symbols for t in shards])
-    total = len(symbols)
-    source = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(t.symbols) for t in shards])
-    terminators = np.repeat(
-        np.arange(len(shards), dtype=np.uint16), [t.strings for t in shards]
-    )
-    block = np.zeros(total, np.int32)
-    inner = np.empty(total, np.uint16)
-    count = len(terminators)
-    for _ in range(depth):
-        # The entries of each shard keep their order, so the symbols can be dealt out by shard.
-        inner[np.argsort(source, kind="stable")] = symbols
-        moved = np.argsort(inner, kind="stable")[count:]
-        source = np.concatenate([terminators, source[moved]])
-        ahead, behind = moved[1:], moved[:-1]
-        fresh = np.ones(total, bool)
-        fresh[count + 1 :] = (inner[ahead] != inner[behind]) | (block[ahead] != block[behind])
-        grown = np.cumsum(fresh, dtype=np.int32)
-        if grown[-1] == total:
-            block = grown
+    """(entries, blocks) of the repeated intervals: entries count through all shards, come in merged
+    order, and have equal blocks if they share the first ``depth`` symbols.
+
+    Rounds take two symbols at a time, and one symbol once if ``depth`` is odd.
+    """
+    firsts = np.cumsum([0, *(len(t.string) for t in shards)])
+    before = np.concatenate([t.before for t in shards], axis=1)
+    entries = np.concatenate(
+        [np.where(t.entries < 0, -1, t.entries + f) for t, f in zip(shards, firsts)], axis=1
+    ).astype(np.int32)
+    # Two symbols as one number of 16 bits, unless all byte values occur.
+    present = np.zeros(258, bool)
+    present[before[0]] = present[0] = True
+    rank = np.cumsum(present) - 1
+    kind = np.uint16 if present.sum() ** 2 <= 1 << 16 else np.uint32
+    one = rank[before[0]].astype(kind)
+    two = (rank[before[1]] * int(present.sum()) + rank[before[0]]).astype(kind)
+    merged = np.arange(before.shape[1], dtype=np.int32)
+    block = np.zeros(len(merged), np.int32)
+    for step in [1] * (depth % 2) + [2] * (depth // 2):
+        led = entries[step - 1][merged]
+        there = led >= 0
+        key = (one if step == 1 else two)[merged[there]]
+        order = np.argsort(key, kind="stable")
+        key, block, merged = key[order], block[there][order], led[there][order]
+        same = (key[1:] == key[:-1]) & (block[1:] == block[:-1])
+        block = np.cumsum(np.append(True, ~same), dtype=np.int32)[: len(merged)]
+        shared = np.append(same, False) | np.append(False, same)
+        merged, block = merged[shared[: len(merged)]], block[shared[: len(merged)]]
+        if not len(merged):
             break
-        block = grown
-    order = np.argsort(source, kind="stable")
-    merged = np.empty(total, np.int64)
-    merged[order] = np.arange(total)
-    return merged, np.diff(block, prepend=-1) != 0
+    return merged, block
 
 
 def repeated_windows(strings: list[bytes], shards: int, depth: int):
     """(interval, string, offset) of every window of ``depth`` bytes that occurs more than once."""
     parts = [list(range(i, len(strings), shards)) for i in range(min(shards, len(strings)))]
     made = [transform([strings[i] for i in part]) for part in parts]
-    merged, starts = merge(made, depth)
-    interval = np.cumsum(starts) - 1
+    merged, interval = merge(made, depth)
     string = np.concatenate([np.array(p)[t.string] for p, t in zip(parts, made)])[merged]
     offset = np.concatenate([t.offset for t in made])[merged]
-    many = np.bincount(interval)[interval] > 1
-    return interval[many], string[many], offset[many]
+    return interval, string, offset
