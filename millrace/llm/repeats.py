@@ -33,7 +33,7 @@ from millrace.sources.storage import stage
 SPAN = 100
 GRAM = 24
 #: Occurrences of an anchor up to which its segments are one group.
-HOT = 4096
+HOT = 16384
 #: Bytes of different segments whose shards are merged at a time, and shards for one merge.
 MERGE_BYTES = 1 << 18
 SHARDS = 4
@@ -132,14 +132,19 @@ def _segment_rows(span: int, gram: int):
             for doc_id, text, keys, hot in zip(*(c.to_pylist() for c in batch.columns)):
                 if doc_id == before:  # a repeated row
                     continue
-                before = doc_id
+                before, covered = doc_id, None
                 for row in _segments(doc_id, text.encode("utf-8"), keys, hot, span, gram):
                     mark = (row[0], row[1], row[2])
-                    if mark in seen:
-                        row = (*row[:6], None)
-                    else:
+                    if mark not in seen:
                         seen.add(mark)
                         size += len(row[6])
+                        covered = None
+                    elif covered is not None and row[4] == covered[4] + covered[5]:
+                        # It follows a covered one without a gap: one longer range.
+                        covered = rows.pop()
+                        row = covered = (*covered[:5], covered[5] + row[5], None)
+                    else:
+                        row = covered = (*row[:6], None)
                     rows.append(row)
                 if size > 1 << 22 or len(rows) > 50_000:
                     yield _batch(rows)
