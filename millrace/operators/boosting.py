@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
@@ -15,16 +17,19 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from millrace.functions.columns import present_double
-from millrace.operators.features import FEATURES, feature_stages
+from millrace.operators.features import FEATURES, check_levels, feature_stages
 from millrace.sources.storage import delete_path, fresh_path, shared_dir
 
 LABEL = "_label"
 # The defaults of the three model parameters.
 DEFAULT_PARAMS = {"learning_rate": 0.01, "n_estimators": 100, "max_depth": 6}
 STAGE_EVERY = 10
+# Rows, about, whose quantiles are the edges of bins.
+EDGE_ROWS = 50_000
+# The tree learners' own default.
+DEFAULT_BINS = 32
 
 
 def _parameters(params: Mapping[str, Any] | None) -> tuple[float, int, int, dict[str, Any]]:
@@ -38,21 +43,46 @@ def _parameters(params: Mapping[str, Any] | None) -> tuple[float, int, int, dict
 def _training_rows(
     df: DataFrame, cat: Sequence[str], num: Sequence[str], target: str
 ) -> Iterator[DataFrame]:
-    """The columns a fit needs.
-
-    A fit passes over its rows many times. An input with fewer partitions than there are cores is
-    small, so it is spread over all cores once and kept for the fit. A larger one stays where it is.
-    """
+    """The columns a fit needs, written once, since a fit passes over its rows many times."""
     rows = df.select(*(F.col(f"`{c}`") for c in (*cat, *num)), present_double(target).alias(LABEL))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        yield rows
-        return
-    spread = rows.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    path = fresh_path(df.sparkSession, "training")
     try:
-        yield spread
+        rows.write.parquet(path)
+        yield df.sparkSession.read.schema(rows.schema).parquet(path)
     finally:
-        spread.unpersist()
+        delete_path(df.sparkSession, path)
+
+
+def bin_edges(rows: DataFrame, num: Sequence[str], bins: int) -> list[list[float]]:
+    """Lower edges of all bins but the first, for each numeric feature.
+
+    The learner would draw its split points from rows it picks by their place, so the model would
+    depend on the partitioning. These edges depend on the values alone: rows are picked by a hash of
+    their contents, about ``EDGE_ROWS`` of them, and their exact quantiles are taken. A feature with
+    at most ``bins`` different values has a bin for each.
+    """
+    if not num:
+        return []
+    share = min(1.0, EDGE_ROWS / max(1, rows.count()))
+    picked = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)) < share * (1 << 20))
+    steps = F.array(*(F.lit(i / bins) for i in range(1, bins)))
+    row = picked.agg(
+        *(
+            column.alias(f"{kind}{i}")
+            for i, c in enumerate(num)
+            for kind, column in (
+                ("q", F.percentile(F.col(f"`{c}`").cast("double"), steps)),
+                ("v", F.collect_set(F.col(f"`{c}`").cast("double"))),
+            )
+        )
+    ).first()
+    edges = []
+    for i in range(len(num)):
+        values = sorted(v for v in row[f"v{i}"] if math.isfinite(v))
+        few = values[1:] or values
+        found = few if len(values) <= bins else sorted(set(row[f"q{i}"]))
+        edges.append([float(x) for x in found] or [0.0])
+    return edges
 
 
 def fit_gbt(
@@ -79,7 +109,9 @@ def fit_gbt(
         **options,
     )
     with _training_rows(df, cat, num, target) as training:
-        return Pipeline(stages=[*feature_stages(cat, num), regressor]).fit(training)
+        check_levels(training, cat)
+        edges = bin_edges(training, num, regressor.getMaxBins())
+        return Pipeline(stages=[*feature_stages(cat, num, edges), regressor]).fit(training)
 
 
 def fit_mean_boost(
@@ -120,11 +152,16 @@ def fit_mean_boost(
         return path, spark.read.parquet(path)
 
     with _training_rows(df, cat, num, target) as training:
-        encoder = Pipeline(stages=feature_stages(cat, num)).fit(training)
+        check_levels(training, cat)
+        edges = bin_edges(training, num, int(extra.get("maxBins", DEFAULT_BINS)))
+        encoder = Pipeline(stages=feature_stages(cat, num, edges)).fit(training)
         path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
-    mean = stored.agg(F.avg(LABEL)).first()[0]
-    # A few rows will do for the tree that knows the mean only; one row would allow no split bins.
-    trees, weights = [grow(stored.limit(100).withColumn(LABEL, F.lit(mean)), 0)], [1.0]
+    mean, any_row = stored.agg(F.avg(LABEL), F.first(FEATURES)).first()
+    if any_row is None:
+        raise ValueError("there is no row to fit a model on")
+    # The tree that knows the mean only is grown from two rows of the right size.
+    blank = spark.createDataFrame([(Vectors.sparse(any_row.size, []), mean)] * 2, [FEATURES, LABEL])
+    trees, weights = [grow(blank, 0)], [1.0]
     pending = 1
     for _ in range(rounds):
         left_over = remainder(stored, trees[-pending:], weights[-pending:]) if pending else stored

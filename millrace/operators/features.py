@@ -6,19 +6,31 @@ import json
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Bucketizer,
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FEATURES = "_features"
+# Levels of one categorical column: they all go to the driver and into the model.
+MAX_LEVELS = 100_000
 
 
-def feature_stages(cat: Sequence[str], num: Sequence[str]) -> list:
+def feature_stages(
+    cat: Sequence[str], num: Sequence[str], edges: Sequence[Sequence[float]] | None = None
+) -> list:
     """Stages that turn the columns into one vector: one-hot block first, then the numbers.
 
     Levels are learnt in the fit, in alphabetical order. A level not seen there, or NULL, gives all
     zeros: the indexer puts it in an extra last slot, which the encoder leaves out. A missing
-    number stops the query and the error names its column.
+    number stops the query and the error names its column. With ``edges``, a number becomes the
+    index of its bin.
     """
     index = [f"_index_{c}" for c in cat]
     onehot = [f"_onehot_{c}" for c in cat]
@@ -31,6 +43,12 @@ def feature_stages(cat: Sequence[str], num: Sequence[str]) -> list:
             for c, alias in zip(num, numeric, strict=True)
         )
         stages.append(SQLTransformer(statement=f"SELECT *, {checked} FROM __THIS__"))
+    if num and edges is not None:
+        binned = [f"_bin_{i}" for i in range(len(num))]
+        infinite = float("inf")
+        splits = [[-infinite, *own, infinite] for own in edges]
+        stages.append(Bucketizer(splitsArray=splits, inputCols=numeric, outputCols=binned))
+        numeric = binned
     if cat:
         stages += [
             StringIndexer(
@@ -47,6 +65,14 @@ def feature_stages(cat: Sequence[str], num: Sequence[str]) -> list:
     return stages
 
 
+def check_levels(df: DataFrame, cat: Sequence[str], most: int = MAX_LEVELS) -> None:
+    """Raise if a categorical column has more than ``most`` levels; none is ever left out."""
+    for c in cat:
+        levels = df.select(F.col(f"`{c}`")).distinct().limit(most + 2).count()
+        if levels > most + 1:  # NULL is no level
+            raise ValueError(f"categorical column {c} has more than {most} levels")
+
+
 def _quoted(name: str) -> str:
     return name.replace("\\", "\\\\").replace("'", "\\'")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.boosting import fit_gbt, fit_mean_boost
 from millrace.operators.features import (
     FEATURES,
+    check_levels,
     check_signature,
     feature_stages,
     predict,
@@ -82,6 +83,29 @@ def test_training_needs_a_target_on_every_row(spark):
         fit_gbt(df, [], ["x"], "y", {"n_estimators": 1, "max_depth": 1})
 
 
+@pytest.mark.parametrize("fit", [fit_gbt, fit_mean_boost])
+def test_a_fit_does_not_depend_on_partitions(spark, fit):
+    rows = spark.range(15_000).select(
+        F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("c"),
+        (F.xxhash64("id") % 1_000_003).cast("double").alias("x"),
+        F.sin(F.col("id")).alias("z"),
+    )
+    rows = rows.withColumn("y", F.col("x") / 1000 + 50 * F.col("z") + F.length("c"))
+    params = {"n_estimators": 3, "max_depth": 4, "learning_rate": 0.3}
+    found = []
+    for parts in (1, 4, 9):
+        model = fit(rows.repartition(parts), ["c"], ["x", "z"], "y", params)
+        scored = predict(model, rows).orderBy("x", "z").select("prediction").collect()
+        found.append([r[0] for r in scored])
+    assert found[0] == pytest.approx(found[1]) and found[0] == pytest.approx(found[2])
+    assert len(set(found[0])) > 20
+
+
+def test_too_many_levels_are_named(prices):
+    with pytest.raises(ValueError, match="column k has more than 100 levels"):
+        check_levels(prices.withColumn("k", F.col("k").cast("string")), ["c", "k"], 100)
+
+
 def test_signature(spark, prices):
     recorded = signature(prices, ["c", "k"])
     assert [f["name"] for f in json.loads(recorded)["inputs"]] == ["c", "k"]
