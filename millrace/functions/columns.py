@@ -32,12 +32,16 @@ def lenient_double(name: str, data_type: T.DataType) -> Column:
 def strict_long(name: str) -> Column:
     """``name`` as bigint, cut towards zero; a missing or unusable value stops the query.
 
+    Text may hold a whole number of any size that fits, or a number with a fraction.
+
     The check is part of the value itself, so it cannot be pruned away while the value is in use.
     """
     source = F.col(f"`{name}`")
     shown = F.coalesce(source.cast("string"), F.lit("NULL"))
     message = F.concat(F.lit(f"column {name} holds a value that is no integer: "), shown)
-    return F.coalesce(source.try_cast("bigint"), F.raise_error(message).cast("bigint"))
+    # Text such as 5.0 is no bigint, but a double; an infinite one is neither.
+    number = F.coalesce(source.try_cast("bigint"), source.try_cast("double").try_cast("bigint"))
+    return F.coalesce(number, F.raise_error(message).cast("bigint"))
 
 
 def present_double(name: str) -> Column:

@@ -9,15 +9,29 @@ FILE, BLOCK, LINE = "_file", "_block", "_line"
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, sep: str = ",", with_position: bool = False
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    with_position: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read delimited text with a header line; every column is a string.
 
     Types are not inferred: that would read the data twice, and one bad cell would turn its whole
-    column into text. ``with_position`` adds where each row stood: file, first byte of the block
+    column into text. A quote inside a quoted cell is written twice. A row of another width stops the
+    query, as does a file whose header differs from the first one's. Line breaks inside cells need
+    ``multiline=True``, and then a file is not split among tasks. ``with_position`` adds where each row stood: file, first byte of the block
     and a position that counts up inside the block.
     """
-    raw = spark.read.csv(path, header=True, sep=sep)
+    raw = spark.read.csv(
+        path,
+        header=True,
+        sep=sep,
+        escape='"',
+        enforceSchema=False,
+        multiLine=multiline,
+        mode="FAILFAST",
+    )
     if not with_position:
         return raw
     return raw.select(

@@ -56,7 +56,7 @@ def test_strict_int_cuts_towards_zero(spark):
 
 @pytest.mark.parametrize(
     ("value", "kind"),
-    [(None, "string"), ("5.0", "string"), ("x", "string"), (None, "double"), (float("nan"), "double")],
+    [(None, "string"), ("5,0", "string"), ("x", "string"), (None, "double"), (float("nan"), "double")],
 )
 def test_strict_int_refuses_bad_values(spark, value, kind):
     df = spark.createDataFrame([(value,)], f"y {kind}")
@@ -68,11 +68,18 @@ def test_strict_int_fails_with_ansi_mode_off(spark):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
         with pytest.raises(Exception, match="no integer"):
-            clean.cast_strict_int(spark.createDataFrame([("5.0",)], "y string"), "y").collect()
+            clean.cast_strict_int(spark.createDataFrame([("5,0",)], "y string"), "y").collect()
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_strict_int_cuts_text_with_a_fraction(spark):
+    texts = ["5.0", "-2.7", "7", str(2**60 + 1), "1e3"]
+    df = spark.createDataFrame([(t,) for t in texts], "y string")
+    found = [r["y"] for r in clean.cast_strict_int(df, "y").collect()]
+    assert found == [5, -2, 7, 2**60 + 1, 1000]
+
+
 def test_projection_keeps_order_and_turns_the_key_into_text(spark):
     df = spark.createDataFrame([(1, 2.0, "w", 5, "gone")], "Id bigint, p H double, type string, q bigint, z string".replace("p H", "`p H`"))
     chosen = clean.select_features(df, ["type"], ["p H"], "q", "Id")
