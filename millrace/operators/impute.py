@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# At most this many values of a column are sorted inside one task; above it the search narrows.
-SORT_LIMIT = 1_000_000
 # About this many values are drawn to propose the next interval.
 PROPOSAL_SIZE = 1_000_000
 PROPOSAL_ACCURACY = 10_000
@@ -90,7 +88,6 @@ class _MedianSearch:
 def exact_medians(
     df: DataFrame,
     columns: Sequence[str],
-    sort_limit: int = SORT_LIMIT,
     proposal_size: int = PROPOSAL_SIZE,
 ) -> dict[str, float | None]:
     """Exact median of each column; missing values are skipped, no values give None.
@@ -99,9 +96,9 @@ def exact_medians(
     interval that is known to hold the middle. Quantiles of some random values in it propose two
     cuts, then a scan counts all values below, on, between and above them, and the part with the
     middle is the next interval. Only these counts decide, so the result is exact whatever was
-    drawn. A good proposal leaves about half a percent of the values; at most ``sort_limit`` values
-    per column are sorted in the end. That takes two scans for up to ``sort_limit`` rows, four for
-    10^8 and eight for 10^12, with all columns in the same scans.
+    drawn. The search ends when the middle is one of the cuts; a good proposal leaves about half a
+    percent of the values, and few values are proposed exactly. All columns share the scans, and no
+    task holds more than sketches. Values are compared as doubles.
     """
     if not columns:
         return {}
@@ -114,7 +111,7 @@ def exact_medians(
         if n
     }
     while True:
-        wide = {c: s for c, s in searches.items() if s.lower is None and s.inside > sort_limit}
+        wide = {c: s for c, s in searches.items() if s.lower is None}
         if not wide:
             break
         cuts = _propose(scan, values, wide, proposal_size)
@@ -160,28 +157,17 @@ def _propose(
 def _read_middles(
     scan: DataFrame, values: Mapping[str, Column], searches: Mapping[str, _MedianSearch]
 ) -> None:
-    """One scan that sorts the small intervals and finds what follows each lower middle value."""
+    """One scan that finds what follows each lower middle value of an even number of values."""
     wanted = {}
     for c, s in searches.items():
-        if s.lower is None:
-            ordered = F.sort_array(F.collect_list(s.interior(values[c])))
-            at = s.rank - s.before
-            wanted[c, "lower"] = F.get(ordered, F.lit(at))
-            wanted[c, "upper"] = F.get(ordered, F.lit(at + 1))
-            if s.high is not None:
-                wanted[c, "next"] = F.min(F.when(values[c] >= s.high, values[c]))
-        elif s.even:
+        if s.even:
             wanted[c, "reached"] = F.count_if(values[c] <= s.lower)
             wanted[c, "next"] = F.min(F.when(values[c] > s.lower, values[c]))
     if not wanted:
         return
     found = _first(scan, wanted)
     for c, s in searches.items():
-        if s.lower is None:
-            s.lower, s.upper = found[c, "lower"], found[c, "upper"]
-            if s.upper is None:
-                s.upper = found.get((c, "next"))
-        elif s.even:
+        if s.even:
             same = found[c, "reached"] > s.rank + 1
             s.upper = s.lower if same else found[c, "next"]
 
@@ -242,7 +228,13 @@ def impute(
 ) -> DataFrame:
     """Fill missing values by a rule per column; columns without a rule keep theirs.
 
-    The statistics come first, as a few scans of the ruled columns; the fill itself is a projection
+    Integer and decimal columns with a median or mean become double whatever the data, so a table's
+    schema follows from its types and rules. The statistics come first, as a few scans of the ruled columns; the fill itself is a projection
     with constants, so it needs neither join nor shuffle however often the result is read.
     """
-    return fill_missing(df, column_statistics(df, rules, approx))
+    computed = [c for c, rule in rules.items() if rule in ("median", "mean")]
+    exact = (T.IntegralType, T.DecimalType)
+    widened = {
+        c: F.col(f"`{c}`").cast("double") for c in computed if isinstance(df.schema[c].dataType, exact)
+    }
+    return fill_missing(df.withColumns(widened), column_statistics(df, rules, approx))

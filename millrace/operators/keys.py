@@ -10,17 +10,15 @@ from pyspark.sql import functions as F
 from millrace.sources.raw_csv import BLOCK, FILE, LINE
 from millrace.sources.storage import stage
 
-# Offsets are broadcast up to this many blocks (a few tens of MB); beyond it they are joined.
-BROADCAST_BLOCKS = 500_000
-
 
 def _number_staged(staged: DataFrame, block: Sequence[str], line: str, name: str) -> DataFrame:
     """Number stored rows 1..n, given their block and an ascending position inside the block.
 
     Blocks sort by the columns ``block``; inside a block ``line`` counts up by one from anywhere,
     and a gap is an error. One small aggregate per block gives its first line and size, and the
-    running sum of the sizes is the block's offset. Each row then finds its number by itself: data
-    rows are not shuffled.
+    running sum of the sizes is the block's offset. Blocks are known by a 64-bit hash, so an offset is
+    16 bytes however long file names are, and all offsets are broadcast: 16 MB for a million blocks,
+    which is 128 TB in blocks of 128 MB. Data rows are never shuffled.
     """
     size = F.count(F.lit(1))
     gap = F.raise_error(F.lit("rows were removed after their positions had been taken"))
@@ -31,13 +29,14 @@ def _number_staged(staged: DataFrame, block: Sequence[str], line: str, name: str
     # One row per block, not per data row, so one task can hold the running sum.
     earlier = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *block,
+        F.xxhash64(*block).alias("_hash"),
         (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
     offsets = stage(offsets, "offsets")
-    if offsets.count() <= BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
-    numbered = staged.join(offsets, list(block), "inner")
+    if offsets.count() != offsets.select("_hash").distinct().count():
+        raise RuntimeError("two blocks share a hash; store the rows in other files")
+    hashed = staged.withColumn("_hash", F.xxhash64(*block))
+    numbered = hashed.join(F.broadcast(offsets), "_hash")
     data = [F.col(f"`{c}`") for c in staged.columns if c not in (*block, line)]
     return numbered.select(*data, (F.col(line) + F.col("_shift")).cast("bigint").alias(name))
 

@@ -131,7 +131,7 @@ def run_dataset(spark: SparkSession, ledger: str, run_id: str) -> DataFrame:
     if row is None or row["dataset_table"] is None:
         raise ValueError(f"run {run_id} has no recorded dataset")
     if row["dataset_version"] is None:
-        return spark.table(row["dataset_table"])
+        raise ValueError(f"run {run_id} recorded no version of {row['dataset_table']}")
     return read_snapshot(spark, row["dataset_table"], row["dataset_version"])
 
 

@@ -102,11 +102,19 @@ def save_predictions(
     """Join predictions to their rows, stamp the time, replace ``table`` and return it.
 
     No predictions: nothing is written and the result is ``None``. Rows without a prediction get
-    NULL, predictions without a row are left out.
+    NULL, predictions without a row are left out. Two predictions for one key stop the query; they are
+    counted in the shuffle that the join needs anyway.
     """
     if predictions is None or predictions.isEmpty():
         return None
-    return save_scored(attach_by_key(df, predictions, key), table)
+    values = [c for c in predictions.columns if c != key]
+    repeated = F.concat(F.lit(f"more than one prediction for {key} "), F.col(f"`{key}`").cast("string"))
+    packed = F.first(F.struct(*(F.col(f"`{c}`") for c in values)))
+    single = predictions.groupBy(F.col(f"`{key}`")).agg(
+        F.when(F.count(F.lit(1)) == 1, packed).otherwise(F.raise_error(repeated)).alias("_row")
+    )
+    single = single.select(F.col(f"`{key}`"), *(F.col("_row")[c].alias(c) for c in values))
+    return save_scored(attach_by_key(df, single, key), table)
 
 
 def save_scored(scored: DataFrame, table: str) -> DataFrame:

@@ -10,14 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import digest_number, key_digest
-from millrace.operators.keys import add_sequential_key
 
 # Candidates for the boundary row are ordered once there are no more than this many.
 CANDIDATE_LIMIT = 100_000
 DIGITS = 3
 DIGEST_LENGTH = 32
-# Larger limits are cut by row number, since a limit gathers its rows in one place.
-LIMIT_ROWS = 100_000
 
 
 def _check_size(test_size: float) -> None:
@@ -118,8 +115,9 @@ def split_bucket(
 
 
 def ordered_limit(df: DataFrame, keys: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows in the order of ``keys``, which must end in a unique one."""
-    if n <= LIMIT_ROWS:
-        return df.orderBy(*keys).limit(n)
-    number = "_row_number"
-    return add_sequential_key(df, keys, number).where(F.col(number) <= n).drop(number)
+    """The first ``n`` rows in the order of ``keys``, which must end in a unique one.
+
+    Lazy and ordered for every ``n``. Each task keeps its first ``n`` rows and one task merges them, so
+    ``n`` is meant for results that fit into one task.
+    """
+    return df.orderBy(*keys).limit(n)

@@ -67,23 +67,35 @@ def read_snapshot(spark: SparkSession, table: str, version: int | None = None) -
     return spark.table(table).where(F.col(VERSION) == version).drop(VERSION)
 
 
-def record_changes(spark: SparkSession, table: str) -> None:
-    """Mark a table as one whose row changes are wanted, as a table property."""
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('millrace.changes' = 'true')")
-
-
 def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows that were inserted, deleted or updated between two versions with a unique key.
 
     Each changed key comes once, with its new values (old values for a delete) and ``change_type``.
-    Values are compared so that NULL equals NULL, and a column that one side lacks counts as NULL.
+    Values and keys are compared so that NULL equals NULL, and a column that one side lacks counts as
+    NULL. A key that comes twice in one version stops the query.
     """
     schema = merged_schema(old.schema, new.schema)
     fields = [f.name for f in schema if f.name.lower() != key.lower()]
     packed = F.struct(*(F.col(f"`{f.name}`") for f in schema))
-    before = align(old, schema).select(F.col(f"`{key}`").alias(key), packed.alias("_before"))
-    after = align(new, schema).select(F.col(f"`{key}`").alias(key), packed.alias("_after"))
-    joined = before.join(after, key, "full_outer")
+    repeated = F.concat(F.lit(f"more than one row of a version has {key} "), F.col(key).cast("string"))
+    repeated = F.raise_error(F.coalesce(repeated, F.lit(f"more than one row has no {key}")))
+
+    def one_each(side: DataFrame, name: str) -> DataFrame:
+        rows = align(side, schema).select(F.col(f"`{key}`").alias(key), packed.alias("_row"))
+        single = F.when(F.count(F.lit(1)) == 1, F.first("_row")).otherwise(repeated)
+        return rows.groupBy(key).agg(single.alias(name))
+
+    before, after = one_each(old, "_before"), one_each(new, "_after")
+    joined = before.where(F.col(key).isNotNull()).join(
+        after.where(F.col(key).isNotNull()), key, "full_outer"
+    )
+    # A join never pairs NULL keys; each side has one such row at most.
+    missing = before.where(F.col(key).isNull()).select(F.lit(0).alias("_k"), "_before")
+    missing = missing.join(
+        after.where(F.col(key).isNull()).select(F.lit(0).alias("_k"), "_after"), "_k", "full_outer"
+    )
+    nothing = F.lit(None).cast(schema[key].dataType)
+    joined = joined.unionByName(missing.select(nothing.alias(key), "_before", "_after"))
     change = (
         F.when(F.col("_before").isNull(), "insert")
         .when(F.col("_after").isNull(), "delete")

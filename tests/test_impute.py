@@ -3,6 +3,7 @@ import statistics
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators.impute import column_statistics, exact_medians, impute
 
@@ -32,9 +33,7 @@ def test_narrowing_search_is_exact(spark, rows):
         }
     )
     frame.loc[rng.random(rows) < 0.1, "smooth"] = np.nan
-    found = exact_medians(
-        spark.createDataFrame(frame), list(frame.columns), sort_limit=200, proposal_size=2000
-    )
+    found = exact_medians(spark.createDataFrame(frame), list(frame.columns), proposal_size=2000)
     assert found == {c: frame[c].median() for c in frame}
 
 
@@ -45,7 +44,7 @@ def test_a_wrong_proposal_does_not_change_the_result(spark, monkeypatch, shares)
     monkeypatch.setattr(module._MedianSearch, "shares", lambda self, drawn: shares)
     numbers = [float(i * 37 % 51) for i in range(60)]
     df = spark.createDataFrame([(x,) for x in numbers], "x double")
-    found = exact_medians(df, ["x"], sort_limit=50, proposal_size=1000)
+    found = exact_medians(df, ["x"], proposal_size=1000)
     assert found == {"x": statistics.median(numbers)}
 
 
@@ -70,12 +69,16 @@ def test_impute_leaves_columns_without_any_value(spark):
     assert impute(df.where("false"), {"a": "mean"}).count() == 0
 
 
-def test_integer_columns_are_widened_only_when_needed(spark):
-    df = spark.createDataFrame([(1,), (2,), (None,)], "a int")
-    assert impute(df, {"a": 0}).dtypes == [("a", "int")]
-    widened = impute(df, {"a": "mean"})
-    assert widened.dtypes == [("a", "double")]
-    assert sorted(r[0] for r in widened.collect()) == [1.0, 1.5, 2.0]
+@pytest.mark.parametrize("values", [[1, 2, None], [1, 3, None]])
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(10,0)"])
+def test_types_follow_from_types_and_rules(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in values], "a int").select(F.col("a").cast(kind))
+    assert impute(df, {"a": 0}).dtypes == [("a", kind)]
+    middle = (values[0] + values[1]) / 2
+    for rule in ("mean", "median"):
+        widened = impute(df, {"a": rule})
+        assert widened.dtypes == [("a", "double")]
+        assert sorted(r[0] for r in widened.collect()) == sorted([*map(float, values[:2]), middle])
 
 
 def test_approximate_median_is_close(people):

@@ -48,10 +48,15 @@ def test_file_rows_must_be_complete(spark, people, tmp_path):
         keys.number_file_rows(raw.where("level <> 'a'"))
 
 
-def test_offsets_are_joined_when_there_are_too_many_blocks(people, monkeypatch):
-    monkeypatch.setattr(keys, "BROADCAST_BLOCKS", 0)
-    rows = keys.add_sequential_key(people, ["key"]).select("key", "id").collect()
-    assert sorted(r["id"] - r["key"] for r in rows) == [1] * 1000
+def test_a_million_blocks_are_broadcast_by_hash(spark):
+    staged = spark.range(1_000_000).select(
+        F.concat(F.lit("file:/a/long/path/of/a/file/"), F.col("id").cast("string")).alias("_file"),
+        F.lit(0).alias("_block"),
+        F.col("id").alias("_line"),
+    )
+    numbered = keys._number_staged(staged, ["_file", "_block"], "_line", "id")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_zip_by_position(spark):

@@ -68,6 +68,12 @@ def test_save_predictions(spark, items, database):
     assert rows(spark.table(f"{database}.p")) == rows(written)
 
 
+def test_save_refuses_two_predictions_for_a_key(spark, items, database):
+    predictions = spark.createDataFrame([(1, 0.5), (1, 1.5), (9, 9.0)], "k int, prediction double")
+    with pytest.raises(Exception, match="more than one prediction for k 1"):
+        scoring.save_predictions(items, predictions, "k", f"{database}.p")
+
+
 @pytest.mark.parametrize("nothing", ["none", "empty"])
 def test_no_predictions_write_nothing(spark, items, database, nothing):
     predictions = None if nothing == "none" else items.select("k", "x").where("false")

@@ -83,9 +83,7 @@ def test_sizes_are_checked(people):
         split.split_bucket(people, "key", 0.00015)
 
 
-@pytest.mark.parametrize("limit_rows", [100_000, 5])
-def test_ordered_limit(people, monkeypatch, limit_rows):
-    monkeypatch.setattr(split, "LIMIT_ROWS", limit_rows)
-    first = split.ordered_limit(people, [F.desc("score"), "key"], 30).collect()
-    wanted = sorted(people.collect(), key=lambda r: (-r["score"], r["key"]))[:30]
-    assert sorted(first) == sorted(wanted)
+@pytest.mark.parametrize("n", [0, 30, 999, 200_000])
+def test_ordered_limit(people, n):
+    first = split.ordered_limit(people, [F.desc("score"), "key"], n).collect()
+    assert first == sorted(people.collect(), key=lambda r: (-r["score"], r["key"]))[:n]

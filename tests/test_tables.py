@@ -143,11 +143,35 @@ def test_change_feed_with_a_new_column(spark):
     assert rows(snapshots.change_feed(old, new, "k")) == [(1, "a", 1, "update")]
 
 
-def test_changes_property(spark, database):
-    spark.range(1).write.saveAsTable(f"{database}.t")
-    snapshots.record_changes(spark, f"{database}.t")
-    properties = spark.sql(f"SHOW TBLPROPERTIES {database}.t").where("key = 'millrace.changes'")
-    assert properties.select("value").collect() == [("true",)]
+def test_change_feed_compares_null_keys_and_refuses_doubled_ones(spark):
+    same = spark.createDataFrame([(None, "a"), (1, "b")], "k int, s string")
+    assert snapshots.change_feed(same, same, "k").isEmpty()
+    changed = spark.createDataFrame([(None, "z"), (1, "b")], "k int, s string")
+    assert rows(snapshots.change_feed(same, changed, "k")) == [(None, "z", "update")]
+    assert rows(snapshots.change_feed(same, same.where("k = 1"), "k")) == [(None, "a", "delete")]
+    for doubled in (same.union(same.where("k = 1")), same.union(same.where("k is null"))):
+        with pytest.raises(Exception, match="more than one row"):
+            snapshots.change_feed(doubled, doubled, "k").collect()
+
+
+def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n5,"he said ""hi"", ok"\n6,"two\nlines"\n')
+    found = read_raw_csv(spark, str(tmp_path), multiline=True)
+    assert rows(found) == [("5", 'he said "hi", ok'), ("6", "two\nlines")]
+
+
+@pytest.mark.parametrize("bad", ["1,2,3", "1"])
+def test_csv_rows_of_another_width_are_refused(spark, tmp_path, bad):
+    (tmp_path / "a.csv").write_text(f"x,y\n1,2\n{bad}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_raw_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path)).collect()
 
 
 def test_stages_are_removed_at_the_end_of_their_scope(spark):
