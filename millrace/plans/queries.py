@@ -406,27 +406,56 @@ def boost_mean_start(spark, sf_dir):
     return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"))
 
 
-@_query(None)
+# Two trees of depth 1 in SQL: of all splits by quantity or by one level of the flag the best one is
+# taken, then again for what the first leaves. Squared error hands on twice the remainder.
+@_query(
+    """
+    WITH cells AS (
+        SELECT l_quantity AS q, l_returnflag AS r, count(*) AS n, sum(l_extendedprice) AS s
+        FROM lineitem GROUP BY l_quantity, l_returnflag
+    ), splits AS (
+        SELECT DISTINCT q AS least, NULL AS level FROM cells
+        UNION ALL SELECT DISTINCT NULL, r FROM cells
+    ), first_gains AS (
+        SELECT least, level,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN n END) AS n1,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN s END) AS s1,
+            sum(n) AS n0, sum(s) AS s0
+        FROM splits CROSS JOIN cells c GROUP BY least, level
+    ), first_tree AS (
+        SELECT least, level, s1 / n1 AS inside, (s0 - s1) / (n0 - n1) AS outside
+        FROM first_gains WHERE n1 < n0
+        ORDER BY s1 * s1 / n1 + (s0 - s1) * (s0 - s1) / (n0 - n1) DESC LIMIT 1
+    ), left_over AS (
+        SELECT q, r, n, p, 2 * (s - n * p) AS s FROM (
+            SELECT c.*, CASE WHEN c.q >= t.least OR c.r = t.level THEN inside ELSE outside END AS p
+            FROM cells c CROSS JOIN first_tree t
+        )
+    ), second_gains AS (
+        SELECT least, level,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN n END) AS n1,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN s END) AS s1,
+            sum(n) AS n0, sum(s) AS s0
+        FROM splits CROSS JOIN left_over c GROUP BY least, level
+    ), second_tree AS (
+        SELECT least, level, s1 / n1 AS inside, (s0 - s1) / (n0 - n1) AS outside
+        FROM second_gains WHERE n1 < n0
+        ORDER BY s1 * s1 / n1 + (s0 - s1) * (s0 - s1) / (n0 - n1) DESC LIMIT 1
+    )
+    SELECT l_orderkey, l_linenumber, round(
+        p + 0.1::DOUBLE * CASE WHEN c.q >= t.least OR c.r = t.level THEN inside ELSE outside END, 3
+    ) AS prediction
+    FROM lineitem JOIN left_over c ON l_quantity = c.q AND l_returnflag = c.r CROSS JOIN second_tree t
+    """
+)
 def gbt_fit_score(spark, sf_dir):
     items = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_returnflag",
-        "l_linestatus",
-        "l_quantity",
-        "l_discount",
-        "l_tax",
-        "l_extendedprice",
-    )
-    params = {"learning_rate": 0.1, "n_estimators": 5, "max_depth": 4}
-    model = boosting.fit_gbt(
-        items,
-        ["l_returnflag", "l_linestatus"],
-        ["l_quantity", "l_discount", "l_tax"],
-        "l_extendedprice",
-        params,
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice"
     )
-    return predict(model, items).select("l_orderkey", "l_linenumber", "prediction")
+    params = {"learning_rate": 0.1, "n_estimators": 2, "max_depth": 1, "maxBins": 64}
+    model = boosting.fit_gbt(items, ["l_returnflag"], ["l_quantity"], "l_extendedprice", params)
+    scored = predict(model, items)
+    return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"))
 
 
 @_query(
@@ -454,6 +483,17 @@ def csv_round_trip(spark, sf_dir):
     return clean.cast_strict_int(typed, "o_orderkey")
 
 
+@_query("SELECT doc_id, text, n_chars FROM documents")
+def csv_quoted_text(spark, sf_dir):
+    path = storage.fresh_path(spark, "csv")
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs.write.csv(path, header=True, escape='"', emptyValue="")
+    # A cell may fill a whole text, line breaks included.
+    typed = raw_csv.read_raw_csv(spark, path, multiline=True)
+    typed = clean.cast_strict_int(clean.cast_strict_int(typed, "doc_id"), "n_chars")
+    return typed.withColumn("text", F.coalesce("text", F.lit("")))
+
+
 @_query("SELECT p_partkey, p_name, p_retailprice FROM part")
 def overwrite_table(spark, sf_dir):
     table = f"{_database(spark)}.part"

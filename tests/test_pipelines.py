@@ -11,6 +11,7 @@ from millrace.operators.boosting import fit_mean_boost
 from millrace.plans.pipelines import Columns, prepare, score_batch, train_and_promote
 from millrace.sources.snapshots import read_snapshot
 
+# The schema of the table these jobs were designed for.
 NUMERIC = [
     "fixed_acidity",
     "volatile_acidity",
@@ -169,27 +170,30 @@ def test_an_empty_test_table_never_promotes(spark, database, raw_file, tmp_path)
     assert outcome["version"] is None and outcome["r2_score"] is None
 
 
-def test_clean_table_on_five_rows(spark):
-    """The small table on which the cleaning rules are usually shown."""
+def test_clean_table_with_ties_and_bad_cells(spark):
     from millrace.operators.split import split_exact
     from millrace.plans.pipelines import clean_table
 
     rows = [
-        (7.0, 0.27, 1.001, 3.0, 8.8, 6, "white"),
-        (7.4, 0.24, 0.998, 3.1, 9.5, 5, "red"),
-        (7.8, 0.26, 0.997, 3.2, 10.0, 7, "white"),
-        (6.9, 0.30, 1.002, 3.05, 9.2, 5, "red"),
-        (7.2, 0.25, 0.999, 3.15, 9.8, 6, "white"),
+        ("b", "4", "1.5", "10.0"),
+        ("a", "4", "n/a", "20"),
+        (None, "1", None, "30"),
+        ("a", "3", "2.5", "40"),
+        ("c", "2", "9.5", "50"),
+        ("b", "5", "NaN", "60"),
+    ]
+    raw = spark.createDataFrame(rows, "colour string, weight string, height string, price string")
+    columns = Columns(num=["height", "weight"], cat=["colour"], target="price")
+    cleaned = clean_table(raw, columns, {"height": "median"}, ["weight", "price"])
+    assert cleaned.columns == ["colour", "height", "weight", "price", "Id"]
+    found = cleaned.orderBy(F.col("Id").cast("int")).select("colour", "height", "weight", "price")
+    assert [tuple(r) for r in found.collect()] == [
+        (None, 2.5, 1.0, 30),
+        ("c", 9.5, 2.0, 50),
+        ("a", 2.5, 3.0, 40),
+        ("b", 1.5, 4.0, 10),
+        ("a", 2.5, 4.0, 20),
+        ("b", 2.5, 5.0, 60),
     ]
-    raw = spark.createDataFrame(
-        rows,
-        "fixed_acidity double, volatile_acidity double, density double, pH double, alcohol double, "
-        "quality bigint, type string",
-    )
-    columns = Columns(num=["alcohol", "pH", "density"], cat=["type"], target="quality")
-    cleaned = clean_table(raw, columns, {"alcohol": "median"}, ["pH"])
-    assert cleaned.columns == ["type", "alcohol", "pH", "density", "quality", "Id"]
     train, test = split_exact(cleaned, "Id")
-    assert (train.count(), test.count()) == (4, 1)
-    by_ph = cleaned.orderBy(F.col("Id").cast("int")).select("pH")
-    assert [r[0] for r in by_ph.collect()] == [3.0, 3.05, 3.1, 3.15, 3.2]
+    assert (train.count(), test.count()) == (4, 2)
