@@ -48,7 +48,10 @@ def feature_stages(
         infinite = float("inf")
         splits = [[-infinite, *own, infinite] for own in edges]
         stages.append(Bucketizer(splitsArray=splits, inputCols=numeric, outputCols=binned))
-        numeric = binned
+        # A bin is marked as a category; the sum is a plain number, so trees keep its order.
+        numeric = [f"_place_{i}" for i in range(len(num))]
+        places = ", ".join(f"{b} + 0D AS {p}" for b, p in zip(binned, numeric, strict=True))
+        stages.append(SQLTransformer(statement=f"SELECT *, {places} FROM __THIS__"))
     if cat:
         stages += [
             StringIndexer(

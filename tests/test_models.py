@@ -101,6 +101,15 @@ def test_a_fit_does_not_depend_on_partitions(spark, fit):
     assert len(set(found[0])) > 20
 
 
+def test_binned_numbers_keep_their_order(spark):
+    rows = spark.range(500).select((F.col("id") % 40).cast("double").alias("x"))
+    rows = rows.withColumn("y", F.when(F.col("x") >= 17, 5.0).otherwise(1.0))
+    model = fit_gbt(rows, [], ["x"], "y", {"n_estimators": 1, "max_depth": 1, "maxBins": 64})
+    assert "<=" in model.stages[-1].toDebugString
+    more = spark.createDataFrame([(-5.0,), (16.5,), (17.0,), (99.0,)], "x double")
+    assert [r["prediction"] for r in predict(model, more).collect()] == [1.0, 1.0, 5.0, 5.0]
+
+
 def test_too_many_levels_are_named(prices):
     with pytest.raises(ValueError, match="column k has more than 100 levels"):
         check_levels(prices.withColumn("k", F.col("k").cast("string")), ["c", "k"], 100)
