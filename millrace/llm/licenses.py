@@ -52,7 +52,6 @@ TEMPLATES = {
         "licensed under cc by nc 4 0",
         "creative commons attribution noncommercial 4 0 international license",
     ],
-    "cc-by": ["licensed under cc by 4 0", "creative commons attribution 4 0 international license"],
     "bsd": [
         "redistribution and use in source and binary forms with or without modification are "
         "permitted provided that the following conditions are met"

@@ -28,6 +28,16 @@ def _query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+def _with_sql(sql: str):
+    """Register a query together with DuckDB SQL for the same rows."""
+
+    def register(run: Callable[[SparkSession, str], DataFrame]):
+        ORACLE[run.__name__] = sql
+        return _query(run)
+
+    return register
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -45,7 +55,22 @@ def op2_language(spark, sf_dir):
     return langid.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-@_query
+@_with_sql(
+    """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+        FROM scores
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """
+)
 def op3_maxscore(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(topk.usable("embedding"))
     vectors = table.select("vec_id", topk.scaled("embedding").alias("vector"))
@@ -84,6 +109,52 @@ def op9_concat_pack(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
-@_query
+_TEMPLATES = [(text, label, True) for text, label in licenses.BASE_PHRASES.items()]
+_TEMPLATES += [(text, label, False) for label, own in licenses.TEMPLATES.items() for text in own]
+_TEMPLATE_ROWS = ", ".join(
+    f"({number}, '{text}', '{label}', {base})"
+    for number, (text, label, base) in enumerate(_TEMPLATES)
+)
+
+
+@_with_sql(
+    f"""
+    WITH templates(tmpl, body, label, base) AS (VALUES {_TEMPLATE_ROWS}),
+    pieces AS (SELECT *, string_split(body, ' ') AS own FROM templates),
+    grams AS (
+        SELECT tmpl, label, base, len(own) - {licenses.K} + 1 AS grams, tpos - 1 AS tpos, own[tpos] AS t0, own[tpos + 1] AS t1
+        FROM (SELECT *, unnest(range(1, len(own))) AS tpos FROM pieces)
+    ), texts AS (
+        SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+        FROM documents
+    ), words AS (SELECT rid, unnest(range(1, len(w))) AS p, w FROM texts),
+    pairs AS (SELECT rid, p - 1 AS pos, w[p] AS a, w[p + 1] AS b FROM words),
+    votes AS (
+        SELECT DISTINCT rid, tmpl, label, base, grams, pos - tpos AS diag, tpos
+        FROM pairs JOIN grams ON a = t0 AND b = t1
+    ), diagonals AS (SELECT DISTINCT rid, tmpl, base, diag FROM votes),
+    starts AS (
+        SELECT *, CASE WHEN base OR coalesce(diag - lag(diag) OVER d > {licenses.SLACK}, true) THEN 1 ELSE 0 END AS s
+        FROM diagonals WINDOW d AS (PARTITION BY rid, tmpl ORDER BY diag)
+    ), numbered AS (
+        SELECT rid, tmpl, diag, sum(s) OVER (PARTITION BY rid, tmpl ORDER BY diag) AS span FROM starts
+    ), spans AS (
+        SELECT v.rid, v.label, v.base, v.grams, span, min(v.diag) AS place,
+            count(DISTINCT tpos)::DOUBLE / v.grams AS share
+        FROM votes v JOIN numbered n ON v.rid = n.rid AND v.tmpl = n.tmpl AND v.diag = n.diag
+        GROUP BY v.rid, v.tmpl, v.label, v.base, v.grams, span
+    ), found AS (
+        SELECT * FROM spans WHERE CASE WHEN base THEN share = 1 ELSE share >= {licenses.COVER} END
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, count(place) FILTER (base) AS n_base,
+        min(place) FILTER (base) AS first_word, max(place) FILTER (base) AS last_word,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+        coalesce(max(share), 0) AS score
+    FROM texts LEFT JOIN found ON texts.rid = found.rid GROUP BY texts.rid, doc_id, w
+    """
+)
 def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(_documents(spark, sf_dir))
