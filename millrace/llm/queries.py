@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,7 @@ from millrace.llm import (
     simhash,
     suffixtree,
     topk,
+    workers,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,8 +26,13 @@ ORACLE: dict[str, str] = {}
 
 
 def _query(run: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers.find_package(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = query
+    return query
 
 
 def _with_sql(sql: str):
