@@ -26,7 +26,7 @@ from millrace.sources.storage import fresh_path
 WINDOW = 1024
 END = 0
 #: Chunks of text whose ids one worker remembers; it starts anew when there are more.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Texts that are encoded together.
 TOGETHER = 128
 

@@ -38,7 +38,7 @@ HOT = 16384
 MERGE_BYTES = 1 << 18
 SHARDS = 4
 #: Digests that one task remembers to send equal segments on once; it starts anew beyond that.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: A text is cut into overlapping blocks of this size, to bound memory.
 BLOCK = 1 << 22
 
@@ -146,7 +146,7 @@ def _segment_rows(span: int, gram: int):
                     else:
                         row = covered = (*row[:6], None)
                     rows.append(row)
-                if size > 1 << 22 or len(rows) > 50_000:
+                if size > 1 << 22 or len(rows) > 10_000:
                     yield _batch(rows)
                     rows, size = [], 0
                 if len(seen) > REMEMBERED:
