@@ -15,19 +15,17 @@ from pyspark.ml.regression import (
     GBTRegressionModel,
     GBTRegressor,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import present_double
 from millrace.operators.features import FEATURES, check_levels, feature_stages
-from millrace.sources.storage import delete_path, fresh_path, shared_dir
+from millrace.sources.storage import delete_path, fresh_path, shared_dir, stage, stage_scope
 
 LABEL = "_label"
 # The defaults of the three model parameters.
 DEFAULT_PARAMS = {"learning_rate": 0.01, "n_estimators": 100, "max_depth": 6}
 STAGE_EVERY = 10
-# Rows, about, whose quantiles are the edges of bins.
-EDGE_ROWS = 50_000
 # The tree learners' own default.
 DEFAULT_BINS = 32
 
@@ -57,34 +55,64 @@ def bin_edges(rows: DataFrame, num: Sequence[str], bins: int) -> list[list[float
     """Lower edges of all bins but the first, for each numeric feature.
 
     The learner would draw its split points from rows it picks by their place, so the model would
-    depend on the partitioning. These edges depend on the values alone: rows are picked by a hash of
-    their contents, about ``EDGE_ROWS`` of them, and their exact quantiles are taken. A feature with
-    at most ``bins`` different values has a bin for each.
+    depend on the partitioning. These edges depend on the values alone: each feature's values are
+    counted over all rows, and the exact quantiles are read off the counts in the order of the values.
+    A feature with at most ``bins`` different values has a bin for each. Only finite values count.
     """
     if not num:
         return []
-    share = min(1.0, EDGE_ROWS / max(1, rows.count()))
-    picked = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)) < share * (1 << 20))
-    steps = F.array(*(F.lit(i / bins) for i in range(1, bins)))
-    row = picked.agg(
-        *(
-            column.alias(f"{kind}{i}")
-            for i, c in enumerate(num)
-            for kind, column in (
-                ("q", F.percentile(F.col(f"`{c}`").cast("double"), steps)),
-                ("v", F.collect_set(F.col(f"`{c}`").cast("double"))),
-            )
-        )
-    ).first()
-    edges = []
-    for i in range(len(num)):
-        values = sorted(v for v in row[f"v{i}"] if math.isfinite(v))
-        few = values[1:] or values
-        found = few if len(values) <= bins else sorted(set(row[f"q{i}"]))
-        edges.append([float(x) for x in found] or [0.0])
+    each = [F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(num)]
+    finite = rows.select(F.inline(F.array(*each))).where(F.abs("v") < float("inf"))
+    counts = stage(finite.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")), "values")
+    sizes = {r["i"]: (r["kinds"], r["n"]) for r in counts.groupBy("i").agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).collect()}
+    edges: list[list[float]] = [[0.0] for _ in num]
+    few = [i for i, (kinds, _) in sizes.items() if kinds <= bins]
+    values = counts.where(F.col("i").isin(few)).select("i", "v").collect() if few else []
+    for i in few:
+        found = sorted(r["v"] for r in values if r["i"] == i)
+        edges[i] = found[1:] or found
+    places = {
+        i: [(n - 1) * (k / bins) for k in range(1, bins)] for i, (_, n) in sizes.items() if i not in few
+    }
+    if places:
+        ranks = {i: sorted({f(x) for x in own for f in (math.floor, math.ceil)}) for i, own in places.items()}
+        at = _values_at(counts.where(F.col("i").isin(list(ranks))), ranks)
+        for i, own in places.items():
+            found = set()
+            for x in own:
+                low, high = math.floor(x), math.ceil(x)
+                a, b = at[i, low], at[i, high]
+                found.add(a if a == b else (high - x) * a + (x - low) * b)
+            edges[i] = sorted(found)
     return edges
 
 
+def _values_at(counts: DataFrame, ranks: Mapping[int, Sequence[int]]) -> dict[tuple[int, int], float]:
+    """The value at each rank (from 0) of each feature ``i``, from (i, v, n) over all its values.
+
+    One range sort over different values, then running counts within its parts; the driver gets the
+    sums of the parts and the values asked for.
+    """
+    ordered = stage(counts.orderBy("i", "v").withColumn("part", F.spark_partition_id()), "ordered")
+    sums = ordered.groupBy("i", "part").agg(F.sum("n").alias("n")).orderBy("i", "part").collect()
+    found, before = {}, dict.fromkeys(ranks, 0)
+    wanted = []
+    for r in sums:
+        start, end = before[r["i"]], before[r["i"]] + r["n"]
+        before[r["i"]] = end
+        own = [x - start for x in ranks[r["i"]] if start <= x < end]
+        if own:
+            wanted.append((r["i"], r["part"], start, own))
+    spark = counts.sparkSession
+    asked = spark.createDataFrame(wanted, "i int, part int, start long, ranks array<long>")
+    window = Window.partitionBy("i", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = ordered.join(F.broadcast(asked), ["i", "part"]).withColumn("until", F.sum("n").over(window))
+    hit = F.filter("ranks", lambda x: (x < F.col("until")) & (x >= F.col("until") - F.col("n")))
+    for r in running.select("i", "v", "start", hit.alias("hit")).where(F.size("hit") > 0).collect():
+        found |= {(r["i"], r["start"] + x): r["v"] for x in r["hit"]}
+    return found
+
+
 def fit_gbt(
     df: DataFrame,
     cat: Sequence[str],
@@ -110,7 +138,8 @@ def fit_gbt(
     )
     with _training_rows(df, cat, num, target) as training:
         check_levels(training, cat)
-        edges = bin_edges(training, num, regressor.getMaxBins())
+        with stage_scope(df.sparkSession):
+            edges = bin_edges(training, num, regressor.getMaxBins())
         return Pipeline(stages=[*feature_stages(cat, num, edges), regressor]).fit(training)
 
 
@@ -153,7 +182,8 @@ def fit_mean_boost(
 
     with _training_rows(df, cat, num, target) as training:
         check_levels(training, cat)
-        edges = bin_edges(training, num, int(extra.get("maxBins", DEFAULT_BINS)))
+        with stage_scope(df.sparkSession):
+            edges = bin_edges(training, num, int(extra.get("maxBins", DEFAULT_BINS)))
         encoder = Pipeline(stages=feature_stages(cat, num, edges)).fit(training)
         path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
     mean, any_row = stored.agg(F.avg(LABEL), F.first(FEATURES)).first()
