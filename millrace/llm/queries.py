@@ -8,9 +8,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
+    bpe,
     fuzzy,
     langid,
     licenses,
+    merkle,
     packing,
     pieces,
     repeats,
@@ -18,6 +20,7 @@ from millrace.llm import (
     simhash,
     suffixtree,
     topk,
+    whitening,
     workers,
 )
 
@@ -165,3 +168,103 @@ _TEMPLATE_ROWS = ", ".join(
 )
 def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(_documents(spark, sf_dir))
+
+
+#: Levels that the SQL of op11 closes for documents (8 ** 10 rows of a language) and for languages.
+_DOC_LEVELS, _LANG_LEVELS = 10, 5
+
+
+def _part_sql(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(map(_part_sql, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+# CRC-32 of the decimal digits: each byte is added, then eight shifts are made.
+_CRC_SQL = """xor(4294967295, list_reduce(
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(xor(a, b) >> 1, 3988292384) ELSE xor(a, b) >> 1 END,
+    4294967295))"""
+
+
+def _levels_sql(name: str, levels: int) -> str:
+    """For a table {name}0 (tree, pos, d, m): {name}K, one level further up each, and the siblings {name}sK."""
+    parts = []
+    for k in range(levels):
+        parts.append(
+            f"""{name}s{k} AS (
+                SELECT tree, pos, m, array_to_string(l[1:(pos % 8)], '') AS lft,
+                    array_to_string(l[(pos % 8 + 2):], '') AS rgt
+                FROM (SELECT *, list(d) OVER (PARTITION BY tree, pos // 8 ORDER BY pos
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l FROM {name}{k})
+            ), {name}{k + 1} AS (
+                SELECT tree, pos // 8 AS pos, (m + 7) // 8 AS m,
+                    CASE WHEN m > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE min(d) END AS d
+                FROM {name}{k} GROUP BY tree, pos // 8, m
+            )"""
+        )
+    return ", ".join(parts)
+
+
+def _fold_sql(start: str, rows: str, name: str, tree: str, place: str, levels: int) -> str:
+    """From {start}, with id, fold and proof, tables that add one level of {name}s each; the last is {rows}."""
+    parts, last = [], start
+    for k in range(levels):
+        own = rows if k == levels - 1 else f"{rows}{k}"
+        parts.append(
+            f"""{own} AS (
+                SELECT f.* EXCLUDE (fold, proof),
+                    CASE WHEN s.m > 1 THEN sha256(lft || fold || rgt) ELSE fold END AS fold,
+                    CASE WHEN s.m > 1 THEN proof || lft || rgt ELSE proof END AS proof
+                FROM {last} f JOIN {name}s{k} s ON s.tree = f.{tree} AND s.pos = f.{place} // {8**k}
+            )"""
+        )
+        last = own
+    return ", ".join(parts)
+
+
+@_with_sql(
+    f"""
+    WITH leaves AS (
+        SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql('text')} AS leaf,
+            CASE WHEN {_CRC_SQL} % 3 = 0 THEN {_leaf_sql(
+                "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+            )} END AS changed
+        FROM documents
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+            count(*) OVER (PARTITION BY tree) AS m
+        FROM leaves
+    ), d0 AS (SELECT tree, place AS pos, leaf AS d, m FROM placed),
+    {_levels_sql('d', _DOC_LEVELS)},
+    trees AS (
+        SELECT tree, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS lang_place, count(*) OVER () AS m
+        FROM d{_DOC_LEVELS}
+    ), h0 AS (SELECT '' AS tree, lang_place AS pos, subroot AS d, m FROM trees),
+    {_levels_sql('h', _LANG_LEVELS)},
+    start AS (
+        SELECT doc_id, leaf, tree, place, subroot, lang_place, '' AS top, coalesce(changed, leaf) AS fold, '' AS proof
+        FROM placed JOIN trees USING (tree)
+    ),
+    {_fold_sql('start', 'below', 'd', 'tree', 'place', _DOC_LEVELS)},
+    {_fold_sql('below', 'folded', 'h', 'top', 'lang_place', _LANG_LEVELS)}
+    SELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+        fold = r.d AS verified
+    FROM folded CROSS JOIN h{_LANG_LEVELS} r
+    """
+)
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.check_documents(_documents(spark, sf_dir))
+
+
+@_query
+def op12_forced_bpe(spark, sf_dir):
+    return bpe.digest_documents(_documents(spark, sf_dir))
+
+
+@_query
+def op13_exact_whitening(spark, sf_dir):
+    return whitening.whiten_table(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
