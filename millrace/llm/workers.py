@@ -9,12 +9,25 @@ from pyspark.sql import SparkSession
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Workers live on from stage to stage, so what one stage has freed must go back to the machine: large
+#: arrays are mapped on their own, free ends are cut off, and Arrow uses the same allocator.
+MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+}
+
+
 def find_package(spark: SparkSession) -> None:
     """Put the folder of this package on the path of workers that start from now on.
 
-    It must stand at the same place on every machine; otherwise ship it with ``--py-files``.
+    It must stand at the same place on every machine; otherwise ship it with ``--py-files``. Settings
+    of the allocator that the user has made stay.
     """
     environment = spark.sparkContext.environment
+    for name, value in MEMORY.items():
+        environment.setdefault(name, value)
     places = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
     if ROOT not in places:
         environment["PYTHONPATH"] = ":".join([*places, ROOT])
