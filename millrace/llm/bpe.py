@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,10 +31,16 @@ REMEMBERED = 64 << 20
 _OVERHEAD = 160
 #: Fragments up to this length are remembered.
 _SHORT = 64
-#: Fragments that are looked up together, and bytes of texts and number of ids in one result batch.
+#: Bytes from which on merges are looked up in a heap, and the rank of a pair that never merges.
+_LONG = 256
+_NEVER = 1 << 60
+_NONE = np.int32(0x7FFFFFFF)
+#: Lengths up to which pieces are merged side by side.
+_WIDTHS = (2, 8, 12, 16, 24, 40, _SHORT)
+#: Fragments that are looked up together, bytes that are cut at a time, and rows of one result batch.
 _TOGETHER = 50_000
 _BLOCK = 1 << 20
-_BATCH_IDS = 1 << 20
+_ROWS = 256
 
 # Unicode's white space, and the pattern that byte-level vocabularies split texts with.
 _SPACE = "".join(
@@ -42,6 +49,8 @@ _SPACE = "".join(
 _PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^S\p{L}\p{N}]+|[S]+(?![^S])|[S]+".replace("S", _SPACE)
 )
+# Fragments that the pattern does not split.
+_PLAIN = re.compile(rb" ?(?:[A-Za-z]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
 
 
 def vocabulary_path() -> str:
@@ -110,18 +119,24 @@ class Vocabulary:
             self.tokens[i] = content.encode("utf-8")
         self.single = [ids[bytes([b])] for b in range(256)]
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        #: (left id, right id) -> (rank, id of both).
-        self.merges = {}
+        # Rank of each pair, as one number for both ids, and the id that each rank makes.
+        self._width, self._ranks, self._made = size, {}, []
         for rank, pair in enumerate(merges):
             left, right = (bytes(byte_of[c] for c in part) for part in pair)
-            self.merges[ids[left], ids[right]] = rank, ids[left + right]
+            self._ranks[ids[left] * size + ids[right]] = rank
+            self._made.append(ids[left + right])
         #: Whether two bytes stand side by side inside no token.
         self.forced = np.ones((256, 256), bool)
         for token in ids:
             for a, b in zip(token, token[1:]):
                 self.forced[a, b] = False
         self._cuts = (self.forced & _unnoticed()).ravel()
-        self._forced = self.forced.tolist()
+        # The same tables as arrays, for many pieces at once.
+        self._single, self._made_array = np.array(self.single, np.int32), np.array(self._made, np.int32)
+        self._pairs = np.array(sorted(self._ranks), np.int64)
+        self._pair_ranks = np.array([self._ranks[p] for p in self._pairs.tolist()], np.int32)
+        left, right = np.divmod(np.arange(1 << 16), 256)
+        self._first_ranks = self._rank_of(self._single[left], self._single[right]).reshape(256, 256)
         self._named = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))))
         self._known: dict[bytes, bytes] = {}
         self._held = 0
@@ -138,28 +153,45 @@ class Vocabulary:
         return np.concatenate(found) if found else np.empty(0, np.int64)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of bytes without a forced boundary: always the pair of lowest rank, leftmost first."""
+        """Ids of bytes: always the pair of lowest rank is merged, the leftmost of equal ones first."""
         ids = [self.single[b] for b in piece]
-        count = len(ids)
-        if count < 2:
-            return ids
+        if len(ids) > _LONG:
+            return self._merge_long(ids)
+        width, rank_of, made = self._width, self._ranks.get, self._made
+        ranks = [rank_of(a * width + b, _NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == _NEVER:
+                break
+            at = ranks.index(least)
+            ids[at] = made[least]
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank_of(ids[at - 1] * width + ids[at], _NEVER)
+            if at < len(ranks):
+                ranks[at] = rank_of(ids[at] * width + ids[at + 1], _NEVER)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same by a heap of pairs, for bytes too many to look through after each merge."""
+        count, width = len(ids), self._width
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
         heap = []
 
         def offer(at: int) -> None:
-            found = self.merges.get((ids[at], ids[after[at]]))
-            if found is not None:
-                heapq.heappush(heap, (found[0], at, ids[at], ids[after[at]], found[1]))
+            rank = self._ranks.get(ids[at] * width + ids[after[at]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, at, ids[at], ids[after[at]]))
 
         for at in range(count - 1):
             offer(at)
         while heap:
-            _, at, left, right, both = heapq.heappop(heap)
+            rank, at, left, right = heapq.heappop(heap)
             # A pair of which a side has since been merged is out of date; -1 marks a side that is gone.
             if ids[at] != left or after[at] == count or ids[after[at]] != right:
                 continue
             gone = after[at]
-            ids[at], ids[gone] = both, -1
+            ids[at], ids[gone] = self._made[rank], -1
             after[at] = after[gone]
             if after[at] < count:
                 before[after[at]] = at
@@ -168,64 +200,144 @@ class Vocabulary:
                 offer(before[at])
         return [i for i in ids if i >= 0]
 
-    def encode_fragment(self, fragment: bytes) -> bytes:
-        """Ids, as bytes, of a fragment: its stretches are cut at every forced boundary and merged."""
-        ids: list[int] = []
-        for stretch in _PATTERN.findall(fragment.decode("utf-8")):
-            body = stretch.encode("utf-8")
-            start = 0
-            for at in range(1, len(body)):
-                if self._forced[body[at - 1]][body[at]]:
-                    ids += self.merge(body[start:at])
-                    start = at
-            ids += self.merge(body[start:])
-        return np.array(ids, self.kind).tobytes()
-
-    def encode_plain(self, text: str) -> bytes:
-        """Ids, as bytes, of a text without added tokens."""
-        body = text.encode("utf-8")
-        if not body:
-            return b""
-        edges = [0, *self.cuts(body).tolist(), len(body)]
+    def _merge_short(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids, as bytes, of many short pieces at once: each step merges one pair in every row."""
+        found: list[bytes] = [b""] * len(pieces)
+        lengths = np.array([len(x) for x in pieces])
+        low = 0
+        for high in _WIDTHS:
+            rows = np.flatnonzero((lengths > low) & (lengths <= high))
+            low = high
+            if not len(rows):
+                continue
+            padded = b"".join([pieces[i].ljust(high, b"\0") for i in rows.tolist()])
+            signs = np.frombuffer(padded, np.uint8).reshape(-1, high)
+            left = lengths[rows]
+            ids = self._single[signs]
+            ranks = self._first_ranks[signs[:, :-1], signs[:, 1:]]
+            places = np.arange(high)
+            ranks[places[1:] >= left[:, None]] = _NONE
+            while True:
+                at = ranks.argmin(axis=1)
+                line = np.arange(len(at))
+                least = ranks[line, at]
+                done = least == _NONE
+                if done.any():
+                    for row, own, n in zip(rows[done].tolist(), ids[done].astype(self.kind), left[done].tolist()):
+                        found[row] = own[:n].tobytes()
+                    keep = ~done
+                    rows, ids, ranks, left, at, least = (x[keep] for x in (rows, ids, ranks, left, at, least))
+                    line = np.arange(len(at))
+                if not len(rows):
+                    break
+                # What follows the pair moves up by one place.
+                moved = np.minimum(places + (places > at[:, None]), high - 1)
+                ids = np.take_along_axis(ids, moved, axis=1)
+                ids[line, at] = self._made_array[least]
+                left = left - 1
+                moved = places[:-1] + (places[:-1] >= at[:, None])
+                ranks = np.take_along_axis(ranks, np.minimum(moved, high - 2), axis=1)
+                ranks[moved == high - 1] = _NONE
+                before = np.flatnonzero(at > 0)
+                ranks[before, at[before] - 1] = self._rank_of(ids[before, at[before] - 1], ids[before, at[before]])
+                after = np.flatnonzero(at + 1 < left)
+                ranks[after, at[after]] = self._rank_of(ids[after, at[after]], ids[after, at[after] + 1])
+                last = np.flatnonzero((at + 1 >= left) & (at < high - 1))
+                ranks[last, at[last]] = _NONE
+        return found
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = left.astype(np.int64) * self._width + right
+        at = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == pairs, self._pair_ranks[at], _NONE)
+
+    def _stretches(self, fragment: bytes) -> list[bytes]:
+        """What the pattern makes of a fragment, cut further at every forced boundary if it is long."""
+        # A word with a space before it is one stretch, as nearly all fragments are.
+        if _PLAIN.fullmatch(fragment):
+            stretches = [fragment]
+        else:
+            stretches = [x.encode("utf-8") for x in _PATTERN.findall(fragment.decode("utf-8"))]
+        if len(fragment) <= _SHORT:
+            return stretches
         found = []
-        for begin in range(0, len(edges) - 1, _TOGETHER):
-            own = edges[begin : begin + _TOGETHER + 1]
-            fragments = [body[a:b] for a, b in zip(own, own[1:])]
-            self.counts[0] += len(fragments)
-            try:
-                found.append(b"".join(map(self._known.__getitem__, fragments)))
-            except KeyError:
-                long = self._learn(set(fragments).difference(self._known))
-                found.append(b"".join(map(self._known.__getitem__, fragments)))
-                for fragment in long:
-                    del self._known[fragment]
-                if self._held > REMEMBERED:
-                    self._known.clear()
-                    self._held = 0
-        return b"".join(found)
-
-    def _learn(self, fragments: set[bytes]) -> list[bytes]:
-        """Encode new fragments; those returned are too long to be remembered."""
-        long = []
-        self.counts[1] += len(fragments)
-        for fragment in fragments:
-            self._known[fragment] = ids = self.encode_fragment(fragment)
+        for body in stretches:
+            signs = np.frombuffer(body, np.uint8)
+            cuts = np.flatnonzero(self.forced[signs[:-1], signs[1:]]) + 1
+            edges = [0, *cuts.tolist(), len(body)]
+            found += [body[a:b] for a, b in zip(edges, edges[1:])]
+        return found
+
+    def encode_fragments(self, fragments: list[bytes]) -> list[bytes]:
+        """Ids, as bytes, of each fragment."""
+        parts = [self._stretches(f) for f in fragments]
+        short = list({x for own in parts for x in own if len(x) <= _SHORT})
+        ids = dict(zip(short, self._merge_short(short)))
+        for own in parts:
+            for x in own:
+                if x not in ids:
+                    ids[x] = np.array(self.merge(x), self.kind).tobytes()
+        return [ids[own[0]] if len(own) == 1 else b"".join([ids[x] for x in own]) for own in parts]
+
+    def _parts(self, text: str) -> Iterator[list[bytes] | bytes]:
+        """Fragments of a text, some at a time, and in between the ids of added tokens, as bytes."""
+        at = 0
+        for match in self._named.finditer(text) if self.added else ():
+            yield from self._fragments(text[at : match.start()])
+            yield np.array([self.added[match[0]]], self.kind).tobytes()
+            at = match.end()
+        yield from self._fragments(text[at:] if at else text)
+
+    def _fragments(self, text: str) -> Iterator[list[bytes]]:
+        body = text.encode("utf-8")
+        if body:
+            edges = [0, *self.cuts(body).tolist(), len(body)]
+            for begin in range(0, len(edges) - 1, _TOGETHER):
+                own = edges[begin : begin + _TOGETHER + 1]
+                yield [body[a:b] for a, b in zip(own, own[1:])]
+
+    def encode_all(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """Ids of whole texts. Names of added tokens become their ids, the rest is encoded around them."""
+        found: list[list[bytes]] = []
+        waiting: list[tuple[list[bytes], int, list[bytes]]] = []
+        size = 0
+        for text in texts:
+            found.append([])
+            for part in self._parts(text):
+                if isinstance(part, bytes):
+                    found[-1].append(part)
+                    continue
+                # A place is kept for the ids of the part.
+                waiting.append((found[-1], len(found[-1]), part))
+                found[-1].append(b"")
+                size += len(part)
+                if size >= _TOGETHER:
+                    self._look_up(waiting)
+                    waiting, size = [], 0
+        self._look_up(waiting)
+        return [np.frombuffer(b"".join(own), self.kind) for own in found]
+
+    def _look_up(self, waiting: list[tuple[list[bytes], int, list[bytes]]]) -> None:
+        """Put the ids of all waiting fragments in their places; those not known are encoded together."""
+        known = self._known
+        new = list(set().union(*(part for _, _, part in waiting)).difference(known))
+        self.counts[0] += sum(len(part) for _, _, part in waiting)
+        self.counts[1] += len(new)
+        known.update(zip(new, self.encode_fragments(new)))
+        for own, place, part in waiting:
+            own[place] = b"".join(map(known.__getitem__, part))
+        for fragment in new:
             if len(fragment) > _SHORT:
-                long.append(fragment)
+                del known[fragment]
             else:
-                self._held += len(fragment) + len(ids) + _OVERHEAD
-        return long
+                self._held += len(fragment) + len(known[fragment]) + _OVERHEAD
+        if self._held > REMEMBERED:
+            known.clear()
+            self._held = 0
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text. Names of added tokens become their ids, the rest is encoded around them."""
-        parts, at = [], 0
-        if self.added:
-            for match in self._named.finditer(text):
-                parts.append(self.encode_plain(text[at : match.start()]))
-                parts.append(np.array([self.added[match[0]]], self.kind).tobytes())
-                at = match.end()
-        parts.append(self.encode_plain(text[at:] if at else text))
-        return np.frombuffer(b"".join(parts), self.kind)
+        """Ids of one whole text."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -249,15 +361,9 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(path)
         for batch in batches:
-            begin, waiting, size = 0, [], 0
-            for at, text in enumerate(batch.column(1), 1):
-                waiting.append(own.encode(text.as_py() or ""))
-                size += len(waiting[-1])
-                if size > _BATCH_IDS:
-                    yield _id_batch(batch.column(0).slice(begin, at - begin), waiting)
-                    begin, waiting, size = at, [], 0
-            if waiting:
-                yield _id_batch(batch.column(0).slice(begin), waiting)
+            for begin in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(begin, _ROWS)
+                yield _id_batch(part.column(0), own.encode_all(t or "" for t in part.column(1).to_pylist()))
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
@@ -275,7 +381,9 @@ def decoded(ids: str, path: str | None = None) -> Column:
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         own = vocabulary(path)
-        return pa.array([None if x is None else own.decode(x) for x in column.to_pylist()], pa.string())
+        values, edges = column.values.to_numpy(), column.offsets.to_pylist()
+        texts = (own.decode(values[a:b].tolist()) for a, b in zip(edges, edges[1:]))
+        return pa.array([t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())], pa.string())
 
     return run(ids)
 
