@@ -267,10 +267,9 @@ def covered_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
     that was judged, should several stand under one ``doc_id``.
     """
     sized = docs.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n"))
-    judged = stage(
-        sized.groupBy("doc_id").agg(F.min(F.struct("sha", "n")).alias("own")).select("doc_id", "own.*"),
-        "texts",
-    )
+    own = sized.groupBy("doc_id").agg(F.min(F.struct("sha", "n")).alias("own"), F.count("*").alias("rows"))
+    judged = stage(own.select("doc_id", "own.*", "rows"), "texts")
+    docs = _one_row_each(docs, judged)
     earliest = judged.groupBy("sha").agg(F.min("doc_id").alias("first"))
     copies = (
         judged.join(earliest, "sha").where((F.col("doc_id") > F.col("first")) & (F.col("n") >= span))
@@ -319,6 +318,19 @@ def covered_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
     )
 
 
+def _one_row_each(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """``docs`` without repeated rows: only those of a repeated ``doc_id`` are shuffled for it.
+
+    Two tasks with the same row would each take the other's text for an earlier one.
+    """
+    again = judged.where("rows > 1").select("doc_id", "sha")
+    if again.isEmpty():
+        return docs
+    others = docs.join(again.select("doc_id"), "doc_id", "left_anti").select("doc_id", "text")
+    sized = docs.withColumn("sha", F.sha2("text", 256)).join(again, ["doc_id", "sha"], "left_semi")
+    return others.union(sized.dropDuplicates(["doc_id", "sha"]).select("doc_id", "text"))
+
+
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` and ``kept_sha256``.
 

@@ -86,3 +86,21 @@ def test_edge_rows(spark):
     own = brute_force({1: body}, 100)[1][1]
     assert removed == [(0, 0), (1, own), (1, own), (2, len(body)), (3, 0 if own else 0), (4, 0)]
     assert repeats.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_stored_again_in_another_file_keep_their_text(spark, tmp_path):
+    """Joins are shuffled, not broadcast, and equal rows come from different tasks."""
+    rng = random.Random(11)
+    texts = [(i, "".join(rng.choices("abcdefghij klmnop", k=1500))) for i in range(300)]
+    place = str(tmp_path / "docs")
+    schema = "doc_id long, text string"
+    spark.createDataFrame(texts, schema).coalesce(1).write.parquet(place)
+    spark.createDataFrame(texts[:20] * 3, schema).repartition(3).write.mode("append").parquet(place)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = repeats.remove_repeats(spark.read.parquet(place)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == 360 and {r["n_removed"] for r in found} == {0}
