@@ -11,9 +11,12 @@ Task and place are read back from what was written, so a lost executor changes n
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +28,20 @@ from millrace.sources.storage import fresh_path
 
 WINDOW = 1024
 END = 0
-#: Chunks of text whose ids one worker remembers; it starts anew when there are more.
-REMEMBERED = 150_000
+#: Bytes of chunks and ids that one worker remembers; it starts anew beyond that.
+REMEMBERED = 32 << 20
+#: What a remembered chunk costs beside its own bytes.
+_OVERHEAD = 200
 #: Texts that are encoded together.
 TOGETHER = 128
 
 #: Ids, as bytes, of chunks that follow a single space; None where white space must not be cut off.
-_chunks: dict[str, bytes | None] = {}
+#: One memory for each vocabulary, with the bytes it holds.
+_memories: dict[str, "_Memory"] = {}
+
+
+class _Memory(dict):
+    held = 0
 
 
 def vocabulary_path() -> str:
@@ -58,18 +68,56 @@ def _encoder(path: str):
     return encoder, sizes, np.dtype("<u2" if len(sizes) <= 1 << 16 else "<u4")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that stand for themselves wherever their text appears: those of the same vocabulary's
+    JSON file beside ``path``; none if there is no such file."""
+    spec = Path(path).with_suffix(".json")
+    if not spec.exists():
+        return {}
+    tokens = json.loads(spec.read_text(encoding="utf-8"))["added_tokens"]
+    return {token["content"]: token["id"] for token in tokens}
+
+
+@lru_cache(maxsize=2)
+def _added(path: str):
+    tokens = added_tokens(path)
+    longest_first = sorted(tokens, key=len, reverse=True)
+    return tokens, re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if tokens else None
+
+
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian numbers of two or four bytes, without the end.
 
+    Names of added tokens in a text are their ids, and what stands between them is encoded on its own.
+    """
+    tokens, named = _added(path)
+    kind = _encoder(path)[2]
+    odd = {i: named.split(t) for i, t in enumerate(texts) if named.search(t)} if named else {}
+    plain = [t for i, t in enumerate(texts) if i not in odd]
+    between = [part for parts in odd.values() for part in parts[::2]]
+    coded = iter(_encode_plain([*plain, *between], path))
+    found = [b"" if i in odd else next(coded) for i in range(len(texts))]
+    for i, parts in odd.items():
+        own = [np.array([tokens[p]], kind).tobytes() if k % 2 else next(coded) for k, p in enumerate(parts)]
+        found[i] = b"".join(own)
+    return found
+
+
+def _encode_plain(texts: list[str], path: str) -> list[bytes]:
+    """Ids of texts without added tokens.
+
     The vocabulary's rule never joins a character to a single space after it, so a text without other
     white space next to a space may be cut before every space, and equal chunks are encoded once.
-    Other texts are encoded whole. Names of special tokens in a text are ordinary text.
+    Other texts are encoded whole.
     """
     encoder, _, kind = _encoder(path)
-    if len(_chunks) > REMEMBERED:
-        _chunks.clear()
+    chunks = _memories.setdefault(path, _Memory())
+    if chunks.held > REMEMBERED:
+        chunks.clear()
+        chunks.held = 0
     parts = [text.split(" ") for text in texts]
-    _remember(list(set().union(*(own[1:] for own in parts)).difference(_chunks)), path)
+    new = list(set().union(*(own[1:] for own in parts)).difference(chunks))
+    _remember(new, path)
     encoded = []
     for text, own in zip(texts, parts):
         first = own[0]
@@ -77,22 +125,24 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
         try:
             if own[1:] and first != first.rstrip():
                 raise TypeError
-            rest = b"".join(map(_chunks.__getitem__, own[1:]))
+            rest = b"".join(map(chunks.__getitem__, own[1:]))
         except TypeError:  # a chunk of None
             first, rest = text, b""
         encoded.append(np.array(encoder.encode_ordinary(first), kind).tobytes() + rest)
+    chunks.held += sum(len(c) + len(chunks[c] or b"") + _OVERHEAD for c in new)
     return encoded
 
 
-def _remember(chunks: list[str], path: str) -> None:
+def _remember(new: list[str], path: str) -> None:
     """Encode new chunks in one go: joined by spaces, their ids fall apart at the same spaces."""
     encoder, sizes, kind = _encoder(path)
+    chunks = _memories[path]
     plain = []
-    for chunk in chunks:
+    for chunk in new:
         if chunk and chunk == chunk.strip():
             plain.append(chunk)
         else:
-            _chunks[chunk] = None
+            chunks[chunk] = None
     if not plain:
         return
     ids = np.array(encoder.encode_ordinary(" " + " ".join(plain)), kind)
@@ -100,7 +150,7 @@ def _remember(chunks: list[str], path: str) -> None:
     cuts = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1) * kind.itemsize
     body, start = ids.tobytes(), 0
     for chunk, end in zip(plain, cuts.tolist()):
-        _chunks[chunk] = body[start:end]
+        chunks[chunk] = body[start:end]
         start = end
 
 

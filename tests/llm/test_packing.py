@@ -15,9 +15,7 @@ SCHEMA = "doc_id long, text string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check_pieces(pieces, texts, tokenizer, window):
@@ -67,3 +65,22 @@ def test_repeated_rows_are_packed_each(spark):
     frame = spark.createDataFrame([(1, "two words")] * 3, SCHEMA)
     pieces = packing.pack_documents(frame, window=4).collect()
     assert sum(p["length"] for p in pieces) == 3 * pieces[0]["doc_tokens"]
+
+
+def test_names_of_special_tokens_are_their_ids(tokenizer):
+    path = packing.vocabulary_path()
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y z", "plain text", ""]
+    for text, ids in zip(texts, packing.encode_texts(texts, path)):
+        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.encode_texts(texts, path)[0], "<u2").tolist() == [64, 220, 50256, 275]
+
+
+def test_each_vocabulary_has_a_memory_of_its_own_within_its_bound(monkeypatch):
+    first, second = (public_tokenizers.path(f"byte_bpe_{x}.tiktoken") for x in ("50k", "multi_50k"))
+    text = "words that two vocabularies cut apart differently, naïve façades über allem"
+    own = [packing.encode_texts([text], path)[0] for path in (first, second, first)]
+    assert own[0] == own[2] != own[1]
+    monkeypatch.setattr(packing, "REMEMBERED", 10_000)
+    for i in range(50):
+        packing.encode_texts([f"some {'x' * 500}{i} more {i} words"], first)
+        assert packing._memories[first].held < 12_000
