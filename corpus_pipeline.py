@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, nearcopies, packing, repeats, workers
+from millrace.llm import langid, packing, repeats, simhash, workers
 from millrace.sources.storage import stage
 
 #: A text whose language is less likely than this is rejected: no language has a majority.
@@ -46,12 +46,12 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each group of near copies.
+    """The document with the smallest ``doc_id`` of each group of linked SimHash fingerprints.
 
-    Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more.
+    Shingles of three words and at most three differing bits, as the operator's own query has them.
     """
     _prepare(spark)
-    return nearcopies.keep_one_of_each(docs)
+    return simhash.keep_one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
