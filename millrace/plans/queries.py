@@ -549,6 +549,34 @@ def change_feed(spark, sf_dir):
     return feed.withColumn("c_acctbal", F.round("c_acctbal", 4))
 
 
+@_query(
+    "WITH o AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer "
+    "WHERE c_mktsegment <> 'BUILDING'), n AS (SELECT c_custkey, c_mktsegment, "
+    "CASE WHEN c_acctbal < 0 AND c_custkey % 2 = 1 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal "
+    "FROM customer WHERE c_mktsegment <> 'FURNITURE' AND (c_mktsegment <> 'BUILDING' OR c_custkey % 3 > 0)) "
+    "SELECT c_custkey, coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment, "
+    "round(coalesce(n.c_acctbal, o.c_acctbal), 4) AS c_acctbal, "
+    "CASE WHEN o.c_mktsegment IS NULL THEN 'insert' WHEN n.c_mktsegment IS NULL THEN 'delete' "
+    "ELSE 'update' END AS change_type FROM o FULL JOIN n USING (c_custkey) "
+    "WHERE o.c_acctbal IS DISTINCT FROM n.c_acctbal OR o.c_mktsegment IS DISTINCT FROM n.c_mktsegment"
+)
+def change_feed_range(spark, sf_dir):
+    """What three versions changed in all; the third takes back some changes of the second."""
+    table = f"{_database(spark)}.customer"
+    first, second = _customer_versions(spark, sf_dir)
+    customers = _read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    raised = F.when((F.col("c_acctbal") < 0) & (F.col("c_custkey") % 2 == 1), F.col("c_acctbal") + 1)
+    third = customers.where(
+        "c_mktsegment <> 'FURNITURE' AND (c_mktsegment <> 'BUILDING' OR c_custkey % 3 > 0)"
+    ).withColumn("c_acctbal", F.coalesce(raised, "c_acctbal"))
+    snapshots.write_snapshot(first, table, bucket_key="c_custkey", buckets=8)
+    snapshots.record_changes(spark, table, "c_custkey")
+    for version in (second, third):
+        last = snapshots.write_snapshot(version, table)
+    net = snapshots.net_changes(snapshots.table_changes(spark, table, 0, last), "c_custkey")
+    return net.withColumn("c_acctbal", F.round("c_acctbal", 4))
+
+
 @_query(
     "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'"
 )

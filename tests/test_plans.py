@@ -76,6 +76,21 @@ def test_changes_of_bucketed_snapshots_need_no_shuffle(spark, orders, database):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_change_feed_shuffles_keys_and_digests_alone(spark, orders):
+    """Whole rows are fetched afterwards, and only where few changed are they not moved at all."""
+    before = orders.withColumn("o_totalprice", F.expr("o_totalprice + IF(o_orderkey % 100 = 0, 1, 0)"))
+    feed = snapshots.change_feed(before, orders, "o_orderkey")
+    text = plan(feed)
+    assert "NestedLoop" not in text and "Cartesian" not in text and "SortAggregate" not in text
+    moved = [line for line in text.splitlines() if re.search(r"Exchange hashpartitioning", line)]
+    assert moved and "SinglePartition" not in text
+    aggregates = re.findall(r"HashAggregate\(keys=\[o_orderkey\S*\], functions=\[(.*?)\]", text)
+    assert aggregates and all("o_comment" not in a and "first" not in a for a in aggregates)
+    feed.collect()
+    done = plan(feed)
+    assert "BroadcastHashJoin" in done
+
+
 def test_scan_reads_only_the_named_columns(spark, orders, database):
     tables.overwrite_table(orders, f"{database}.orders")
     text = plan(tables.scan(spark, f"{database}.orders", ["o_orderkey"]))
