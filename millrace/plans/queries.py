@@ -177,6 +177,30 @@ def column_statistics(spark, sf_dir):
     return row.withColumns({c: F.round(c, 6) for c in ("l_discount", "l_tax")})
 
 
+@_query(
+    "WITH t AS (SELECT o_orderkey * 1000003::BIGINT + 1152921504606846977 AS b, "
+    "o_totalprice::DECIMAL(12,2)::DECIMAL(38,10) AS d, o_totalprice AS x FROM orders), "
+    "n AS (SELECT count(*) AS n FROM orders), "
+    "b AS (SELECT b, row_number() OVER (ORDER BY b) AS r FROM t), "
+    "d AS (SELECT d, row_number() OVER (ORDER BY d) AS r FROM t) "
+    "SELECT CAST((SELECT sum(b::HUGEINT) FROM b, n WHERE r IN ((n + 1) // 2, (n + 2) // 2)) * "
+    "CASE WHEN n % 2 = 1 THEN 2 ELSE 1 END AS VARCHAR) AS twice_bigint, "
+    "CAST((SELECT sum(d) FROM d, n WHERE r IN ((n + 1) // 2, (n + 2) // 2)) * "
+    "CASE WHEN n % 2 = 1 THEN 2 ELSE 1 END AS VARCHAR) AS twice_decimal, "
+    "(SELECT median(x) FROM t) AS of_double FROM n"
+)
+def exact_median_types(spark, sf_dir):
+    """Medians of a bigint beyond 2 ** 53, a decimal(38,10) and a double, in the same scans."""
+    wide = _read(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") * 1000003 + 1152921504606846977).alias("b"),
+        F.col("o_totalprice").cast("decimal(12,2)").cast("decimal(38,10)").alias("d"),
+        F.col("o_totalprice").alias("x"),
+    )
+    found = impute.column_statistics(wide, dict.fromkeys(wide.columns, "median"))
+    row = (str(int(2 * found["b"])), f"{2 * found['d']:.10f}", found["x"])
+    return spark.createDataFrame([row], "twice_bigint string, twice_decimal string, of_double double")
+
+
 # --- numbering and joining by position ----------------------------------------------------------
 
 

@@ -1,4 +1,6 @@
 import statistics
+from decimal import Context, Decimal
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -33,19 +35,78 @@ def test_narrowing_search_is_exact(spark, rows):
         }
     )
     frame.loc[rng.random(rows) < 0.1, "smooth"] = np.nan
-    found = exact_medians(spark.createDataFrame(frame), list(frame.columns), proposal_size=2000)
+    found = exact_medians(spark.createDataFrame(frame), list(frame.columns), buckets=50)
     assert found == {c: frame[c].median() for c in frame}
 
 
-@pytest.mark.parametrize("shares", [(0.0, 0.1), (0.9, 1.0), (0.0, 0.0), (0.0, 1.0)])
-def test_a_wrong_proposal_does_not_change_the_result(spark, monkeypatch, shares):
-    from millrace.operators import impute as module
-
-    monkeypatch.setattr(module._MedianSearch, "shares", lambda self, drawn: shares)
+@pytest.mark.parametrize("buckets", [1, 2, 4096])
+def test_digits_that_split_badly_do_not_change_the_result(spark, buckets):
+    """With one part by distance, cuts have to do it all."""
     numbers = [float(i * 37 % 51) for i in range(60)]
     df = spark.createDataFrame([(x,) for x in numbers], "x double")
-    found = exact_medians(df, ["x"], proposal_size=1000)
-    assert found == {"x": statistics.median(numbers)}
+    assert exact_medians(df, ["x"], buckets=buckets) == {"x": statistics.median(numbers)}
+
+
+WIDE = [-(2**63), 2**63 - 1, 2**60 + 1, 2**60 + 2, 2**60 + 3, 0, -5, 2**60, 2**61]
+
+
+@pytest.mark.parametrize("count", [9, 8, 5, 4, 1])
+def test_bigints_keep_every_digit(spark, count):
+    values = sorted(WIDE)[:count] if count != 5 else [2**60 + i for i in (5, 1, 4, 2, 3)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "x bigint")
+    found = exact_medians(df, ["x"])["x"]
+    assert found == statistics.median([Fraction(v) for v in values])
+    assert isinstance(found, int) or found.as_tuple().exponent == -1
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,10)", "decimal(38,0)", "decimal(20,3)", "decimal(5,2)"])
+def test_decimals_keep_every_digit(spark, kind):
+    precision, scale = map(int, kind[8:-1].split(","))
+    step = Decimal(1).scaleb(-scale)
+    top = Decimal("9" * precision).scaleb(-scale, Context(prec=60))
+    context = Context(prec=60)
+    values = [context.subtract(top, step * i) for i in (3, 1, 2, 0)] + [top.copy_negate(), step, step.copy_negate()]
+    for own in (values, values[:6], values[:4], values[1:2]):
+        df = spark.createDataFrame([(v,) for v in own], f"x {kind}")
+        expected = statistics.median([Fraction(v) for v in own])
+        assert Fraction(exact_medians(df, ["x"])["x"]) == expected
+
+
+def test_doubles_of_all_sizes(spark):
+    huge, tiny = 1.7e308, 5e-324
+    sets = [
+        [huge, -huge, huge / 2, -huge / 3, 1.0], [tiny, 2 * tiny, 3 * tiny, 0.0], [-0.0, 0.0, 0.0],
+        [float("inf"), float("-inf"), 3.0], [float("inf")] * 3 + [1.0], [10.0**k for k in range(-300, 300)],
+        [-(10.0**k) for k in range(-300, 300, 7)] + [1.0, 2.0], [huge, huge],
+    ]
+    for values in sets:
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        ordered = sorted(values)
+        low, high = ordered[(len(values) - 1) // 2], ordered[len(values) // 2]
+        middle = low if low == high else (low + high) / 2
+        assert exact_medians(df, ["x"], buckets=16)["x"] == middle
+
+
+def test_types_share_their_scans(spark, monkeypatch):
+    from millrace.operators import impute as module
+
+    passes, count = [], module._count_parts
+    monkeypatch.setattr(module, "_count_parts", lambda *a: passes.append(len(a[2])) or count(*a))
+    df = spark.range(10_001).select(
+        (F.col("id") + 2**60).alias("b"), F.col("id").cast("decimal(38,10)").alias("d"),
+        (F.col("id") / 7).alias("x"), F.col("id").cast("string").alias("s"), F.lit(3).alias("one"),
+    )
+    found = exact_medians(df, list(df.columns))
+    assert found == {"b": 2**60 + 5000, "d": 5000, "x": 5000 / 7, "s": 5000.0, "one": 3}
+    assert passes[0] == 4 and len(passes) <= 3
+
+
+def test_exact_fills_keep_integers_and_decimals(spark):
+    rows = [(2**60 + 1, Decimal("1.05")), (2**60 + 2, Decimal("2.00")), (None, None)]
+    df = spark.createDataFrame(rows, "b bigint, d decimal(10,2)")
+    filled = impute(df, {"b": "median", "d": "median"}, exact=True)
+    assert filled.dtypes == [("b", "decimal(20,1)"), ("d", "decimal(11,3)")]
+    assert sorted(map(tuple, filled.collect()))[1] == (Decimal(2**60 + 1) + Decimal("0.5"), Decimal("1.525"))
 
 
 def test_impute_by_rule(spark):
