@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import present_double
-from millrace.operators.features import FEATURES, check_levels, feature_stages
+from millrace.operators.features import FEATURES, feature_stages, with_many_levels
 from millrace.sources.storage import delete_path, fresh_path, shared_dir, stage, stage_scope
 
 LABEL = "_label"
@@ -123,7 +123,8 @@ def fit_gbt(
     """Encode, then fit ``GBTRegressor``: its first tree counts fully, later ones by the rate.
 
     ``params`` holds ``learning_rate``, ``n_estimators``, ``max_depth`` and any further parameter
-    of the regressor by its Spark name.
+    of the regressor by its Spark name. Levels of a column beyond ``MAX_LEVELS`` stay in a table that
+    the model carries along.
     """
     rate, rounds, depth, extra = _parameters(params)
     shared_dir(df.sparkSession)
@@ -137,10 +138,10 @@ def fit_gbt(
         **options,
     )
     with _training_rows(df, cat, num, target) as training:
-        check_levels(training, cat)
+        wide = training if with_many_levels(training, cat) else None
         with stage_scope(df.sparkSession):
             edges = bin_edges(training, num, regressor.getMaxBins())
-        return Pipeline(stages=[*feature_stages(cat, num, edges), regressor]).fit(training)
+        return Pipeline(stages=[*feature_stages(cat, num, edges, wide), regressor]).fit(training)
 
 
 def fit_mean_boost(
@@ -181,10 +182,10 @@ def fit_mean_boost(
         return path, spark.read.parquet(path)
 
     with _training_rows(df, cat, num, target) as training:
-        check_levels(training, cat)
+        wide = training if with_many_levels(training, cat) else None
         with stage_scope(df.sparkSession):
             edges = bin_edges(training, num, int(extra.get("maxBins", DEFAULT_BINS)))
-        encoder = Pipeline(stages=feature_stages(cat, num, edges)).fit(training)
+        encoder = Pipeline(stages=feature_stages(cat, num, edges, wide)).fit(training)
         path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
     mean, any_row = stored.agg(F.avg(LABEL), F.first(FEATURES)).first()
     if any_row is None:

@@ -17,20 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.levels import fit_levels
+
 FEATURES = "_features"
-# Levels of one categorical column: they all go to the driver and into the model.
+# Levels of one categorical column that may go to the driver and into the model; more stay in a table.
 MAX_LEVELS = 100_000
 
 
 def feature_stages(
-    cat: Sequence[str], num: Sequence[str], edges: Sequence[Sequence[float]] | None = None
+    cat: Sequence[str],
+    num: Sequence[str],
+    edges: Sequence[Sequence[float]] | None = None,
+    wide: DataFrame | None = None,
 ) -> list:
     """Stages that turn the columns into one vector: one-hot block first, then the numbers.
 
     Levels are learnt in the fit, in alphabetical order. A level not seen there, or NULL, gives all
     zeros: the indexer puts it in an extra last slot, which the encoder leaves out. A missing
     number stops the query and the error names its column. With ``edges``, a number becomes the
-    index of its bin.
+    index of its bin. With ``wide``, the rows to learn from, levels are kept in a table from the start and
+    there may be any number of them.
     """
     index = [f"_index_{c}" for c in cat]
     onehot = [f"_onehot_{c}" for c in cat]
@@ -52,6 +58,8 @@ def feature_stages(
         numeric = [f"_place_{i}" for i in range(len(num))]
         places = ", ".join(f"{b} + 0D AS {p}" for b, p in zip(binned, numeric, strict=True))
         stages.append(SQLTransformer(statement=f"SELECT *, {places} FROM __THIS__"))
+    if wide is not None and cat:
+        return [*stages, fit_levels(wide, cat, numeric, FEATURES)]
     if cat:
         stages += [
             StringIndexer(
@@ -68,12 +76,21 @@ def feature_stages(
     return stages
 
 
+def with_many_levels(df: DataFrame, cat: Sequence[str], most: int | None = None) -> list[str]:
+    """The categorical columns that have more than ``most`` levels."""
+    bound = MAX_LEVELS if most is None else most
+    # One level more than the bound tells; NULL is no level.
+    return [
+        c
+        for c in cat
+        if df.select(F.col(f"`{c}`")).distinct().limit(bound + 2).count() > bound + 1
+    ]
+
+
 def check_levels(df: DataFrame, cat: Sequence[str], most: int = MAX_LEVELS) -> None:
     """Raise if a categorical column has more than ``most`` levels; none is ever left out."""
-    for c in cat:
-        levels = df.select(F.col(f"`{c}`")).distinct().limit(most + 2).count()
-        if levels > most + 1:  # NULL is no level
-            raise ValueError(f"categorical column {c} has more than {most} levels")
+    for c in with_many_levels(df, cat, most):
+        raise ValueError(f"categorical column {c} has more than {most} levels")
 
 
 def _quoted(name: str) -> str:

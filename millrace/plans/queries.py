@@ -396,6 +396,36 @@ def onehot_unseen(spark, sf_dir):
     )
 
 
+@_query(
+    "WITH known AS (SELECT l_orderkey AS k, row_number() OVER (ORDER BY CAST(l_orderkey AS VARCHAR)) - 1 "
+    "AS place FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag <> 'R')), "
+    "size AS (SELECT count(*) AS n FROM known), "
+    "flags AS (SELECT l_linestatus AS f, row_number() OVER (ORDER BY l_linestatus) - 1 AS place FROM "
+    "(SELECT DISTINCT l_linestatus FROM lineitem WHERE l_returnflag <> 'R')) "
+    "SELECT l_orderkey, l_linenumber, k.place IS NOT NULL AS known, "
+    "list_filter([k.place, size.n + flags.place, size.n + (SELECT count(*) FROM flags)], "
+    "lambda x: x IS NOT NULL)::VARCHAR AS places, l_quantity AS quantity "
+    "FROM lineitem CROSS JOIN size LEFT JOIN known k ON k.k = l_orderkey LEFT JOIN flags ON f = l_linestatus"
+)
+def onehot_many_levels(spark, sf_dir):
+    """Orders as a category, so levels grow with the table; orders whose lines all came back are unknown."""
+    items = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity"
+    )
+    learnt = items.where("l_returnflag <> 'R'")
+    stages = feature_stages(["l_orderkey", "l_linestatus"], ["l_quantity"], wide=learnt)
+    encoded = Pipeline(stages=stages).fit(learnt).transform(items)
+    parts = F.col(FEATURES)
+    vector = F.from_json(F.to_json(F.struct(parts.alias("v"))), "v struct<indices: array<int>, values: array<double>>")["v"]
+    return encoded.select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.size(vector["indices"]) == 3).alias("known"),
+        F.concat(F.lit("["), F.array_join(vector["indices"].cast("array<string>"), ", "), F.lit("]")).alias("places"),
+        F.element_at(vector["values"], -1).alias("quantity"),
+    )
+
+
 def _price_by_line_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_linestatus", "l_extendedprice"

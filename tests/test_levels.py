@@ -1,0 +1,74 @@
+"""Categories whose levels stay in a table, against the encoder that holds them in the model."""
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from millrace.operators import boosting, features, levels
+from millrace.operators.features import FEATURES, feature_stages, predict
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    data = [(i, f"lvl{i % 37}" if i % 11 else None, "xyz"[i % 3], float(i % 7), float(i % 5)) for i in range(500)]
+    return spark.createDataFrame(data, "k int, `a b` string, c string, n double, y double")
+
+
+def vectors(encoded):
+    return {r[0]: r[1] for r in encoded.select("k", vector_to_array(FEATURES)).collect()}
+
+
+def test_same_vectors_as_with_levels_in_the_model(rows):
+    seen = rows.where("k < 300")
+    wide = Pipeline(stages=feature_stages(["a b", "c"], ["n"], wide=seen)).fit(seen).transform(rows)
+    plain = Pipeline(stages=feature_stages(["a b", "c"], ["n"])).fit(seen).transform(rows)
+    assert vectors(wide) == vectors(plain)
+    assert set(rows.columns) < set(wide.columns)
+
+
+def test_a_model_carries_its_dictionary_along(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(features, "MAX_LEVELS", 10)
+    params = {"learning_rate": 0.5, "n_estimators": 2, "max_depth": 3}
+    for fit in (boosting.fit_gbt, boosting.fit_mean_boost):
+        model = fit(rows, ["a b", "c"], ["n"], "y", params)
+        path = str(tmp_path / fit.__name__)
+        model.write().overwrite().save(path)
+        own = {r["k"]: r["prediction"] for r in predict(model, rows).collect()}
+        again = {r["k"]: r["prediction"] for r in predict(PipelineModel.load(path), rows).collect()}
+        monkeypatch.setattr(features, "MAX_LEVELS", 1000)
+        plain = {r["k"]: r["prediction"] for r in predict(fit(rows, ["a b", "c"], ["n"], "y", params), rows).collect()}
+        monkeypatch.setattr(features, "MAX_LEVELS", 10)
+        assert own == again == pytest.approx(plain)
+
+
+def test_a_million_levels_stay_off_the_driver(spark, monkeypatch):
+    df = spark.range(1_000_000).select(F.col("id").alias("k"), F.concat(F.lit("u"), "id").alias("user"))
+    collected = []
+    real = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: collected.append(real(self)) or collected[-1])
+    encoder = levels.fit_levels(df, ["user"], [], FEATURES)
+    assert encoder.getOrDefault(encoder.sizes) == [1_000_000]
+    assert sum(map(len, collected)) <= 1
+    parts = encoder.transform(df.where("k % 250000 = 7")).select("user", FEATURES).collect()
+    ordered = sorted(f"u{i}" for i in range(1_000_000))
+    assert {r[0]: int(r[1].indices[0]) for r in parts} == {u: ordered.index(u) for u in ("u7", "u250007", "u500007", "u750007")}
+    assert parts[0][1].size == 1_000_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # Too many levels to send to every task are joined by a shuffle, which is split where it is skewed.
+        text = encoder.transform(df)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "SinglePartition" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nulls_and_empty_tables(spark):
+    schema = "k int, c string, n double"
+    empty = spark.createDataFrame([], schema)
+    encoder = levels.fit_levels(empty, ["c"], ["n"], FEATURES)
+    some = spark.createDataFrame([(1, "a", 2.0), (2, None, 3.0)], schema)
+    assert vectors(encoder.transform(some)) == {1: [2.0], 2: [3.0]}
+    encoder = levels.fit_levels(some, ["c"], ["n"], FEATURES)
+    assert vectors(encoder.transform(some)) == {1: [1.0, 2.0], 2: [0.0, 3.0]}
+    assert encoder.transform(empty).count() == 0
