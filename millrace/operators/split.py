@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import digest_number, key_digest
 
 # Candidates for the boundary row are ordered once there are no more than this many.
 CANDIDATE_LIMIT = 100_000
+# Random rows that propose where an order is cut, cuts of one pass, and passes without any progress.
+DRAWN = 10_000
+CUTS = 31
+MOST_TRIES = 3
 DIGITS = 3
 DIGEST_LENGTH = 32
 
@@ -114,10 +121,127 @@ def split_bucket(
     return df.where(~is_test), df.where(is_test)
 
 
-def ordered_limit(df: DataFrame, keys: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows in the order of ``keys``, which must end in a unique one.
-
-    Lazy and ordered for every ``n``. Each task keeps its first ``n`` rows and one task merges them, so
-    ``n`` is meant for results that fit into one task.
+# --- the first rows of an order -------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _SortKey:
+    """One part of a composite order, with the comparisons that Spark's sort makes."""
+
+    column: Column
+    data_type: T.DataType
+    falling: bool
+    nulls_first: bool
+
+    def ahead(self, value) -> Column:
+        """Whether a row stands before ``value`` by this part alone."""
+        if value is None:
+            return F.lit(False) if self.nulls_first else self.column.isNotNull()
+        bound = F.lit(value).cast(self.data_type)
+        smaller = F.coalesce(self.column > bound if self.falling else self.column < bound, F.lit(False))
+        return smaller | self.column.isNull() if self.nulls_first else smaller
+
+    def same(self, value) -> Column:
+        return self.column.eqNullSafe(F.lit(value).cast(self.data_type))
+
+
+_ORDER = re.compile(r"Column<'(.*) (ASC|DESC) NULLS (FIRST|LAST)'>", re.DOTALL)
+
+
+def _sort_keys(df: DataFrame, keys: Sequence[str | Column]) -> list[_SortKey]:
+    found = []
+    for key in keys:
+        ordered = None if isinstance(key, str) else _ORDER.fullmatch(str(key))
+        name = key if isinstance(key, str) else ordered and ordered[1]
+        column = F.col(f"`{name}`") if name in df.columns else F.expr(name) if name else key
+        data_type = df.select(column.alias("k")).schema[0].dataType
+        falling = bool(ordered) and ordered[2] == "DESC"
+        nulls_first = ordered[3] == "FIRST" if ordered else True
+        found.append(_SortKey(column, data_type, falling, nulls_first))
+    return found
+
+
+def _stands_before(keys: Sequence[_SortKey], bound: Sequence) -> Column:
+    """Whether a row stands before ``bound`` in the composite order; equal rows do not."""
+    result = F.lit(False)
+    for key, value in reversed(list(zip(keys, bound, strict=True))):
+        result = key.ahead(value) | (key.same(value) & result)
+    return result
+
+
+def _part_of(keys: Sequence[_SortKey], cuts: Sequence[Sequence], first: int = 0) -> Column:
+    """How many of the sorted cuts a row does not stand before, by halves."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(
+        _stands_before(keys, cuts[middle]), _part_of(keys, cuts[:middle], first)
+    ).otherwise(_part_of(keys, cuts[middle + 1 :], first + middle + 1))
+
+
+def _cuts(
+    inside: DataFrame, keys: Sequence[_SortKey], at: float, rows: int, drawn: int
+) -> list[tuple]:
+    """Keys of random rows around the share ``at`` of ``rows`` rows, in order and without repeats."""
+    named = [k.column.alias(f"k{i}") for i, k in enumerate(keys)]
+    falling = {True: F.desc_nulls_first, False: F.desc_nulls_last}
+    rising = {True: F.asc_nulls_first, False: F.asc_nulls_last}
+    sorts = [(falling if k.falling else rising)[k.nulls_first](f"k{i}") for i, k in enumerate(keys)]
+    sample = inside.select(*named, F.rand().alias("_draw")).where(F.col("_draw") < drawn / rows)
+    found = [tuple(r)[:-1] for r in sample.orderBy(*sorts).collect()]
+    if not found:
+        return []
+    # Five standard errors of a sample quantile.
+    slack = 2.5 / math.sqrt(len(found)) + 1 / len(found)
+    low, high = max(0.0, at - slack) * (len(found) - 1), min(1.0, at + slack) * (len(found) - 1)
+    picked = [found[round(low + (high - low) * i / CUTS)] for i in range(CUTS + 1)]
+    return [cut for i, cut in enumerate(picked) if not i or repr(cut) != repr(picked[i - 1])]
+
+
+def ordered_limit(
+    df: DataFrame, keys: Sequence[str | Column], n: int, merged: int = CANDIDATE_LIMIT
+) -> DataFrame:
+    """The first ``n`` rows in the order of ``keys``, in that order; ``keys`` must end in a unique one.
+
+    A key is a column's name, or a sort order such as ``F.desc("x")``. Up to ``merged`` rows each task
+    keeps its first ``n`` and one task merges them. For more, the place where the result ends is looked
+    for first: random keys propose cuts, a scan counts the rows between them, and the part with the
+    ``n``-th row is cut again until it has no more than ``merged`` rows. What stands before that part is a
+    filter, only the part itself is limited, and the whole is sorted by ranges, so no task gets ``n`` rows.
+    The cuts only propose; counts decide, so the result is exact.
     """
-    return df.orderBy(*keys).limit(n)
+    if n <= merged:
+        return df.orderBy(*keys).limit(n)
+    parts = _sort_keys(df, keys)
+    total = df.count()
+    if total <= n:
+        return df.orderBy(*keys)
+    before, inside, low, high = 0, total, None, None
+    tries = 0
+    while inside > merged and tries < MOST_TRIES:
+        rows = df
+        if low is not None:
+            rows = rows.where(~_stands_before(parts, low))
+        if high is not None:
+            rows = rows.where(_stands_before(parts, high))
+        cuts = _cuts(rows, parts, (n - before) / inside, inside, DRAWN)
+        part = _part_of(parts, cuts).alias("part")
+        counts = dict(map(tuple, rows.select(part).groupBy("part").count().collect()))
+        bounds = [low, *cuts, high]
+        whole = inside
+        for at in range(len(cuts) + 1):
+            inside = counts.get(at, 0)
+            if n <= before + inside:
+                break
+            before += inside
+        low, high = bounds[at], bounds[at + 1]
+        # Equal keys cannot be cut apart; then any of their rows will do.
+        tries = tries + 1 if inside == whole else 0
+    rest = df
+    if low is not None:
+        rest = rest.where(~_stands_before(parts, low))
+    if high is not None:
+        rest = rest.where(_stands_before(parts, high))
+    rest = rest.orderBy(*keys).limit(n - before) if inside <= merged else rest.limit(n - before)
+    sure = df.where(_stands_before(parts, low)) if low is not None else df.limit(0)
+    return sure.union(rest).orderBy(*keys)

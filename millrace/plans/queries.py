@@ -287,6 +287,20 @@ def ordered_limit(spark, sf_dir):
     return split.ordered_limit(orders, [F.desc("o_totalprice"), "o_orderkey"], 100)
 
 
+@_query(
+    "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem "
+    "ORDER BY l_quantity DESC, l_extendedprice, l_orderkey, l_linenumber "
+    "LIMIT (SELECT count(*) // 3 FROM lineitem)"
+)
+def ordered_limit_large(spark, sf_dir):
+    """A third of the lines in a composite order, found by boundary search."""
+    items = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    order = [F.desc("l_quantity"), "l_extendedprice", "l_orderkey", "l_linenumber"]
+    return split.ordered_limit(items, order, items.count() // 3, merged=1000)
+
+
 # --- metrics and the champion test ---------------------------------------------------------------
 
 

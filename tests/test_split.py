@@ -1,5 +1,6 @@
 import hashlib
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,48 @@ def test_sizes_are_checked(people):
 def test_ordered_limit(people, n):
     first = split.ordered_limit(people, [F.desc("score"), "key"], n).collect()
     assert first == sorted(people.collect(), key=lambda r: (-r["score"], r["key"]))[:n]
+
+
+@pytest.fixture(scope="module")
+def odd_orders(spark):
+    """Ties, NULLs and NaN in the first keys, and a unique last one."""
+    rows = [
+        (i, None if i % 13 == 0 else float("nan") if i % 17 == 0 else float(i * 7919 % 23), None if i % 5 == 0 else "abc"[i % 3])
+        for i in range(4000)
+    ]
+    return spark.createDataFrame(rows, "k int, x double, `odd name` string").repartition(7)
+
+
+@pytest.mark.parametrize("n", [51, 2000, 3999, 5000])
+@pytest.mark.parametrize(
+    "keys",
+    [
+        lambda: [F.desc("x"), F.asc_nulls_last("odd name"), "k"],
+        lambda: ["x", F.desc_nulls_first("odd name"), F.desc("k")],
+        lambda: [F.desc("k")],
+        lambda: [F.expr("k % 2").asc(), "k"],
+    ],
+    ids=["falling", "rising", "one key", "expression"],
+)
+def test_large_limits_are_those_of_a_sort(odd_orders, keys, n):
+    found = split.ordered_limit(odd_orders, keys(), n, merged=50)
+    expected = odd_orders.orderBy(*keys()).limit(n)
+    assert [r["k"] for r in found.collect()] == [r["k"] for r in expected.collect()]
+
+
+def test_equal_keys_cannot_be_cut(spark):
+    df = spark.range(1000).select(F.lit(1).alias("x"), "id")
+    found = split.ordered_limit(df, ["x"], 600, merged=10)
+    assert found.count() == 600 and found.distinct().count() == 600
+
+
+def test_no_task_gets_all_rows_of_a_large_limit(spark):
+    """A million of two million rows: only the part around the end is limited in one task."""
+    df = spark.range(2_000_000).select(F.col("id"), (F.col("id") * 7919 % 2_000_003).alias("x"))
+    found = split.ordered_limit(df, ["x", "id"], 1_000_000)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(x" in text
+    (limit,) = re.findall(r"TakeOrderedAndProject\(limit=(\d+)", text)
+    assert int(limit) <= 100_000
+    assert found.count() == 1_000_000
+    assert found.agg(F.max("x")).first()[0] == df.orderBy("x").limit(1_000_000).agg(F.max("x")).first()[0]
