@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from typing import Any
@@ -22,7 +23,7 @@ from millrace.functions.columns import present_double
 from millrace.operators.features import FEATURES, feature_stages, with_many_levels
 from millrace.sources.storage import delete_path, fresh_path, shared_dir, stage, stage_scope
 
-LABEL = "_label"
+LABEL, ROW = "_label", "_row"
 # The defaults of the three model parameters.
 DEFAULT_PARAMS = {"learning_rate": 0.01, "n_estimators": 100, "max_depth": 6}
 STAGE_EVERY = 10
@@ -158,9 +159,10 @@ def fit_mean_boost(
     far leave over. The result is one ordinary ``GBTRegressionModel`` made of all these trees, so
     it predicts in one pass and is saved and loaded like any other model.
 
-    Encoded rows and their remainder are written to the shared folder, again after every
-    ``stage_every`` rounds; in between, the remainder comes from that table and the few trees since.
-    So plans do not grow with the rounds, and a lost executor costs a part of one round.
+    Vectors are written once, in buckets by a row number; what is left over is a table of its own, in
+    the same buckets, so both meet without a shuffle. Only this narrow table is written again, after
+    every ``stage_every`` rounds; in between, the remainder comes from it and the few trees since. So
+    plans do not grow with the rounds, and a lost executor costs a part of one round.
     """
     rate, rounds, depth, extra = _parameters(params)
     spark = df.sparkSession
@@ -172,42 +174,82 @@ def fit_mean_boost(
         )
         return learner.fit(rows)
 
-    def remainder(rows: DataFrame, trees: list, weights: list[float]) -> DataFrame:
-        scored = _ensemble(spark, trees, weights).transform(rows)
-        return scored.select(FEATURES, (F.col(LABEL) - F.col("prediction")).alias(LABEL))
-
-    def write(rows: DataFrame) -> tuple[str, DataFrame]:
-        path = fresh_path(spark, "boosting")
-        rows.write.parquet(path)
-        return path, spark.read.parquet(path)
-
-    with _training_rows(df, cat, num, target) as training:
+    with _training_rows(df, cat, num, target) as training, _Buckets(spark, ROW) as buckets:
         wide = training if with_many_levels(training, cat) else None
-        with stage_scope(df.sparkSession):
+        with stage_scope(spark):
             edges = bin_edges(training, num, int(extra.get("maxBins", DEFAULT_BINS)))
         encoder = Pipeline(stages=feature_stages(cat, num, edges, wide)).fit(training)
-        path, stored = write(encoder.transform(training).select(FEATURES, LABEL))
-    mean, any_row = stored.agg(F.avg(LABEL), F.first(FEATURES)).first()
-    if any_row is None:
-        raise ValueError("there is no row to fit a model on")
-    # The tree that knows the mean only is grown from two rows of the right size.
-    blank = spark.createDataFrame([(Vectors.sparse(any_row.size, []), mean)] * 2, [FEATURES, LABEL])
-    trees, weights = [grow(blank, 0)], [1.0]
-    pending = 1
-    for _ in range(rounds):
-        left_over = remainder(stored, trees[-pending:], weights[-pending:]) if pending else stored
-        if pending >= stage_every:
-            old_path = path
-            path, stored = write(left_over)
-            delete_path(spark, old_path)
-            left_over, pending = stored, 0
-        trees.append(grow(left_over, depth))
-        weights.append(rate)
-        pending += 1
-    delete_path(spark, path)
+        encoded = encoder.transform(training).select(FEATURES, LABEL)
+        # A number for each row that is settled once it is written.
+        whole = stage(encoded.withColumn(ROW, F.monotonically_increasing_id()), "encoded")
+        features = buckets.write(whole.select(ROW, FEATURES))
+        labels = buckets.write(whole.select(ROW, LABEL))
+        mean = labels.agg(F.avg(LABEL)).first()[0]
+        if mean is None:
+            raise ValueError("there is no row to fit a model on")
+        size = features.select(FEATURES).first()[0].size
+        # The tree that knows the mean only is grown from two rows of the right size.
+        blank = spark.createDataFrame([(Vectors.sparse(size, []), mean)] * 2, [FEATURES, LABEL])
+        trees, weights = [grow(blank, 0)], [1.0]
+        pending = 1
+        for _ in range(rounds):
+            left_over = remainders(features, labels, trees[len(trees) - pending :], weights[len(trees) - pending :])
+            if pending >= stage_every:
+                labels, old = buckets.write(left_over.select(ROW, LABEL), dealt=True), labels
+                buckets.drop(old)
+                left_over, pending = remainders(features, labels, [], []), 0
+            trees.append(grow(left_over.select(FEATURES, LABEL), depth))
+            weights.append(rate)
+            pending += 1
     return PipelineModel(stages=[*encoder.stages, _ensemble(spark, trees, weights)])
 
 
+def remainders(
+    features: DataFrame, labels: DataFrame, trees: Sequence, weights: Sequence[float]
+) -> DataFrame:
+    """(row, vector, what the trees leave of its label), of two tables in the same buckets."""
+    rows = features.join(labels, ROW)
+    if not trees:
+        return rows
+    scored = _ensemble(features.sparkSession, list(trees), list(weights)).transform(rows)
+    return scored.select(ROW, FEATURES, (F.col(LABEL) - F.col("prediction")).alias(LABEL))
+
+
+class _Buckets:
+    """Tables in the shared folder that are bucketed by one key, dropped at the end of the block."""
+
+    def __init__(self, spark: SparkSession, key: str):
+        self.spark, self.key = spark, key
+        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.paths: dict[str, str] = {}
+
+    def __enter__(self) -> _Buckets:
+        return self
+
+    def write(self, rows: DataFrame, dealt: bool = False) -> DataFrame:
+        """``rows`` as a table; ``dealt``: they come from these buckets and lie right already."""
+        name = f"millrace_{uuid.uuid4().hex}"
+        self.paths[name] = fresh_path(self.spark, "buckets")
+        if not dealt:
+            rows = rows.repartition(self.count, self.key)
+        writer = rows.write.bucketBy(self.count, self.key).sortBy(self.key)
+        writer.option("path", self.paths[name]).saveAsTable(name)
+        return self.spark.table(name)
+
+    def drop(self, table: DataFrame) -> None:
+        for name, path in list(self.paths.items()):
+            if any(f"/{path.rsplit('/', 1)[1]}/" in file for file in table.inputFiles()[:1]):
+                self._drop(name)
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(self.spark, self.paths.pop(name))
+
+    def __exit__(self, *_: object) -> None:
+        for name in list(self.paths):
+            self._drop(name)
+
+
 def _ensemble(spark: SparkSession, trees: list, weights: list[float]) -> GBTRegressionModel:
     """One boosted model from single trees and their weights."""
     jvm, gateway = spark._jvm, spark.sparkContext._gateway

@@ -526,6 +526,62 @@ def gbt_fit_score(spark, sf_dir):
     return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"))
 
 
+# The same splits, but of what the mean and the scaled trees before leave over.
+@_query(
+    """
+    WITH cells AS (
+        SELECT l_quantity AS q, l_returnflag AS r, count(*) AS n, sum(l_extendedprice) AS s
+        FROM lineitem GROUP BY l_quantity, l_returnflag
+    ), start AS (SELECT sum(s) / sum(n) AS mean FROM cells),
+    centred AS (SELECT q, r, n, s - n * mean AS s FROM cells CROSS JOIN start),
+    splits AS (
+        SELECT DISTINCT q AS least, NULL AS level FROM cells
+        UNION ALL SELECT DISTINCT NULL, r FROM cells
+    ), first_gains AS (
+        SELECT least, level,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN n END) AS n1,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN s END) AS s1,
+            sum(n) AS n0, sum(s) AS s0
+        FROM splits CROSS JOIN centred c GROUP BY least, level
+    ), first_tree AS (
+        SELECT least, level, s1 / n1 AS inside, (s0 - s1) / (n0 - n1) AS outside
+        FROM first_gains WHERE n1 < n0
+        ORDER BY s1 * s1 / n1 + (s0 - s1) * (s0 - s1) / (n0 - n1) DESC LIMIT 1
+    ), left_over AS (
+        SELECT q, r, n, p, s - n * 0.5::DOUBLE * p AS s FROM (
+            SELECT c.*, CASE WHEN c.q >= t.least OR c.r = t.level THEN inside ELSE outside END AS p
+            FROM centred c CROSS JOIN first_tree t
+        )
+    ), second_gains AS (
+        SELECT least, level,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN n END) AS n1,
+            sum(CASE WHEN c.q >= least OR c.r = level THEN s END) AS s1,
+            sum(n) AS n0, sum(s) AS s0
+        FROM splits CROSS JOIN left_over c GROUP BY least, level
+    ), second_tree AS (
+        SELECT least, level, s1 / n1 AS inside, (s0 - s1) / (n0 - n1) AS outside
+        FROM second_gains WHERE n1 < n0
+        ORDER BY s1 * s1 / n1 + (s0 - s1) * (s0 - s1) / (n0 - n1) DESC LIMIT 1
+    )
+    SELECT l_orderkey, l_linenumber, round(mean + 0.5::DOUBLE * (
+        p + CASE WHEN c.q >= t.least OR c.r = t.level THEN inside ELSE outside END
+    ), 3) AS prediction
+    FROM lineitem JOIN left_over c ON l_quantity = c.q AND l_returnflag = c.r
+        CROSS JOIN second_tree t CROSS JOIN start
+    """
+)
+def boost_mean_start_numeric(spark, sf_dir):
+    items = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice"
+    )
+    params = {"learning_rate": 0.5, "n_estimators": 2, "max_depth": 1, "maxBins": 64}
+    model = boosting.fit_mean_boost(
+        items, ["l_returnflag"], ["l_quantity"], "l_extendedprice", params, stage_every=2
+    )
+    scored = predict(model, items)
+    return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"))
+
+
 @_query(
     "SELECT o_orderkey, round(o_totalprice * 0.5::DOUBLE + o_custkey, 4) AS prediction FROM orders"
 )

@@ -5,6 +5,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from millrace.operators import boosting
 from millrace.operators.boosting import fit_gbt, fit_mean_boost
 from millrace.operators.features import (
     FEATURES,
@@ -124,3 +125,25 @@ def test_signature(spark, prices):
         check_signature(recorded, prices.drop("c"))
     with pytest.raises(ValueError, match="input column k is string"):
         check_signature(recorded, prices.withColumn("k", F.col("k").cast("string")))
+
+
+def test_features_are_written_once_and_meet_remainders_without_a_shuffle(spark, prices, monkeypatch):
+    written, plans = [], []
+    write, fit = boosting._Buckets.write, boosting.DecisionTreeRegressor.fit
+    monkeypatch.setattr(boosting._Buckets, "write", lambda self, rows, *a, **k: written.append(rows.columns) or write(self, rows, *a, **k))
+
+    def looked_at(self, rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(boosting.DecisionTreeRegressor, "fit", looked_at)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        params = {"learning_rate": 0.1, "n_estimators": 7, "max_depth": 1}
+        boosting.fit_mean_boost(prices, ["c"], [], "y", params, stage_every=2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(FEATURES in columns for columns in written) == 1 and len(written) == 5
+    joins = [p for p in plans if "SortMergeJoin" in p]
+    assert len(joins) == 7 and not any("Exchange" in p for p in joins)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("millrace_")]
