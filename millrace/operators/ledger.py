@@ -1,12 +1,14 @@
 """Run ledger and model registry as tables.
 
-``ledger`` and ``registry`` are database names. Rows are only ever appended; the newest one wins.
-Numbers are read and then used, so each database has one writer at a time.
+``ledger`` and ``registry`` are database names. Rows are only ever appended; the newest one wins. Versions
+of models and settings of aliases are numbered records, so many sessions can register at once; runs have
+random ids.
 """
 
 from __future__ import annotations
 
 import datetime
+import json
 import uuid
 from collections.abc import Mapping
 from typing import Any
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.features import signature as make_signature
+from millrace.sources.numbered import append_numbered
 from millrace.sources.snapshots import read_snapshot
 
 RUNS = "runs"
@@ -151,19 +154,25 @@ def register_version(
 ) -> int:
     """Append a run's model as the next version of ``name``, from 1, and return the number.
 
+    Writers that register at once get different numbers without a gap.
     ``ledger`` is the database of the run, by default the registry's own.
     """
     runs = spark.table(f"{ledger or registry}.{RUNS}").where(F.col("run_id") == run_id)
     run = runs.select("model_path").first()
     if run is None:
         raise LookupError(f"no run {run_id} in {ledger or registry}")
-    version = 1
-    if spark.catalog.tableExists(f"{registry}.{VERSIONS}"):
-        stored = spark.table(f"{registry}.{VERSIONS}").where(F.col("name") == name)
-        version = stored.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    row = (name, version, run_id, run["model_path"], _texts(tags), _now())
-    _append(spark, registry, VERSIONS, row, VERSIONS_SCHEMA)
-    return version
+
+    def row(version: int) -> dict[str, Any]:
+        return {
+            "name": name,
+            "version": version,
+            "run_id": run_id,
+            "path": run["model_path"],
+            "tags": _texts(tags),
+            "registered_at": _now().isoformat(),
+        }
+
+    return append_numbered(spark, f"{registry}.{VERSIONS}", VERSIONS_SCHEMA, name, row)
 
 
 def set_alias(spark: SparkSession, registry: str, name: str, alias: str, version: int) -> None:
@@ -171,14 +180,12 @@ def set_alias(spark: SparkSession, registry: str, name: str, alias: str, version
     stored = spark.table(f"{registry}.{VERSIONS}")
     if stored.where((F.col("name") == name) & (F.col("version") == version)).isEmpty():
         raise ValueError(f"{name} has no version {version}")
-    seq = 1
-    if spark.catalog.tableExists(f"{registry}.{ALIASES}"):
-        seq = (
-            spark.table(f"{registry}.{ALIASES}")
-            .agg(F.coalesce(F.max("seq"), F.lit(0)) + 1)
-            .first()[0]
-        )
-    _append(spark, registry, ALIASES, (name, alias, version, _now(), seq), ALIASES_SCHEMA)
+
+    def row(seq: int) -> dict[str, Any]:
+        return {"name": name, "alias": alias, "version": version, "set_at": _now().isoformat(), "seq": seq}
+
+    key = json.dumps([name, alias])
+    append_numbered(spark, f"{registry}.{ALIASES}", ALIASES_SCHEMA, key, row)
 
 
 def find_alias(spark: SparkSession, registry: str, name: str, alias: str) -> dict | None:

@@ -1,9 +1,12 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import ledger
 from millrace.operators.boosting import fit_gbt
 from millrace.operators.features import predict
+from millrace.sources import numbered
 from millrace.sources.snapshots import write_snapshot
 from millrace.sources.storage import delete_path
 
@@ -92,3 +95,29 @@ def test_a_model_that_cannot_be_loaded_is_an_error(spark, database, tmp_path, mo
     delete_path(spark, f"{tmp_path}/{run_id}")
     with pytest.raises(Exception, match=run_id):
         ledger.load_alias(spark, database, "m")
+
+
+def test_writers_at_once_get_different_numbers_without_a_gap(spark, database, tmp_path, model):
+    run_id = ledger.log_run(spark, database, "trial", model, str(tmp_path), {})
+    sessions = [spark.newSession() for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        register = lambda s: [ledger.register_version(s, database, "m", run_id) for _ in range(5)]
+        numbers = [n for own in pool.map(register, sessions) for n in own]
+        assert sorted(numbers) == list(range(1, 21))
+        point = lambda s: [ledger.set_alias(s, database, "m", "now", v) for v in range(1, 6)]
+        list(pool.map(point, sessions))
+    spark.catalog.refreshTable(f"{database}.model_versions")
+    spark.catalog.refreshTable(f"{database}.model_aliases")
+    stored = spark.table(f"{database}.model_versions").collect()
+    assert sorted(r["version"] for r in stored) == list(range(1, 21))
+    assert {r["run_id"] for r in stored} == {run_id} and all(r["registered_at"] for r in stored)
+    seqs = sorted(r["seq"] for r in spark.table(f"{database}.model_aliases").collect())
+    assert seqs == list(range(1, 21))
+
+
+def test_a_record_is_published_once(spark, database):
+    folder = numbered._folder(spark, f"{database}.t")
+    assert numbered._publish(spark, folder, "a-1.json", '{"x": 1}')
+    assert not numbered._publish(spark, folder, "a-1.json", '{"x": 2}')
+    assert numbered._names(spark, folder) == ["a-1.json"]
+    assert spark.read.text(folder).first()[0] == '{"x": 1}'
