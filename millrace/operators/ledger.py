@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from millrace.operators.features import signature as make_signature
 from millrace.sources.numbered import append_numbered
 from millrace.sources.snapshots import read_snapshot
+from millrace.sources.tables import read_version
 
 RUNS = "runs"
 VERSIONS = "model_versions"
@@ -135,7 +136,18 @@ def run_dataset(spark: SparkSession, ledger: str, run_id: str) -> DataFrame:
         raise ValueError(f"run {run_id} has no recorded dataset")
     if row["dataset_version"] is None:
         raise ValueError(f"run {run_id} recorded no version of {row['dataset_table']}")
-    return read_snapshot(spark, row["dataset_table"], row["dataset_version"])
+    table, version = row["dataset_table"], row["dataset_version"]
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        return read_snapshot(spark, table, version)
+    return read_version(spark, table, version)
+
+
+def used_versions(spark: SparkSession, ledger: str, table: str) -> DataFrame:
+    """(version) of ``table`` that some run was fitted on."""
+    if not spark.catalog.tableExists(f"{ledger}.{RUNS}"):
+        return spark.createDataFrame([], "version bigint")
+    runs = spark.table(f"{ledger}.{RUNS}").where(F.col("dataset_table") == table)
+    return runs.where("dataset_version is not null").select(F.col("dataset_version").alias("version")).distinct()
 
 
 def latest_run(spark: SparkSession, ledger: str, experiment: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.boosting import DEFAULT_PARAMS, fit_gbt
+from millrace.operators.boosting import DEFAULT_PARAMS, fit_mean_boost
 from millrace.operators.clean import cast_strict_int, coerce_numeric, select_features, stamp_utc
 from millrace.operators.features import check_signature, predict
 from millrace.operators.impute import impute
@@ -22,6 +22,7 @@ from millrace.operators.ledger import (
     log_run,
     register_version,
     set_alias,
+    used_versions,
 )
 from millrace.operators.metrics import decide, gate_columns, metric_columns
 from millrace.operators.scoring import save_scored
@@ -29,7 +30,7 @@ from millrace.operators.split import split_bucket, split_exact
 from millrace.sources.raw_csv import BLOCK, FILE, LINE, read_raw_csv
 from millrace.sources.snapshots import read_snapshot, snapshot_versions, write_snapshot
 from millrace.sources.storage import stage, stage_scope
-from millrace.sources.tables import write_merged
+from millrace.sources.tables import drop_versions, latest_version, read_version, write_version
 
 UPDATED_AT = "update_timestamp_utc"
 MODEL_TYPE = "gradient-boosted trees with one-hot encoding"
@@ -85,12 +86,16 @@ def prepare(
     sep: str = ",",
     exact: bool = True,
     snapshots: bool = False,
-) -> None:
-    """Delimited text to a training and a test table.
-
-    ``exact=False`` splits by hash bucket, which saves the scans that look for the boundary.
-    ``snapshots=True`` adds a version to each table instead of replacing its rows.
+    ledger: str | None = None,
+) -> dict[str, tuple[int, int]]:
+    """Delimited text to a training and a test table; the rows and columns of each.
+
+    ``exact=False`` splits by hash bucket, which saves the scans that look for the boundary. The rows of
+    both tables are replaced, and the replaced versions stay readable as long as a run of ``ledger``, by
+    default the training table's database, was fitted on them. ``snapshots=True`` adds a partition to
+    each table instead, and none is ever dropped.
     """
+    shapes = {}
     with stage_scope(spark):
         raw = read_raw_csv(spark, path, sep, with_position=True)
         cleaned = clean_table(raw, columns, fills)
@@ -98,13 +103,23 @@ def prepare(
         for part, table in zip(
             split(cleaned, columns.key, test_size, seed), (train_table, test_table), strict=True
         ):
-            write = write_snapshot if snapshots else write_merged
-            write(stamp_utc(part, UPDATED_AT), table)
+            stamped = stamp_utc(part, UPDATED_AT)
+            if snapshots:
+                version = write_snapshot(stamped, table)
+                stored = read_snapshot(spark, table, version)
+            else:
+                write_version(stamped, table)
+                runs = ledger or table.rpartition(".")[0] or spark.catalog.currentDatabase()
+                drop_versions(spark, table, used_versions(spark, runs, table))
+                stored = spark.table(table)
+            shapes[table] = (stored.count(), len(stored.columns))
+    return shapes
 
 
 def _read(spark: SparkSession, table: str, snapshots: bool) -> tuple[DataFrame, int | None]:
     if not snapshots:
-        return spark.table(table), None
+        version = latest_version(spark, table)
+        return spark.table(table) if version is None else read_version(spark, table, version), version
     version = snapshot_versions(spark, table)[-1]
     return read_snapshot(spark, table, version), version
 
@@ -120,12 +135,13 @@ def train_and_promote(
     experiment: str,
     params: Mapping[str, Any] | None = None,
     tags: Mapping[str, str] | None = None,
-    fit: Callable[..., PipelineModel] = fit_gbt,
+    fit: Callable[..., PipelineModel] = fit_mean_boost,
     alias: str = LATEST_ALIAS,
     snapshots: bool = False,
 ) -> dict[str, Any]:
     """Fit a model, measure it, log the run, and register it if it beats the aliased model.
 
+    ``fit`` is boosting from the mean, or ``fit_gbt``. The run records the version of the training table.
     Both models score the whole test table in one scan, and one aggregate yields the metrics and
     the comparison. Returns the decision: errors, ``promote``, ``reason``, ``run_id`` and
     ``version`` (``None`` if not promoted). An aliased model that cannot be loaded is an error.

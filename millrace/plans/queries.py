@@ -987,6 +987,7 @@ def _train_by_status(spark: SparkSession, database: str, root: str) -> dict:
         root,
         "prices",
         STATUS_MODEL,
+        fit=boosting.fit_gbt,
     )
 
 
@@ -1013,6 +1014,44 @@ def train_job(spark, sf_dir):
     return decisions.withColumns({c: F.round(c, 3) for c in ("mae_current", "mae_latest")})
 
 
+# Boosting from the mean: with one tree and a rate r, a status is predicted as m + r * (p - m).
+@_query(
+    f"WITH {STATUS_PARTS_SQL}, start AS (SELECT avg(o_totalprice) AS m FROM parts WHERE NOT is_test), "
+    "errors AS (SELECT avg(abs(o_totalprice - m - 0.1::DOUBLE * (p - m))) AS weak, "
+    "avg(abs(o_totalprice - p)) AS strong FROM parts JOIN fitted USING (o_orderstatus) CROSS JOIN start "
+    "WHERE is_test), "
+    "better AS (SELECT weak, strong, least(weak, strong) AS best, strong < weak AS won FROM errors) "
+    "SELECT 1 AS attempt, round(weak, 3) AS mae_current, NULL::DOUBLE AS mae_latest, TRUE AS promote, "
+    "'no latest model' AS reason, 1::BIGINT AS version, 1::BIGINT AS dataset_version FROM better UNION ALL "
+    "SELECT 2, round(strong, 3), round(weak, 3), won, CASE WHEN won THEN 'current model is better' "
+    "ELSE 'current model is not better' END, CASE WHEN won THEN 2 ELSE 0 END, 1 FROM better UNION ALL "
+    "SELECT 3, round(weak, 3), round(best, 3), FALSE, 'current model is not better', 0, 2 FROM better"
+)
+def train_job_champions(spark, sf_dir):
+    """A weak model, a strong one that takes its place, and the weak one again on a newer version."""
+    database, root = _status_tables(spark, sf_dir), storage.fresh_path(spark, "models")
+    train = f"{database}.train"
+    tables.write_version(spark.table(train), train)
+    rows = []
+    for attempt, rate in enumerate((0.1, 1.0, 0.1), start=1):
+        if attempt == 3:
+            tables.write_version(spark.table(train), train)
+        outcome = pipelines.train_and_promote(
+            spark, train, f"{database}.test", STATUS_COLUMNS, database, "price", root, "prices",
+            {**STATUS_MODEL, "learning_rate": rate},
+        )
+        run = spark.table(f"{database}.{ledger.RUNS}").where(F.col("run_id") == outcome["run_id"]).first()
+        errors = [outcome["mae_current"], outcome["mae_latest"]]
+        row = (attempt, *errors, outcome["promote"], outcome["reason"], outcome["version"] or 0)
+        rows.append((*row, run["dataset_version"]))
+    schema = (
+        "attempt int, mae_current double, mae_latest double, promote boolean, reason string, "
+        "version bigint, dataset_version bigint"
+    )
+    decisions = spark.createDataFrame(rows, schema)
+    return decisions.withColumns({c: F.round(c, 3) for c in ("mae_current", "mae_latest")})
+
+
 @_query(
     f"WITH {STATUS_PARTS_SQL} SELECT o_orderkey, o_orderstatus, round(p, 3) AS prediction, "
     "TRUE AS stamped FROM parts JOIN fitted USING (o_orderstatus) WHERE is_test"

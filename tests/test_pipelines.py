@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import ledger
 from millrace.operators.boosting import fit_mean_boost
 from millrace.plans.pipelines import Columns, prepare, score_batch, train_and_promote
+from millrace.sources import tables
 from millrace.sources.snapshots import read_snapshot
 
 # The schema of the table these jobs were designed for.
@@ -197,3 +198,40 @@ def test_clean_table_with_ties_and_bad_cells(spark):
     ]
     train, test = split_exact(cleaned, "Id")
     assert (train.count(), test.count()) == (4, 2)
+
+
+def test_a_run_keeps_the_version_it_was_fitted_on(spark, database, raw_file, tmp_path):
+    """By default: prepare, train, prepare again; versions that no run names are dropped."""
+    path, frame = raw_file
+    train, test = f"{database}.train_set", f"{database}.test_set"
+    shapes = prepare(spark, path, COLUMNS, FILLS, train, test)
+    assert shapes == {train: (162, 15), test: (41, 15)}
+    first = sorted(map(tuple, spark.table(train).drop("update_timestamp_utc").collect()))
+    outcome = train_and_promote(spark, train, test, COLUMNS, database, "grader", str(tmp_path / "models"), "trial", params=SMALL)
+    half = tmp_path / "half.csv"
+    half.write_text("\n".join(open(path).read().splitlines()[:101]) + "\n")
+    for _ in range(4):
+        prepare(spark, str(half), COLUMNS, FILLS, train, test)
+    again = ledger.run_dataset(spark, database, outcome["run_id"]).drop("update_timestamp_utc")
+    assert sorted(map(tuple, again.collect())) == first
+    assert spark.table(train).count() == 80
+    kept = sorted(r["version"] for r in tables.stored_versions(spark, train).collect())
+    assert kept == [1, 4, 5]
+    assert sorted(r["version"] for r in tables.stored_versions(spark, test).collect()) == [4, 5]
+    with pytest.raises(ValueError, match="has no version 2"):
+        tables.read_version(spark, train, 2)
+
+
+def test_a_plain_overwrite_of_a_table_with_versions_adds_one(spark, database):
+    table = f"{database}.t"
+    assert tables.write_version(spark.range(3), table) == 1
+    tables.write_merged(spark.range(5).withColumn("x", F.lit("y")), table)
+    assert tables.latest_version(spark, table) == 2
+    assert tables.read_version(spark, table, 1).columns == ["id"]
+    assert tables.read_version(spark, table, 1).count() == 3
+    assert spark.table(table).count() == 5
+    nothing = spark.createDataFrame([], "version bigint")
+    assert tables.drop_versions(spark, table, nothing) == []
+    tables.write_version(spark.range(1), table)
+    assert tables.drop_versions(spark, table, nothing) == [1]
+    assert tables.latest_version(spark, f"{database}.unknown") is None
