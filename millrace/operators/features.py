@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import (
@@ -97,33 +97,67 @@ def _quoted(name: str) -> str:
     return name.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def signature(df: DataFrame, inputs: Sequence[str], output: str = "prediction") -> str:
-    """Input and output columns of a model with their types, as JSON."""
-    fields = [df.schema[c].jsonValue() for c in inputs]
-    return json.dumps({"inputs": fields, "output": output})
+def signature(
+    df: DataFrame, inputs: Sequence[str], output: str = "prediction", outputs: DataFrame | None = None
+) -> str:
+    """Input and output columns of a model with their types, nested ones too, as JSON.
 
+    ``outputs`` is a frame of what the model adds; without it the output is a number named ``output``.
+    """
+    fields = [df.schema[c].jsonValue() for c in inputs]
+    made = outputs.schema if outputs is not None else T.StructType([T.StructField(output, T.DoubleType())])
+    return json.dumps({"inputs": fields, "outputs": [f.jsonValue() for f in made]})
+
+
+def _fits(expected: T.DataType, actual: T.DataType) -> bool:
+    """Whether a value of one type can stand for the other: any number for a number, at every depth."""
+    if isinstance(expected, T.NumericType):
+        return isinstance(actual, T.NumericType)
+    if isinstance(expected, T.ArrayType):
+        return isinstance(actual, T.ArrayType) and _fits(expected.elementType, actual.elementType)
+    if isinstance(expected, T.MapType):
+        return (
+            isinstance(actual, T.MapType)
+            and _fits(expected.keyType, actual.keyType)
+            and _fits(expected.valueType, actual.valueType)
+        )
+    if isinstance(expected, T.StructType):
+        if not isinstance(actual, T.StructType):
+            return False
+        present = {f.name: f.dataType for f in actual}
+        return all(f.name in present and _fits(f.dataType, present[f.name]) for f in expected)
+    return expected == actual
 
-def check_signature(recorded: str, df: DataFrame) -> None:
-    """Raise unless ``df`` has every recorded input column.
 
-    Strings must meet strings. Numbers may have any numeric type, since models read them as double.
-    """
+def _check_side(recorded: str, side: str, df: DataFrame, fits: Callable[[T.DataType, T.DataType], bool]) -> None:
     present = {f.name: f.dataType for f in df.schema}
-    for field in json.loads(recorded)["inputs"]:
+    name = side.removesuffix("s")
+    for field in json.loads(recorded).get(side, []):
         expected = T.StructField.fromJson(field)
         actual = present.get(expected.name)
         if actual is None:
-            raise ValueError(f"input column {expected.name} is missing")
-        both_numbers = isinstance(expected.dataType, T.NumericType) and isinstance(
-            actual, T.NumericType
-        )
-        if actual != expected.dataType and not both_numbers:
+            raise ValueError(f"{name} column {expected.name} is missing")
+        if not fits(expected.dataType, actual):
             raise ValueError(
-                f"input column {expected.name} is {actual.simpleString()}, "
+                f"{name} column {expected.name} is {actual.simpleString()}, "
                 f"the model was fitted on {expected.dataType.simpleString()}"
             )
 
 
+def check_signature(recorded: str, df: DataFrame) -> None:
+    """Raise unless ``df`` has every recorded input column.
+
+    Strings must meet strings. Numbers may have any numeric type, since models read them as double. Nested
+    types are compared part by part.
+    """
+    _check_side(recorded, "inputs", df, _fits)
+
+
+def check_outputs(recorded: str, scored: DataFrame) -> None:
+    """Raise unless ``scored`` has every recorded output column with the very type that was recorded."""
+    _check_side(recorded, "outputs", scored, lambda expected, actual: expected == actual)
+
+
 def predict(model: Transformer, df: DataFrame, output: str = "prediction") -> DataFrame:
     """Every column of ``df`` plus the model's prediction, without the columns made on the way."""
     scored = model.transform(df)

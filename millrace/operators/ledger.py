@@ -89,17 +89,21 @@ def log_run(
     dataset: tuple[str, int | None] | None = None,
     inputs: DataFrame | None = None,
     context: str = "training",
+    outputs: DataFrame | None = None,
 ) -> str:
     """Save the model below ``model_root``, append a run and return its id.
 
     ``dataset`` is the table the model was fitted on and its snapshot version; ``inputs`` is a
-    frame of the model's input columns, recorded as its signature.
+    frame of the model's input columns and ``outputs`` one of what it adds; both are recorded as its
+    signature.
     """
     run_id = uuid.uuid4().hex
     started_at = _now()
     path = f"{model_root.rstrip('/')}/{run_id}"
     model.write().overwrite().save(path)
-    recorded = make_signature(inputs, inputs.columns) if inputs is not None else None
+    recorded = None
+    if inputs is not None:
+        recorded = make_signature(inputs, inputs.columns, outputs=outputs)
     table, version = dataset or (None, None)
     row = (
         run_id,

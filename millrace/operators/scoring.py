@@ -7,11 +7,12 @@ from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.clean import stamp_utc
 from millrace.operators.keys import attach_by_key, repeat_row
+from millrace.sources.storage import stage
 from millrace.sources.tables import write_merged
 
 PREDICTED_AT = "prediction_timestamp_utc"
@@ -49,28 +50,38 @@ def with_null_prediction(df: DataFrame, output: str = "prediction") -> DataFrame
     return df.withColumn(output, F.lit(None).cast("double"))
 
 
-def check_same_rows(df: DataFrame, predictions: DataFrame, key: str) -> None:
-    """Raise unless both frames hold the same keys, each once.
+def meet(df: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """Rows and predictions by ``key``, whichever side has it, with ``_rows`` and ``_predictions``.
 
-    Only keys are shuffled, after they are counted on the map side.
+    The two columns say how often the key comes on each side, NULL where it does not. Predictions are
+    counted while they are grouped, rows while they lie by their key for the join: each side is shuffled
+    once, with its values.
     """
-    left = df.select(F.col(f"`{key}`").alias("k"), F.lit(1).alias("l"), F.lit(0).alias("r"))
-    right = predictions.select(F.col(f"`{key}`").alias("k"), F.lit(0).alias("l"), F.lit(1).alias("r"))
-    found = (
-        left.union(right)
-        .groupBy("k")
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .agg(
-            F.count_if(F.col("r") == 0).alias("without a prediction"),
-            F.count_if(F.col("l") == 0).alias("not among the rows"),
-            F.count_if((F.col("l") > 1) | (F.col("r") > 1)).alias("more than once"),
-        )
-        .first()
-        .asDict()
+    column = F.col(f"`{key}`")
+    values = [c for c in predictions.columns if c != key]
+    grouped = predictions.groupBy(column).agg(
+        F.count(F.lit(1)).alias("_predictions"), *(F.first(F.col(f"`{c}`")).alias(c) for c in values)
+    )
+    counted = df.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(column)))
+    return counted.join(grouped, key, "full_outer")
+
+
+def attach_exactly(df: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """Join predictions to the rows of ``df`` by ``key``; an error unless both hold the same keys, once each.
+
+    What has met is written once, so that the check is a scan of two columns and nothing is shuffled
+    again for the result. A NULL key meets none.
+    """
+    placed = stage(meet(df, predictions, key), "scored")
+    found = placed.agg(
+        F.count_if(F.col("_predictions").isNull()).alias("without a prediction"),
+        F.count_if(F.col("_rows").isNull()).alias("not among the rows"),
+        F.count_if((F.col("_rows") > 1) | (F.col("_predictions") > 1)).alias("more than once"),
     )
-    wrong = {reason: n for reason, n in found.items() if n}
+    wrong = {reason: n for reason, n in found.first().asDict().items() if n}
     if wrong:
         raise ValueError(f"predictions do not fit the rows by {key}: {wrong}")
+    return placed.drop("_rows", "_predictions")
 
 
 def attach_predictions(
@@ -81,7 +92,7 @@ def attach_predictions(
 ) -> DataFrame:
     """Put predictions of any accepted form on the rows of ``df``.
 
-    - a frame with the key: one prediction per row, joined on the key after the keys are compared;
+    - a frame with the key: one prediction per row, joined on the key; both must hold the same keys;
     - a frame without the key: exactly one row, repeated on every row of ``df``;
     - a number: repeated on every row;
     - ``None``: a NULL prediction on every row.
@@ -92,8 +103,7 @@ def attach_predictions(
         return df.withColumn(output, F.lit(float(predictions)))
     if key not in predictions.columns:
         return repeat_row(df, predictions)
-    check_same_rows(df, predictions, key)
-    return attach_by_key(df, predictions, key)
+    return attach_exactly(df, predictions, key)
 
 
 def save_predictions(

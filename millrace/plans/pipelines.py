@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.boosting import DEFAULT_PARAMS, fit_mean_boost
 from millrace.operators.clean import cast_strict_int, coerce_numeric, select_features, stamp_utc
-from millrace.operators.features import check_signature, predict
+from millrace.operators.features import check_outputs, check_signature, predict
 from millrace.operators.impute import impute
 from millrace.operators.keys import add_sequential_key, number_file_rows
 from millrace.operators.ledger import (
@@ -174,6 +174,7 @@ def train_and_promote(
         tags=tags,
         dataset=(train_table, dataset_version),
         inputs=train.select(*(F.col(f"`{c}`") for c in columns.features)),
+        outputs=predict(model, inputs).select("prediction"),
     )
     outcome |= {"run_id": run_id, "version": None}
     if outcome["promote"]:
@@ -195,7 +196,8 @@ def score_batch(
     """Score a table with the aliased model and replace ``output_table``; return that table.
 
     Each row keeps its columns, without the target, through the model, so predictions need no join.
-    An empty input writes nothing and returns ``None``.
+    An empty input writes nothing and returns ``None``. Inputs and
+    outputs must fit the signature of the model's run.
     """
     rows, _ = _read(spark, input_table, snapshots)
     rows = rows.drop(columns.target)
@@ -212,4 +214,7 @@ def score_batch(
         check_signature(recorded["signature"], rows)
     if rows.isEmpty():
         return None
-    return save_scored(predict(PipelineModel.load(found["path"]), rows), output_table)
+    scored = predict(PipelineModel.load(found["path"]), rows)
+    if recorded is not None and recorded["signature"]:
+        check_outputs(recorded["signature"], scored)
+    return save_scored(scored, output_table)

@@ -816,6 +816,37 @@ def run_ledger(spark, sf_dir):
     return listed.withColumn("value", rounded)
 
 
+@_query(
+    "SELECT CASE column_name WHEN 'prediction' THEN 'output' ELSE 'input' END AS side, column_name AS name, "
+    "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'long' ELSE lower(data_type) END AS type, "
+    "(SELECT count(*) FROM orders) AS n_rows "
+    "FROM (SELECT column_name, data_type FROM information_schema.columns WHERE table_name = 'orders' "
+    "AND column_name IN ('o_orderstatus', 'o_custkey') UNION ALL SELECT 'prediction', 'DOUBLE')"
+)
+def run_signature(spark, sf_dir):
+    """Both sides of the signature that a run has stored, as rows."""
+    database = _database(spark)
+    orders = _read(spark, sf_dir, "orders")
+    model = boosting.fit_gbt(orders, ["o_orderstatus"], ["o_custkey"], "o_totalprice", STATUS_MODEL)
+    run_id = ledger.log_run(
+        spark, database, "prices", model, storage.fresh_path(spark, "models"), {}, STATUS_MODEL,
+        inputs=orders.select("o_orderstatus", "o_custkey"),
+        outputs=predict(model, orders).select("prediction"),
+    )
+    run = spark.table(f"{database}.{ledger.RUNS}").where(F.col("run_id") == run_id)
+    field = "array<struct<name: string, type: string>>"
+    sides = F.from_json("signature", f"inputs {field}, outputs {field}")
+    listed = run.select(sides.alias("s")).select(
+        F.explode(
+            F.concat(
+                F.transform("s.inputs", lambda x: F.struct(F.lit("input").alias("side"), x["name"].alias("name"), x["type"].alias("type"))),
+                F.transform("s.outputs", lambda x: F.struct(F.lit("output").alias("side"), x["name"].alias("name"), x["type"].alias("type"))),
+            )
+        ).alias("x")
+    )
+    return listed.select("x.*", F.lit(orders.count()).cast("bigint").alias("n_rows"))
+
+
 @_query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
 def run_dataset(spark, sf_dir):
     database = _database(spark)

@@ -10,6 +10,7 @@ from millrace.operators.boosting import fit_gbt, fit_mean_boost
 from millrace.operators.features import (
     FEATURES,
     check_levels,
+    check_outputs,
     check_signature,
     feature_stages,
     predict,
@@ -147,3 +148,20 @@ def test_features_are_written_once_and_meet_remainders_without_a_shuffle(spark,
     joins = [p for p in plans if "SortMergeJoin" in p]
     assert len(joins) == 7 and not any("Exchange" in p for p in joins)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("millrace_")]
+
+
+def test_signatures_have_two_sides_and_nested_types(spark, prices):
+    nested = "s struct<a:int,b:array<string>>, m map<string,double>, prediction double"
+    frame = spark.createDataFrame([], nested)
+    recorded = signature(frame, ["s", "m"], outputs=frame.select("prediction"))
+    check_signature(recorded, frame)
+    check_signature(recorded, spark.createDataFrame([], "m map<string,int>, s struct<b:array<string>,a:bigint,c:int>"))
+    for other in ("s struct<a:int>, m map<string,double>", "s struct<a:int,b:array<int>>, m map<string,double>", "s string, m map<string,double>"):
+        with pytest.raises(ValueError, match="input column s is"):
+            check_signature(recorded, spark.createDataFrame([], other))
+    check_outputs(recorded, frame)
+    with pytest.raises(ValueError, match="output column prediction is float"):
+        check_outputs(recorded, frame.withColumn("prediction", F.col("prediction").cast("float")))
+    with pytest.raises(ValueError, match="output column prediction is missing"):
+        check_outputs(recorded, frame.drop("prediction"))
+    check_outputs(signature(prices, ["c"]), frame)

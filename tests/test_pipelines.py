@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import ledger
 from millrace.operators.boosting import fit_mean_boost
+from millrace.plans import pipelines
 from millrace.plans.pipelines import Columns, prepare, score_batch, train_and_promote
 from millrace.sources import tables
 from millrace.sources.snapshots import read_snapshot
@@ -235,3 +236,17 @@ def test_a_plain_overwrite_of_a_table_with_versions_adds_one(spark, database):
     tables.write_version(spark.range(1), table)
     assert tables.drop_versions(spark, table, nothing) == [1]
     assert tables.latest_version(spark, f"{database}.unknown") is None
+
+
+def test_a_changed_output_stops_the_scoring(spark, database, raw_file, tmp_path, monkeypatch):
+    path, _ = raw_file
+    train, test = f"{database}.train_set", f"{database}.test_set"
+    prepare(spark, path, COLUMNS, FILLS, train, test)
+    train_and_promote(spark, train, test, COLUMNS, database, "grader", str(tmp_path / "models"), "trial", params=SMALL)
+    real = pipelines.predict
+    monkeypatch.setattr(
+        pipelines, "predict", lambda *a: real(*a).withColumn("prediction", F.col("prediction").cast("string"))
+    )
+    with pytest.raises(ValueError, match="output column prediction is string"):
+        score_batch(spark, test, COLUMNS, database, "grader", f"{database}.scored")
+    assert not spark.catalog.tableExists(f"{database}.scored")

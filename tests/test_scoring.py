@@ -79,3 +79,23 @@ def test_no_predictions_write_nothing(spark, items, database, nothing):
     predictions = None if nothing == "none" else items.select("k", "x").where("false")
     assert scoring.save_predictions(items, predictions, "k", f"{database}.p") is None
     assert not spark.catalog.tableExists(f"{database}.p")
+
+
+def test_each_side_is_shuffled_once(spark, items):
+    predictions = items.select("k", F.col("x").alias("prediction"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scoring.meet(items, predictions, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange") == 2
+    assert "SortAggregate" not in plan
+
+
+def test_doubled_rows_and_missing_keys_do_not_fit(spark, items):
+    predictions = items.select("k", F.col("x").alias("prediction"))
+    with pytest.raises(ValueError, match="more than once"):
+        scoring.attach_predictions(items.union(items.where("k = 2")), predictions, "k")
+    unkeyed = spark.createDataFrame([(None, 1.0)], "k int, x double")
+    with pytest.raises(ValueError, match="without a prediction"):
+        scoring.attach_predictions(unkeyed, unkeyed.withColumnRenamed("x", "prediction"), "k")
