@@ -9,12 +9,12 @@ sample takes no part in training and sets the temperature that calibrates the pr
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -29,7 +29,7 @@ MAX_LANGUAGES = 500
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.1, 3
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _MIX = np.uint32(2654435761)
 
 
@@ -139,9 +139,13 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Language
     """Learn from the rows of ``docs`` with text and ``lang``.
 
     Rows with NULL ``doc_id``, ``text`` or ``lang``, or without an n-gram, teach nothing. Without any
-    row the model knows no language and answers ``und``.
+    row the model knows no language and answers ``und``. More than ``MAX_LANGUAGES`` labels are refused.
     """
     known = docs.where("text is not null and lang is not null and doc_id is not null")
+    # Before anything that grows with the number of languages reaches the driver.
+    labels = known.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if labels > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     frequencies, rows = _frequencies(known.select("text"))
     idf = np.log((1 + rows) / (1 + frequencies)) + 1
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -159,8 +163,6 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Language
     )
     samples = sorted(coded.collect(), key=lambda r: (r["lang"], r["doc_id"]))
     languages = sorted({r["lang"] for r in samples})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the limit is {MAX_LANGUAGES}")
     if not languages:
         return LanguageModel([], np.zeros((0, FEATURES + 1)), idf)
     ready = []

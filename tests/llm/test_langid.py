@@ -56,3 +56,55 @@ def test_ngrams_count_code_points():
     places, counts = langid.ngrams("ÄäÄ")
     assert counts.sum() == 3 + 2 + 1
     assert langid.ngrams("")[0].size == 0
+
+
+def test_numerals_are_no_letters(model):
+    assert [model.predict(t)[0] for t in ("½ ² ① Ⅷ", "12 + ³", "٣", "_")] == ["und"] * 4
+    assert model.predict("½ x")[0] in ("x", "y")
+
+
+def test_too_many_labels_are_refused_before_they_are_gathered(spark):
+    dirty = spark.range(10_000).select(
+        F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.concat(F.lit("l"), "id").alias("lang")
+    )
+    with pytest.raises(ValueError, match="more than 500 languages"):
+        langid.fit(dirty)
+
+
+def dense_ftrl(samples, languages, seed=7):
+    """Follow the regularised leader over whole weight vectors, one coordinate formula at a time."""
+    size = langid.FEATURES + 1
+    z, n = np.zeros((languages, size)), np.zeros((languages, size))
+    order = np.random.default_rng(seed)
+
+    def weights():
+        w = np.zeros_like(z)
+        for k in range(languages):
+            for i in np.flatnonzero(np.abs(z[k]) > langid.L1):
+                rate = (langid.BETA + n[k, i] ** 0.5) / langid.ALPHA + langid.L2
+                w[k, i] = -(z[k, i] - np.sign(z[k, i]) * langid.L1) / rate
+        return w
+
+    for _ in range(langid.EPOCHS):
+        for at in order.permutation(len(samples)):
+            places, values, truth = samples[at]
+            x = np.zeros(size)
+            x[places], x[-1] = values, 1.0
+            w = weights()
+            odds = np.exp(w @ x - (w @ x).max())
+            odds /= odds.sum()
+            for k in range(languages):
+                g = (odds[k] - (k == truth)) * x
+                sigma = (np.sqrt(n[k] + g * g) - np.sqrt(n[k])) / langid.ALPHA
+                z[k] += g - sigma * w[k]
+                n[k] += g * g
+    return weights()
+
+
+def test_weights_equal_a_dense_step_by_step_training():
+    idf = np.ones(langid.FEATURES)
+    samples = []
+    for _, text, lang in ROWS[::4]:
+        places, counts = langid.ngrams(text)
+        samples.append((places, langid.tfidf(places, counts, idf), "xy".index(lang)))
+    assert np.allclose(langid.train_ftrl(samples, 2), dense_ftrl(samples, 2), atol=1e-12)
