@@ -1,8 +1,10 @@
+import math
 import re
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import shards
@@ -70,3 +72,18 @@ def test_key_alone_decides_and_edge_rows(spark):
 def test_no_python_on_executors(spark):
     plan = QUERIES["op5_rendezvous_shards"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     assert not re.search("Python|Arrow|Pandas", plan.executedPlan().toString())
+
+
+def plain_shard(key, shards):
+    """The winner from XXH64 of the key, and of the shard seeded with it."""
+    scores = []
+    for shard in range(shards):
+        seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+        bits = xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), seed) >> 11
+        scores.append((-1 / math.log((bits + 0.5) / 2**53), -shard))
+    return -max(scores)[1]
+
+
+def test_query_against_scores_in_plain_python(spark):
+    for r in QUERIES["op5_rendezvous_shards"](spark, "/root/testdata/sf0.001").collect():
+        assert (r["shard"], r["grown_shard"]) == (plain_shard(r["doc_id"], 16), plain_shard(r["doc_id"], 17))
