@@ -1,8 +1,8 @@
 """Connected components of a links table, by alternating large and small stars.
 
 Each round is two joins over the links that are left; nothing is gathered on the driver but a count
-and a checksum. A node that has very many links is a key of a sort-merge join between two plain
-shuffles, which adaptive execution splits.
+and a checksum. A node with very many links is one key of a join against its own aggregate, which
+adaptive execution does not split: its links meet in one task of that round.
 """
 
 from __future__ import annotations
