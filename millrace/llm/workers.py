@@ -14,8 +14,8 @@ ROOT = str(Path(__file__).resolve().parents[2])
 MEMORY = {
     "ARROW_DEFAULT_MEMORY_POOL": "system",
     "MALLOC_ARENA_MAX": "1",
-    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
-    "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+    "MALLOC_MMAP_THRESHOLD_": str(8 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(48 << 20),
 }
 
 
