@@ -186,8 +186,12 @@ def stored_versions(spark: SparkSession, table: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, table: str) -> int | None:
-    """The newest version of ``table``; None if it keeps none."""
-    return stored_versions(spark, table).agg(F.max("version")).first()[0]
+    """The version that ``table`` now shows; None if it keeps none, or was replaced in another way."""
+    if not spark.catalog.tableExists(table):
+        return None
+    folder = table_details(spark, table)["Location"].rstrip("/").rsplit("/", 1)[1]
+    shown = F.element_at(F.split("path", "/"), -1) == folder
+    return stored_versions(spark, table).where(shown).agg(F.max("version")).first()[0]
 
 
 def read_version(spark: SparkSession, table: str, version: int) -> DataFrame:

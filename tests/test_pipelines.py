@@ -236,6 +236,10 @@ def test_a_plain_overwrite_of_a_table_with_versions_adds_one(spark, database):
     tables.write_version(spark.range(1), table)
     assert tables.drop_versions(spark, table, nothing) == [1]
     assert tables.latest_version(spark, f"{database}.unknown") is None
+    assert tables.latest_version(spark, table) == 3
+    tables.overwrite_table(spark.range(7), table)
+    assert tables.latest_version(spark, table) is None
+    assert tables.read_version(spark, table, 2).count() == 5
 
 
 def test_a_changed_output_stops_the_scoring(spark, database, raw_file, tmp_path, monkeypatch):
