@@ -82,6 +82,24 @@ def test_components_of_a_path_a_star_and_repeats(spark):
     assert roots == {i: 10 for i in range(10, 61)} | {i: 5 for i in [5, *range(100, 160)]} | {1: 1, 2: 1}
 
 
+@pytest.mark.parametrize("part", [1, 7, 50_000])
+def test_links_of_hubs_are_dealt_out(spark, part):
+    rng = random.Random(4)
+    links = [(0, i) for i in range(1, 200)] + [(500, i) for i in range(501, 700)]
+    links += [(rng.randrange(700, 1200), rng.randrange(700, 1200)) for _ in range(300)]
+    frame = spark.createDataFrame(links, "u long, v long")
+    roots = {r["node"]: r["root"] for r in components.connected_components(frame, part).collect()}
+    expected = {}
+    for a, b in links:
+        if a != b:
+            one, other = ({x} if (own := expected.get(x)) is None else own for x in (a, b))
+            for x in (joined := one | other):
+                expected[x] = joined
+    assert roots == {x: min(own) for x, own in expected.items()}
+    dealt = components._smallest(frame.where("u <> v"), part)
+    assert dealt.where("u = 0").agg(F.count("*"), F.min("m"), F.max("m")).first() == (199, 0, 0)
+
+
 def test_edge_rows(spark):
     copy = "one two three four five six seven eight"
     rows = [(4, copy), (2, copy), (2, copy), (9, None), (8, " "), (None, copy), (7, "other words here")]
