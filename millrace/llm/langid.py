@@ -26,6 +26,8 @@ LONGEST = 3
 #: The bound of the training sample, for each language, and of the number of languages.
 ROWS_PER_LANGUAGE = 800
 MAX_LANGUAGES = 500
+#: Groups of tasks whose first rows of a language are brought together before those of all.
+PARTS = 64
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.1, 3
 UNKNOWN = "und"
 
@@ -148,14 +150,14 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Language
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     frequencies, rows = _frequencies(known.select("text"))
     idf = np.log((1 + rows) / (1 + frequencies)) + 1
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("lang", "doc_id")
-        .withColumn("at", F.row_number().over(by_hash))
-        .where(F.col("at") <= rows_per_language)
-        .select("doc_id")
-        .distinct()
-    )
+    # The first rows of each task, then of the tasks of each part, then of a language.
+    by_hash = F.xxhash64("doc_id")
+    chosen = known.select("lang", "doc_id", (F.spark_partition_id() % PARTS).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(by_hash, "doc_id")
+        chosen = chosen.withColumn("at", F.row_number().over(order))
+        chosen = chosen.where(F.col("at") <= rows_per_language).drop("at")
+    chosen = chosen.select("doc_id").distinct()
     # At most rows_per_language * MAX_LANGUAGES keys.
     texts = known.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     coded = texts.select("doc_id", "lang", _coded("text").alias("grams")).select(
