@@ -1,11 +1,13 @@
 """Exact top-k by inner product with MaxScore over sharded postings.
 
-The terms of a vector are its components. Within a shard the vectors stand in blocks, and each block
-knows the largest and smallest value of every term. For a query this bounds what a term can add to a
-score. Sorted by bound, the longest run of small terms whose bounds together stay below the current
-k-th score is non-essential: a vector that gains nothing from the other, essential terms cannot enter
-the result. Postings of essential terms are traversed first; what they and the remaining bounds keep
-competitive is probed with the other terms, and the shards' best are merged.
+The terms of a vector are its components. Within a shard the vectors stand in blocks. A block has two
+postings lists for every term, one for each sign, without zeros, and knows the largest value of each
+list. For a query this bounds what a term can add to a score. Sorted by bound, the longest run of
+small terms whose bounds together stay below the current k-th score is non-essential: a vector that is
+in no list of the other, essential terms cannot enter the result. Essential postings are traversed
+first; what they and the remaining bounds keep competitive is probed with the other terms. Blocks come
+in the order of all their bounds, those that stay below the k-th score are skipped, and the shards'
+best are merged.
 
 Vectors without a component at some place count as zero there.
 """
@@ -25,6 +27,8 @@ K = 5
 #: Vectors of a shard on average, and of a block of postings.
 SHARD_ROWS = 4096
 BLOCK_ROWS = 512
+#: Terms that are probed before competitive vectors are told apart again.
+PROBED = 8
 SCALE = 256
 
 
@@ -42,61 +46,109 @@ def usable(vector: str) -> Column:
     return F.col(vector).isNotNull() & ~broken
 
 
+class Block:
+    """Postings of some vectors: for each term the rows where it is positive, and where it is negative.
+
+    List 2 t holds the rows in which term t is positive, list 2 t + 1 those in which it is negative;
+    zeros are in none. A query uses of each term the list of its own sign, which alone adds to a score.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        terms = vectors.shape[1]
+        term, row = np.nonzero(vectors.T)
+        value = vectors[row, term]
+        number = 2 * term + (value < 0)
+        order = np.argsort(number, kind="stable")
+        self.rows, self.values = row[order], value[order]
+        self.starts = np.searchsorted(number[order], np.arange(2 * terms + 1))
+        self.largest = np.zeros(2 * terms, np.int64)
+        np.maximum.at(self.largest, number, np.abs(value))
+
+    def bounds(self, query: np.ndarray) -> np.ndarray:
+        """What each term of the query can add to a score."""
+        return np.abs(query) * self.largest[2 * np.arange(len(query)) + (query < 0)]
+
+    def competitive(self, query: np.ndarray, least: int | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows whose score reaches ``least`` (all, if it is None), their scores, and the number of
+        postings that were traversed."""
+        bound = self.bounds(query)
+        order = np.argsort(bound, kind="stable")
+        together = np.cumsum(bound[order])
+        # Of the terms before, the bounds stay below: only they are no essential ones.
+        split = 0 if least is None else int(np.searchsorted(together, least))
+        rest = int(together[split - 1]) if split else 0
+        essential = order[split:]
+        gain, read = self._gains(essential, query)
+        if least is None or least <= 0:
+            alive = np.arange(len(self.ids))
+        else:
+            alive = np.flatnonzero((gain > 0) & (gain + rest >= least))
+        # What essential terms of the other sign take away, then the others by falling bounds.
+        taken = self.vectors[alive][:, essential] * query[essential]
+        score = gain[alive] + np.minimum(taken, 0).sum(axis=1)
+        for begin in range(split, 0, -PROBED):
+            terms = order[max(0, begin - PROBED) : begin]
+            keep = score + rest >= least
+            alive, score = alive[keep], score[keep]
+            if not len(alive):
+                break
+            score = score + self.vectors[alive][:, terms] @ query[terms]
+            rest -= int(bound[terms].sum())
+        if least is not None:
+            alive, score = alive[score >= least], score[score >= least]
+        return alive, score, read
+
+    def _gains(self, terms: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, int]:
+        """For each row, what the postings of ``terms`` add to its score; and their number."""
+        terms = terms[query[terms] != 0]
+        lists = 2 * terms + (query[terms] < 0)
+        begin = self.starts[lists]
+        sizes = self.starts[lists + 1] - begin
+        total = int(sizes.sum())
+        at = np.arange(total) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        gain = np.zeros(len(self.ids), np.int64)
+        np.add.at(gain, self.rows[at], self.values[at] * np.repeat(query[terms], sizes))
+        return gain, total
+
+
 class Shard:
-    """Blocks of vectors with the bounds of their terms."""
+    """Blocks of postings, searched in the order of what their terms can add up to for a query.
+
+    ``traversed`` and ``skipped`` count postings that searches read as essential ones and that they
+    left out, among those that can add to a score.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, block_rows: int = BLOCK_ROWS):
-        self.blocks = []
-        for at in range(0, len(ids), block_rows):
-            rows = vectors[at : at + block_rows]
-            self.blocks.append((ids[at : at + block_rows], rows, rows.max(axis=0), rows.min(axis=0)))
+        parts = [slice(at, at + block_rows) for at in range(0, len(ids), block_rows)]
+        self.blocks = [Block(ids[part], vectors[part]) for part in parts]
+        self.width = vectors.shape[1]
+        self.traversed = self.skipped = 0
 
     def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, id) for a query, without rows of the id ``own``."""
+        query = np.append(query[: self.width], np.zeros(max(0, self.width - len(query)), np.int64))
+        lists = 2 * np.arange(self.width) + (query < 0)
+        reach = [int(block.bounds(query).sum()) for block in self.blocks]
         best_score, best_id = np.empty(0, np.int64), np.empty(0, np.int64)
-        for ids, rows, high, low in self.blocks:
-            width = min(len(query), rows.shape[1])
-            full = len(best_id) == k
-            found = _block(query[:width], rows[:, :width], high[:width], low[:width], best_score[-1] if full else None)
-            found = found[ids[found] != own]
-            if not len(found):
+        for number in sorted(range(len(reach)), key=lambda n: -reach[n]):
+            block = self.blocks[number]
+            least = int(best_score[-1]) if len(best_id) == k else None
+            usable = int((block.starts[lists + 1] - block.starts[lists])[query != 0].sum())
+            if least is not None and reach[number] < least:
+                self.skipped += usable
                 continue
-            score = np.concatenate([best_score, rows[found, :width] @ query[:width]])
-            doc = np.concatenate([best_id, ids[found]])
+            rows, found, read = block.competitive(query, least)
+            self.traversed += read
+            self.skipped += usable - read
+            others = block.ids[rows] != own
+            score = np.concatenate([best_score, found[others]])
+            doc = np.concatenate([best_id, block.ids[rows[others]]])
             order = np.lexsort((doc, -score))[:k]
             best_score, best_id = score[order], doc[order]
         return list(zip(best_score.tolist(), best_id.tolist()))
 
 
-def _block(query, rows, high, low, least) -> np.ndarray:
-    """Rows whose score can reach ``least`` (all, if there is none yet)."""
-    if least is None:
-        return np.arange(len(rows))
-    bound = np.maximum(np.maximum(query * high, query * low), 0)
-    order = np.argsort(bound, kind="stable")
-    together = np.cumsum(bound[order])
-    split = int(np.searchsorted(together, least))  # of the terms before, the bounds stay below
-    essential = order[split:]
-    if least > 0 and not len(essential):
-        return np.empty(0, np.int64)
-    rest = int(together[split - 1]) if split else 0
-    # Gains from postings of essential terms, of the sign that adds to the score.
-    part = rows[:, essential] * query[essential]
-    gain = np.maximum(part, 0).sum(axis=1)
-    alive = np.flatnonzero((gain + rest >= least) & ((gain > 0) | (least <= 0)))
-    score = part[alive].sum(axis=1)
-    # Probe the others, the largest bounds first, while a row is competitive.
-    for begin in range(split, 0, -8):
-        terms = order[max(0, begin - 8) : begin]
-        keep = score + rest >= least
-        alive, score = alive[keep], score[keep]
-        if not len(alive):
-            break
-        score = score + rows[alive][:, terms] @ query[terms]
-        rest -= int(bound[terms].sum())
-    return alive[score >= least]
-
-
 def _search_shards(k: int):
     """Rows come sorted by shard, the vectors of a shard before the queries against it."""
 
@@ -139,7 +191,7 @@ def top_k(
     Both inputs need ``vec_id`` and ``vector`` (array of long). Equal scores go to the smaller
     ``vec_id``. Defined results: rows with NULL ``vec_id`` or ``vector`` take no part; repeated rows
     are candidates each; of repeated query ids the smallest vector is searched; with fewer than k
-    candidates all are returned; empty inputs give no rows.
+    candidates all are returned; empty inputs give no rows. Products and sums must fit in 64 bits.
 
     Vectors are dealt out to shards at random, so that no id or value makes a shard large; queries
     go to every shard in turn and are never held together.

@@ -49,15 +49,35 @@ def test_sparse_ties_and_signs(spark, low, high):
     assert results(found) == brute_force({i: v for i, v in rows if i % 30 == 0}, rows, 4)
 
 
-def test_blocks_leave_rows_out():
+def test_essential_postings_lead_to_the_competitive_rows():
     rng = np.random.default_rng(1)
-    rows = rng.integers(0, 5, (400, 20))
+    rows = rng.integers(-4, 5, (400, 20))
     query = np.zeros(20, np.int64)
-    query[:4] = [50, 1, 1, 1]
-    kept = topk._block(query, rows, rows.max(axis=0), rows.min(axis=0), 205)
+    query[:5] = [50, 1, -1, 1, -2]
     scores = rows @ query
-    assert set(np.flatnonzero(scores >= 205)) <= set(kept)
-    assert len(kept) < 200
+    block = topk.Block(np.arange(400), rows)
+    for least in (195, 60, 0, -90):
+        kept, found, read = block.competitive(query, least)
+        assert set(kept) == set(np.flatnonzero(scores >= least))
+        assert found.tolist() == scores[kept].tolist()
+        assert least != 195 or read == (rows[:, 0] > 0).sum()
+    kept, found, read = block.competitive(query, None)
+    assert kept.tolist() == list(range(400)) and found.tolist() == scores.tolist()
+    assert read == (np.sign(rows) * np.sign(query) > 0).sum()
+
+
+def test_postings_and_blocks_are_left_out():
+    rng = np.random.default_rng(2)
+    # Few terms of each vector are not zero, and the later blocks hold smaller values.
+    rows = rng.integers(-9, 10, (4000, 30)) * (rng.random((4000, 30)) < 0.2)
+    rows[1000:] //= 3
+    shard = topk.Shard(np.arange(4000), rows, 500)
+    assert sum(len(block.rows) for block in shard.blocks) == np.count_nonzero(rows)
+    for own in range(0, 4000, 100):
+        scores = rows @ rows[own]
+        expected = sorted((-int(s), i) for i, s in enumerate(scores) if i != own)[:5]
+        assert shard.search(own, rows[own], 5) == [(-s, i) for s, i in expected]
+    assert 0 < shard.traversed < shard.skipped
 
 
 def test_edge_rows(spark):
