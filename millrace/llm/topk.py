@@ -29,6 +29,10 @@ SHARD_ROWS = 4096
 BLOCK_ROWS = 512
 #: Terms that are probed before competitive vectors are told apart again.
 PROBED = 8
+#: Queries that are searched together, and the share of entries that are not zero from which on the
+#: postings of a block stand in a matrix.
+QUERIES = 256
+DENSE = 0.25
 SCALE = 256
 
 
@@ -51,6 +55,8 @@ class Block:
 
     List 2 t holds the rows in which term t is positive, list 2 t + 1 those in which it is negative;
     zeros are in none. A query uses of each term the list of its own sign, which alone adds to a score.
+    Where lists hold much of all rows, they stand as rows of a matrix as well, and the lists of many
+    queries are traversed in one product.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
@@ -64,56 +70,91 @@ class Block:
         self.starts = np.searchsorted(number[order], np.arange(2 * terms + 1))
         self.largest = np.zeros(2 * terms, np.int64)
         np.maximum.at(self.largest, number, np.abs(value))
+        self.matrix = None
+        if len(value) > DENSE * vectors.size:
+            self.matrix = np.zeros((2 * terms, len(ids)))
+            self.matrix[number, row] = np.abs(value)
+            self.columns = np.ascontiguousarray(vectors.T, np.float64)
 
-    def bounds(self, query: np.ndarray) -> np.ndarray:
-        """What each term of the query can add to a score."""
-        return np.abs(query) * self.largest[2 * np.arange(len(query)) + (query < 0)]
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """What each term of a query, or of each of several, can add to a score."""
+        return np.abs(queries) * self.largest[2 * np.arange(queries.shape[-1]) + (queries < 0)]
 
     def competitive(self, query: np.ndarray, least: int | None) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows whose score reaches ``least`` (all, if it is None), their scores, and the number of
         postings that were traversed."""
-        bound = self.bounds(query)
-        order = np.argsort(bound, kind="stable")
-        together = np.cumsum(bound[order])
+        known = np.array([least is not None])
+        _, rows, score, read = self.competitive_to(query[None], np.array([least or 0]), known)
+        return rows, score, int(read[0])
+
+    def competitive_to(
+        self, queries: np.ndarray, least: np.ndarray, known: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same for many queries: pairs of query and row, their scores, postings by query.
+
+        ``least`` counts for the queries that are ``known`` to have one.
+        """
+        bound = self.bounds(queries)
+        order = np.argsort(bound, axis=1, kind="stable")
+        together = np.cumsum(np.take_along_axis(bound, order, 1), axis=1)
         # Of the terms before, the bounds stay below: only they are no essential ones.
-        split = 0 if least is None else int(np.searchsorted(together, least))
-        rest = int(together[split - 1]) if split else 0
-        essential = order[split:]
-        gain, read = self._gains(essential, query)
-        if least is None or least <= 0:
-            alive = np.arange(len(self.ids))
-        else:
-            alive = np.flatnonzero((gain > 0) & (gain + rest >= least))
+        split = ((together < least[:, None]) & known[:, None]).sum(axis=1)
+        rest = np.append(np.zeros((len(queries), 1), np.int64), together, axis=1)
+        rest = np.take_along_axis(rest, split[:, None], 1)[:, 0]
+        essential = np.zeros(queries.shape, bool)
+        np.put_along_axis(essential, order, np.arange(queries.shape[1]) >= split[:, None], 1)
+        weights = np.where(essential, queries, 0)
+        largest = np.maximum(self.largest[::2], self.largest[1::2])
+        # Sums of products are then exact as doubles, in any order.
+        exact = int((np.abs(queries) * largest).sum(axis=1).max(initial=0)) < 1 << 53
+        gain, read = self._gains(weights, exact)
+        all_rows = ~known | (least <= 0)
+        alive = all_rows[:, None] | ((gain > 0) & (gain + rest[:, None] >= least[:, None]))
         # What essential terms of the other sign take away, then the others by falling bounds.
-        taken = self.vectors[alive][:, essential] * query[essential]
-        score = gain[alive] + np.minimum(taken, 0).sum(axis=1)
-        for begin in range(split, 0, -PROBED):
-            terms = order[max(0, begin - PROBED) : begin]
-            keep = score + rest >= least
-            alive, score = alive[keep], score[keep]
-            if not len(alive):
+        if self.matrix is not None and exact:
+            score = (weights.astype(np.float64) @ self.columns).astype(np.int64)
+            alive &= ~known[:, None] | (score + rest[:, None] >= least[:, None])
+            query, row = np.nonzero(alive)
+            score = score[query, row]
+        else:
+            query, row = np.nonzero(alive)
+            taken = np.minimum(self.vectors[row] * weights[query], 0).sum(axis=1)
+            score = gain[query, row] + taken
+        rest = rest[query]
+        for step in range(0, int(split.max(initial=0)), PROBED):
+            keep = ~known[query] | (score + rest >= least[query])
+            query, row, score, rest = query[keep], row[keep], score[keep], rest[keep]
+            if not len(query):
                 break
-            score = score + self.vectors[alive][:, terms] @ query[terms]
-            rest -= int(bound[terms].sum())
-        if least is not None:
-            alive, score = alive[score >= least], score[score >= least]
-        return alive, score, read
-
-    def _gains(self, terms: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, int]:
-        """For each row, what the postings of ``terms`` add to its score; and their number."""
-        terms = terms[query[terms] != 0]
-        lists = 2 * terms + (query[terms] < 0)
-        begin = self.starts[lists]
-        sizes = self.starts[lists + 1] - begin
-        total = int(sizes.sum())
-        at = np.arange(total) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-        gain = np.zeros(len(self.ids), np.int64)
-        np.add.at(gain, self.rows[at], self.values[at] * np.repeat(query[terms], sizes))
-        return gain, total
+            place = split[query][:, None] - 1 - np.arange(step, step + PROBED)
+            terms = order[query[:, None], np.maximum(place, 0)]
+            factor = np.where(place >= 0, queries[query[:, None], terms], 0)
+            score = score + (self.vectors[row[:, None], terms] * factor).sum(axis=1)
+            rest = rest - np.where(place >= 0, bound[query[:, None], terms], 0).sum(axis=1)
+        keep = ~known[query] | (score >= least[query])
+        return query[keep], row[keep], score[keep], read
+
+    def _gains(self, weights: np.ndarray, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+        """For each query and row, what the postings of terms with a weight add to its score; and the
+        number of these postings by query."""
+        lists = 2 * np.arange(weights.shape[1]) + (weights < 0)
+        read = np.where(weights != 0, self.starts[lists + 1] - self.starts[lists], 0).sum(axis=1)
+        if self.matrix is not None and exact:
+            by_list = np.zeros((len(weights), len(self.matrix)))
+            np.put_along_axis(by_list, lists, np.abs(weights).astype(np.float64), 1)
+            return (by_list @ self.matrix).astype(np.int64), read
+        gain = np.zeros((len(weights), len(self.ids)), np.int64)
+        for number, own in enumerate(weights):
+            terms = np.flatnonzero(own)
+            begin = self.starts[lists[number, terms]]
+            sizes = self.starts[lists[number, terms] + 1] - begin
+            at = np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+            np.add.at(gain[number], self.rows[at], self.values[at] * np.repeat(own[terms], sizes))
+        return gain, read
 
 
 class Shard:
-    """Blocks of postings, searched in the order of what their terms can add up to for a query.
+    """Blocks of postings, searched in the order of what their terms can add up to for the queries.
 
     ``traversed`` and ``skipped`` count postings that searches read as essential ones and that they
     left out, among those that can add to a score.
@@ -127,26 +168,45 @@ class Shard:
 
     def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, id) for a query, without rows of the id ``own``."""
-        query = np.append(query[: self.width], np.zeros(max(0, self.width - len(query)), np.int64))
-        lists = 2 * np.arange(self.width) + (query < 0)
-        reach = [int(block.bounds(query).sum()) for block in self.blocks]
-        best_score, best_id = np.empty(0, np.int64), np.empty(0, np.int64)
-        for number in sorted(range(len(reach)), key=lambda n: -reach[n]):
+        return [(s, i) for _, s, i in self.search_all(np.array([own]), [query], k)]
+
+    def search_all(
+        self, own: np.ndarray, vectors: list[np.ndarray], k: int
+    ) -> list[tuple[int, int, int]]:
+        """The k best (number of the query, score, id) for each query, without rows of its own id.
+
+        Queries go through a block together, each with its own k-th score, and through the blocks in
+        the order of what they can reach in all.
+        """
+        queries = np.zeros((len(vectors), self.width), np.int64)
+        for number, vector in enumerate(vectors):
+            queries[number, : len(vector)] = vector[: self.width]
+        lists = 2 * np.arange(self.width) + (queries < 0)
+        reach = [block.bounds(queries).sum(axis=1) for block in self.blocks]
+        best = (np.empty(0, np.int64),) * 3  # query, score, id
+        least, known = np.zeros(len(queries), np.int64), np.zeros(len(queries), bool)
+        for number in sorted(range(len(reach)), key=lambda n: -float(reach[n].sum())):
             block = self.blocks[number]
-            least = int(best_score[-1]) if len(best_id) == k else None
-            usable = int((block.starts[lists + 1] - block.starts[lists])[query != 0].sum())
-            if least is not None and reach[number] < least:
-                self.skipped += usable
+            sizes = block.starts[lists + 1] - block.starts[lists]
+            usable = np.where(queries != 0, sizes, 0).sum(axis=1)
+            self.skipped += int(usable.sum())
+            asked = np.flatnonzero(~known | (reach[number] >= least))
+            if not len(asked):
                 continue
-            rows, found, read = block.competitive(query, least)
-            self.traversed += read
-            self.skipped += usable - read
-            others = block.ids[rows] != own
-            score = np.concatenate([best_score, found[others]])
-            doc = np.concatenate([best_id, block.ids[rows[others]]])
-            order = np.lexsort((doc, -score))[:k]
-            best_score, best_id = score[order], doc[order]
-        return list(zip(best_score.tolist(), best_id.tolist()))
+            query, row, score, read = block.competitive_to(queries[asked], least[asked], known[asked])
+            self.traversed += int(read.sum())
+            self.skipped -= int(read.sum())
+            query = asked[query]
+            other = block.ids[row] != own[query]
+            found = (query[other], score[other], block.ids[row[other]])
+            query, score, doc = (np.concatenate(x) for x in zip(best, found))
+            order = np.lexsort((doc, -score, query))
+            query, score, doc = query[order], score[order], doc[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            best = (query[place < k], score[place < k], doc[place < k])
+            last = place == k - 1
+            least[query[last]], known[query[last]] = score[last], True
+        return list(zip(*(x.tolist() for x in best)))
 
 
 def _search_shards(k: int):
@@ -154,27 +214,47 @@ def _search_shards(k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, ids, vectors, index = None, [], [], None
+        asked, queries = [], []
+
+        def search() -> pa.RecordBatch:
+            nonlocal index
+            if index is None:
+                index = Shard(np.array(ids, np.int64), _rectangle(vectors))
+            found = index.search_all(np.array(asked, np.int64), queries, k)
+            number, score, doc = zip(*found) if found else ((), (), ())
+            columns = [[asked[n] for n in number], doc, score]
+            asked.clear(), queries.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
+            )
+
         for batch in batches:
-            found: list[tuple[int, int, int]] = []
-            for shard, is_query, vec_id, vector in zip(*(c.to_pylist() for c in batch.columns)):
+            heads = (c.to_pylist() for c in batch.columns[:3])
+            for shard, is_query, vec_id, vector in zip(*heads, _vectors(batch.column(3))):
                 if shard != current:
+                    if asked:
+                        yield search()
                     current, ids, vectors, index = shard, [], [], None
                 if not is_query:
                     ids.append(vec_id)
-                    vectors.append(np.array(vector, np.int64))
+                    vectors.append(vector)
                     continue
-                if index is None:
-                    index = Shard(np.array(ids, np.int64), _rectangle(vectors))
-                query = np.array(vector, np.int64)
-                found += [(vec_id, i, s) for s, i in index.search(vec_id, query, k)]
-            columns = list(zip(*found)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
-            )
+                asked.append(vec_id)
+                queries.append(vector)
+                if len(asked) == QUERIES:
+                    yield search()
+        if asked:
+            yield search()
 
     return run
 
 
+def _vectors(column: pa.ListArray) -> list[np.ndarray]:
+    """Each list as an array of its own: it outlives the batch."""
+    values = column.flatten().to_numpy().astype(np.int64)
+    return np.split(values, np.cumsum(column.value_lengths().to_numpy())[:-1]) if len(column) else []
+
+
 def _rectangle(vectors: list[np.ndarray]) -> np.ndarray:
     width = max(map(len, vectors), default=0)
     table = np.zeros((len(vectors), width), np.int64)

@@ -80,6 +80,24 @@ def test_postings_and_blocks_are_left_out():
     assert 0 < shard.traversed < shard.skipped
 
 
+@pytest.mark.parametrize("filled,factor", [(1.0, 1), (0.1, 1), (1.0, 1 << 24)])
+def test_queries_go_through_blocks_together(filled, factor, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = rng.integers(-9, 10, (3000, 24)) * (rng.random((3000, 24)) < filled) * factor
+    asked = np.arange(0, 3000, 10)
+    expected = []
+    for number, own in enumerate(asked):
+        order = sorted((-int(s), i) for i, s in enumerate(rows @ rows[own]) if i != own)[:5]
+        expected += [(number, -s, i) for s, i in order]
+    calls = []
+    own_method = topk.Block.competitive_to
+    monkeypatch.setattr(topk.Block, "competitive_to", lambda *x: calls.append(0) or own_method(*x))
+    shard = topk.Shard(np.arange(3000), rows, 500)
+    assert shard.search_all(asked, list(rows[asked]), 5) == expected
+    # Once for a block, and not for each of the queries.
+    assert len(calls) <= 6
+
+
 def test_edge_rows(spark):
     rows = [(0, [1, 2]), (0, [1, 2]), (1, [3]), (2, None), (None, [9, 9]), (3, []), (4, [1, 1, 7])]
     frame = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("clash"))
