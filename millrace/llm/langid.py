@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from millrace.llm import workers
+
 #: Hash places for n-grams.
 FEATURES = 1 << 15
 #: Longest n-gram.
@@ -185,6 +187,7 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Number of texts with each n-gram, and of all texts: one small vector from each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("langid")
         seen = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -207,6 +210,7 @@ def _coded(text: str) -> Column:
 
     @arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
+        workers.enter("langid")
         found = [ngrams(t) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(
             [
@@ -231,6 +235,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     @arrow_udf("struct<lang: string, score: double>")
     def run(texts: pa.Array) -> pa.Array:
+        workers.enter("langid")
         own = shared.value
         found = [own.predict(t) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm import workers
 from millrace.sources.storage import fresh_path
 
 WINDOW = 1024
@@ -53,7 +54,7 @@ def vocabulary_path() -> str:
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """The encoder, the number of bytes of each token, and the type that holds an id."""
+    """The encoder and the number of bytes of each token."""
     import public_tokenizers
     import tiktoken
 
@@ -65,7 +66,7 @@ def _encoder(path: str):
     sizes = np.zeros(max(ranks.values()) + 1, np.int64)
     for token, rank in ranks.items():
         sizes[rank] = len(token)
-    return encoder, sizes, np.dtype("<u2" if len(sizes) <= 1 << 16 else "<u4")
+    return encoder, sizes
 
 
 def added_tokens(path: str) -> dict[str, int]:
@@ -85,13 +86,30 @@ def _added(path: str):
     return tokens, re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if tokens else None
 
 
+@lru_cache(maxsize=2)
+def _kind(path: str) -> np.dtype:
+    """The type that holds an id; it takes no encoder."""
+    with open(path, "rb") as file:
+        most = max(int(line.split()[1]) for line in file)
+    return np.dtype("<u2" if most < 1 << 16 else "<u4")
+
+
+def _forget() -> None:
+    _memories.clear()
+    _encoder.cache_clear()
+    _added.cache_clear()
+
+
+workers.remembers("packing", _forget)
+
+
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian numbers of two or four bytes, without the end.
 
     Names of added tokens in a text are their ids, and what stands between them is encoded on its own.
     """
     tokens, named = _added(path)
-    kind = _encoder(path)[2]
+    kind = _kind(path)
     odd = {i: named.split(t) for i, t in enumerate(texts) if named.search(t)} if named else {}
     plain = [t for i, t in enumerate(texts) if i not in odd]
     between = [part for parts in odd.values() for part in parts[::2]]
@@ -110,7 +128,7 @@ def _encode_plain(texts: list[str], path: str) -> list[bytes]:
     white space next to a space may be cut before every space, and equal chunks are encoded once.
     Other texts are encoded whole.
     """
-    encoder, _, kind = _encoder(path)
+    encoder, kind = _encoder(path)[0], _kind(path)
     chunks = _memories.setdefault(path, _Memory())
     if chunks.held > REMEMBERED:
         chunks.clear()
@@ -135,7 +153,7 @@ def _encode_plain(texts: list[str], path: str) -> list[bytes]:
 
 def _remember(new: list[str], path: str) -> None:
     """Encode new chunks in one go: joined by spaces, their ids fall apart at the same spaces."""
-    encoder, sizes, kind = _encoder(path)
+    (encoder, sizes), kind = _encoder(path), _kind(path)
     chunks = _memories[path]
     plain = []
     for chunk in new:
@@ -165,7 +183,8 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = _encoder(path)[2]
+        workers.enter("packing")
+        width = _kind(path)
         end = np.array([END], width).tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for whole in batches:
@@ -214,7 +233,8 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, path: str | None = Non
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = _encoder(path)[2]
+        workers.enter("packing")
+        width = _kind(path)
         for batch in batches:
             at = batch.column(1).to_pylist()
             rows, crcs, starts, lengths, totals = [], [], [], [], []

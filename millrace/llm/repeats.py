@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import workers
 from millrace.llm.bwt import repeated_windows
 from millrace.sources.storage import stage
 
@@ -103,6 +104,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def _anchor_rows(span: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("repeats")
         for batch in batches:
             for part in range(0, batch.num_rows, 500):
                 ids = batch.column(0).slice(part, 500).to_numpy()
@@ -124,6 +126,7 @@ def _segment_rows(span: int, gram: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("repeats")
         seen: set[tuple[int, bytes]] = set()
         before = None
         rows: list[tuple] = []
@@ -190,6 +193,7 @@ def _merge_groups(span: int):
     """Covered ranges (doc_id, low, high) of segments sorted by key, digest, doc_id and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("repeats")
         waiting: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
@@ -352,6 +356,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
 
     @F.arrow_udf("struct<n_removed: long, n_spans: long, kept: binary>")
     def cut(texts: pa.Array, copies: pa.Array, ranges: pa.Array) -> pa.Array:
+        workers.enter("repeats")
         rows = []
         for text, copy, own_ranges in zip(texts.to_pylist(), copies.to_pylist(), ranges.to_pylist()):
             body = (text or "").encode("utf-8")

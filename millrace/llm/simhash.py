@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import workers
 from millrace.llm.components import connected_components, forest
 from millrace.sources.storage import stage
 
@@ -61,6 +62,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) for each row; fp holds the 64 bits as a signed long. NULL text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("simhash")
         for batch in batches:
             found = np.array([simhash(t) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -31,3 +34,33 @@ def find_package(spark: SparkSession) -> None:
     places = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
     if ROOT not in places:
         environment["PYTHONPATH"] = ":".join([*places, ROOT])
+
+
+#: What drops the memories of operators that ran in this worker, and the operator that runs now.
+_drops: dict[str, Callable[[], None]] = {}
+_running: str | None = None
+
+
+def remembers(operator: str, drop: Callable[[], None]) -> None:
+    """``operator`` keeps something from task to task; ``drop`` lets go of it."""
+    _drops[operator] = drop
+
+
+def enter(operator: str) -> None:
+    """Called by tasks: what other operators still hold in this worker goes back to the machine.
+
+    A worker outlives its stage, and another operator's memories would lie beside the next one's.
+    """
+    global _running
+    if _running == operator:
+        return
+    before, _running = _running, operator
+    if before is None:
+        return
+    for name, drop in _drops.items():
+        if name != operator:
+            drop()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+    if trim:
+        trim(0)

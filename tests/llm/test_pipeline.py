@@ -1,5 +1,6 @@
 """The whole pipeline against brute force, stage by stage."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_packing import check_pieces, tokenizer  # noqa: F401
@@ -7,6 +8,7 @@ from test_repeats import brute_force
 from test_simhash import plain_fingerprint, plain_groups
 
 import corpus_pipeline
+from millrace.llm import packing, workers
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,6 +32,20 @@ def texts_of(frame):
     return {r["doc_id"]: r["text"] for r in frame.collect()}
 
 
+def test_workers_drop_what_other_operators_hold(monkeypatch):
+    monkeypatch.setattr(workers, "_running", None)
+    path = packing.vocabulary_path()
+    workers.enter("packing")
+    packing.encode_texts(["one two two"], path)
+    workers.enter("packing")
+    assert packing._memories[path] and packing._encoder.cache_info().currsize
+    workers.enter("langid")
+    assert not packing._memories and not packing._encoder.cache_info().currsize
+    # Ids have a type without an encoder.
+    assert packing._kind(path) == np.dtype("<u2")
+    assert packing._encoder.cache_info().currsize == 0
+
+
 def test_columns_stay(kept):
     for frame in kept[:4]:
         assert frame.dtypes == kept[0].dtypes
