@@ -165,3 +165,24 @@ def test_signatures_have_two_sides_and_nested_types(spark, prices):
     with pytest.raises(ValueError, match="output column prediction is missing"):
         check_outputs(recorded, frame.drop("prediction"))
     check_outputs(signature(prices, ["c"]), frame)
+
+
+@pytest.mark.parametrize("start", ["gbt", "mean"])
+def test_rows_of_a_learners_task_are_bounded(spark, monkeypatch, start):
+    # One file, as large as it may get, must not be one task of the learner.
+    rows = [(i, float(i * 7919 % 50), "abc"[i % 3], float(i % 11)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "key long, x double, level string, y double").coalesce(1)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 150)
+    learner = boosting.GBTRegressor if start == "gbt" else boosting.DecisionTreeRegressor
+    sizes, fit = [], learner.fit
+
+    def seen(self, given, *more):
+        sizes.append([r["count"] for r in given.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(self, given, *more)
+
+    monkeypatch.setattr(learner, "fit", seen)
+    grow = boosting.fit_gbt if start == "gbt" else boosting.fit_mean_boost
+    grow(frame, ["level"], ["x"], "y", {"n_estimators": 1, "max_depth": 2})
+    assert sum(sizes[-1]) == 2000
+    # Buckets are dealt by hash, so not quite evenly.
+    assert max(sizes[-1]) <= (150 if start == "gbt" else 300)
