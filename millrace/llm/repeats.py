@@ -8,7 +8,10 @@ occurs once says nothing. So the suffixes are first narrowed down, exactly, and
    corpus occurs once. Windows of one occurrence of an anchor lie side by side and form a segment.
 2. Segments whose anchor occurs again are grouped by anchor. Equal segments are one string; all of its
    occurrences but the earliest are covered whole.
-3. The different segments of a group are dealt out to shards, whose Burrows-Wheeler transforms are
+3. A window that two segments share lies at the same place around the anchor in both, so at least half
+   of what it has beside the anchor lies on one side. Segments that share neither half with another
+   of their group share no window and go.
+4. The segments that are left are dealt out to shards, whose Burrows-Wheeler transforms are
    merged by interleave refinement (``bwt``). Intervals with common prefixes of ``SPAN`` bytes are the
    repeated windows; in each, all but the earliest are covered.
 
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import workers
@@ -189,7 +192,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _merge_groups(span: int):
+def _merge_groups(span: int, gram: int):
     """Covered ranges (doc_id, low, high) of segments sorted by key, digest, doc_id and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,16 +208,16 @@ def _merge_groups(span: int):
             keys = table.column(0).to_numpy()
             cut = int(np.searchsorted(keys, keys[-1]))
             if cut:
-                yield from _cover(table.slice(0, cut), span)
+                yield from _cover(table.slice(0, cut), span, gram)
                 waiting = table.slice(cut).combine_chunks().to_batches()
                 size = sum(b.column(6).nbytes + 64 * b.num_rows for b in waiting)
         if waiting:
-            yield from _cover(pa.Table.from_batches(waiting), span)
+            yield from _cover(pa.Table.from_batches(waiting), span, gram)
 
     return run
 
 
-def _cover(table: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
+def _cover(table: pa.Table, span: int, gram: int) -> Iterator[pa.RecordBatch]:
     key, d1, d2, doc, at, windows = (table.column(i).to_numpy() for i in range(6))
     if not len(key):
         return
@@ -230,6 +233,9 @@ def _cover(table: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
     long_enough = windows[string_of] > 0
     string_of, group = string_of[long_enough], group[long_enough]
     segments = table.column(6).combine_chunks().take(pa.array(string_of)).to_pylist()
+    likely = _sharing(segments, group, key[string_of], span, gram)
+    string_of, group = string_of[likely], group[likely]
+    segments = [segments[i] for i in likely.tolist()]
     begin = 0
     while begin < len(segments):
         end, size = begin, 0
@@ -246,6 +252,39 @@ def _cover(table: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
+def _sharing(segments: list[bytes], group: np.ndarray, key: np.ndarray, span: int, gram: int) -> np.ndarray:
+    """Numbers of the segments that may share a window with another of their group.
+
+    A shared window has ``span - gram`` bytes beside the anchor, so both segments agree in the nearer
+    half of them on its left, or in the rest on its right. Equal hashes of different halves only keep
+    a segment that could have gone.
+    """
+    sizes = np.array([len(s) for s in segments], np.int64)
+    ends = np.cumsum(sizes)
+    joined = np.frombuffer(b"".join(segments), np.uint8)
+    if len(joined) < gram:
+        return np.empty(0, np.int64)
+    # The anchor is the leftmost string with the hash of the group, one across two segments is none.
+    own = np.repeat(key.view(np.uint64), sizes)[: len(joined) - gram + 1]
+    at = np.flatnonzero(_gram_hashes(joined, gram) == own)
+    owner = np.searchsorted(ends, at, side="right")
+    inside = at + gram <= ends[owner]
+    owner, first = np.unique(owner[inside], return_index=True)
+    at = at[inside][first]
+    left = (span - gram) // 2
+    kept = []
+    for begin, length in ((at - left, left + gram), (at, span - left)):
+        whole = (begin >= (ends - sizes)[owner]) & (begin + length <= ends[owner])
+        if not whole.any():
+            continue
+        halves = _gram_hashes(joined, length)[begin[whole]]
+        with np.errstate(over="ignore"):
+            halves = halves ^ (group[owner[whole]].astype(np.uint64) * np.uint64(_MULTIPLIER))
+        _, kind, met = np.unique(halves, return_inverse=True, return_counts=True)
+        kept.append(owner[whole][met[kind] > 1])
+    return np.unique(np.concatenate(kept)) if kept else np.empty(0, np.int64)
+
+
 def _runs(doc: np.ndarray, place: np.ndarray, span: int) -> pa.RecordBatch:
     """Ranges of neighbouring windows, which come sorted."""
     if not len(doc):
@@ -281,12 +320,11 @@ def covered_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
     places = docs.select("doc_id", "text").mapInArrow(
         _anchor_rows(span, gram), "key long, doc_id long"
     )
-    again = (
-        places.groupBy("key").count().where("count > 1").select("key", (F.col("count") > hot).alias("hot"))
-    )
+    # Counted beside the places themselves: anchors are looked for once and shuffled once.
+    counted = places.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    again = counted.where("n > 1").select("doc_id", "key", (F.col("n") > hot).alias("hot"))
     wanted = (
-        places.join(again, "key")
-        .groupBy("doc_id")
+        again.groupBy("doc_id")
         .agg(
             F.collect_set(F.when(~F.col("hot"), F.col("key"))).alias("keys"),
             F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot"),
@@ -309,7 +347,7 @@ def covered_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
         segments.where("segment is not null")
         .repartition("key")
         .sortWithinPartitions("key", "d1", "d2", "doc_id", "at")
-        .mapInArrow(_merge_groups(span), "doc_id long, low int, high int")
+        .mapInArrow(_merge_groups(span, gram), "doc_id long, low int, high int")
     )
     ranges = inner.union(met).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     marked = copies.select("doc_id", F.lit(True).alias("copy"))

@@ -60,6 +60,40 @@ def test_anchors_cover_all_windows(monkeypatch, size):
     assert set(keys) <= set(moved)
 
 
+def test_segments_without_a_shared_half_enter_no_transform(monkeypatch):
+    """Of segments around one anchor only those go on that agree beside it in half of a window."""
+    rng = random.Random(5)
+    anchor, other = bytes(rng.choices(b"abcd", k=10)), bytes(rng.choices(b"efgh", k=200))
+    key = repeats._gram_hashes(np.frombuffer(anchor, np.uint8), 10).view(np.int64)[0]
+    word = lambda k: bytes(rng.choices(b"ijklmnop", k=k))
+    left, right = other[:15], other[100:115]
+    segments = [
+        word(20) + anchor + word(20),
+        word(20) + anchor + word(20),
+        word(5) + left + anchor + word(20),
+        word(9) + left + anchor + word(20),
+        word(20) + anchor + right + word(3),
+        word(20) + anchor + right + word(3),
+        word(20) + anchor + right[:14] + b"z" + word(3),
+        left + anchor + word(20),  # of another group
+        b"",
+    ]
+    group = np.array([1] * 7 + [2] * 2)
+    kept = repeats._sharing(segments, group, np.full(9, key), 40, 10)
+    assert kept.tolist() == [2, 3, 4, 5]
+    seen = []
+    whole = repeats.repeated_windows
+    monkeypatch.setattr(repeats, "repeated_windows", lambda s, *a: seen.extend(s) or whole(s, *a))
+    n = np.arange(7)
+    table = repeats.pa.table(
+        [np.full(7, key), n, n, n, np.zeros(7, np.int32), np.array([len(s) - 39 for s in segments[:7]], np.int32)]
+        + [repeats.pa.array(segments[:7], repeats.pa.binary())],
+        names=["key", "d1", "d2", "doc_id", "at", "windows", "segment"],
+    )
+    list(repeats._cover(table, 40, 10))
+    assert seen == segments[2:6]
+
+
 def test_query_equals_brute_force(spark):
     found = results(QUERIES["op7_bwt_repeats"](spark, "/root/testdata/sf0.01"))
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
