@@ -21,14 +21,17 @@ their counts in a join.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.sources.storage import stage
@@ -42,7 +45,12 @@ HEAD = 100_000
 COUNTED = 400_000
 #: Tokens whose contexts are sorted together.
 TOGETHER = 1 << 20
+#: Parts of the whole tree that are worked on one after the other.
+PARTS = 4
+#: A context of one token with more than one of so many tokens is dealt out over tasks.
+HOT = 500
 
+_MULTIPLIER = 0x9E3779B97F4A7C15
 _BITS = 10
 _SYMBOL = (1 << _BITS) - 1
 _OTHER, _END = 1, 2
@@ -260,17 +268,182 @@ def _score_rows(tree, symbols, head, others: OtherWords, depth: int, id_type: st
     return run, f"{fields}, joint double, rare array<binary>"
 
 
+def _coded_rows(codes, id_type: str):
+    """Each row with the codes of its tokens: the numbers of the head, and hashes of other words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = codes.value
+        digest = xxhash.xxh64_intdigest
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 500):
+                batch = whole.slice(begin, 500)
+                texts = [words_of(t) for t in batch.column(2).to_pylist()]
+                sizes = np.array([0, *(len(w) + 1 for w in texts)], np.int64)
+                tokens = [t for words in texts for t in (*words, END)]
+                own = np.fromiter(map(known.get, tokens, repeat(-1)), np.int64, len(tokens))
+                rare = np.flatnonzero(own < 0)
+                hashes = [digest(tokens[i], 42) for i in rare.tolist()]
+                own[rare] = np.array(hashes, np.uint64).view(np.int64)
+                words = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(own))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), words], ["doc_id", "held_out", "words"]
+                )
+
+    return run, f"doc_id {id_type}, held_out boolean, words array<long>"
+
+
+def _positions(counts, common: list[int], part: int, parts: int, often: bool, rare: bool):
+    """Tokens with the three before them (0 before the start) whose last one before is in the part.
+
+    ``often``: those after one of ``common``, or the others. ``rare``: those outside the head, which
+    come without their count ``c0``, or the others.
+    """
+    names = ["row", "train", "w0", "w1", "w2", "w3"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = counts.value
+        many = np.zeros(len(head) + 1, bool)
+        many[common] = True
+        outside = len(head)
+        for batch in batches:
+            sizes = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            words = batch.column(2).flatten().to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            last = np.append(0, words[:-1])[: len(words)]
+            last[starts] = 0
+            with np.errstate(over="ignore"):
+                mixed = last.view(np.uint64) * np.uint64(_MULTIPLIER)
+            wanted = (mixed >> np.uint64(32)) % np.uint64(parts) == part
+            wanted &= many[np.where((last >= 0) & (last < outside), last, outside)] == often
+            wanted &= ((words < 0) | (words >= outside)) == rare
+            chosen = np.flatnonzero(wanted)
+            text = np.searchsorted(starts, chosen, side="right") - 1
+            place = chosen - starts[text]
+            columns = [
+                batch.column(0).to_numpy()[text],
+                batch.column(1).to_numpy(zero_copy_only=False)[text].astype(np.int32),
+                words[chosen],
+                *[np.where(place >= k, words[np.maximum(chosen - k, 0)], 0) for k in (1, 2, 3)],
+            ]
+            if not rare:
+                columns.append(head[columns[2]])
+            for begin in range(0, len(chosen), 20_000):
+                own = [pa.array(x[begin : begin + 20_000]) for x in columns]
+                yield pa.RecordBatch.from_arrays(own, names if rare else [*names, "c0"])
+
+    fields = "row long, train int, w0 long, w1 long, w2 long, w3 long"
+    return run, fields if rare else f"{fields}, c0 long"
+
+
+def _seen(pair: list[str]) -> Column:
+    return F.sum("train").over(Window.partitionBy(*pair))
+
+
+#: Over the tokens after a context: their number, that of different ones, and the sum of n * ln(n / parent).
+_OF_CONTEXT = {
+    "n": "sum(train)",
+    "t": "sum(if(train > 0, train / c, 0D))",
+    "s": "sum(if(train > 0, ln(c / p), 0D))",
+}
+
+
+def _smoothed(total: int) -> Column:
+    """Probability after a context with the counts above: its parent's, if it is not retained."""
+    n, kinds = F.col("n"), F.round("t")
+    gain = F.col("s") - n * F.log(n)
+    retained = (n > 0) & (gain > kinds / 2 * F.lit(float(np.log(max(total, 2)))))
+    return F.when(retained, (F.col("c") + kinds * F.col("p")) / (n + kinds)).otherwise(F.col("p"))
+
+
+def _deeper(tokens: DataFrame, depths: range, total: int) -> DataFrame:
+    """``p`` after contexts of these depths; all tokens after one context lie in one task."""
+    for depth in depths:
+        context = ["w1", "w2", "w3"][:depth]
+        over = Window.partitionBy(*context)
+        tokens = tokens.withColumn("c", _seen([*context, "w0"]))
+        tokens = tokens.withColumns({k: F.expr(v).over(over) for k, v in _OF_CONTEXT.items()})
+        tokens = tokens.withColumn("p", _smoothed(total)).drop("c", *_OF_CONTEXT)
+    return tokens
+
+
+def _score_all_contexts(
+    docs: DataFrame, held_out: str, rarer: DataFrame, most: list, ends: int, total: int,
+    kinds: int, parts: int, hot: int,
+) -> DataFrame:
+    """Scores by the tree of all words and all contexts of up to ``DEPTH`` tokens.
+
+    The contexts of a token end with the token before it, so the tree falls into parts by that token,
+    which are worked on one after the other to bound the disk; in a part, tokens are dealt out by the
+    token before them. A context of one token with more than one of ``hot`` tokens is dealt out by the
+    next token, and then by the two before.
+    """
+    spark = docs.sparkSession
+    broadcast = spark.sparkContext.broadcast
+    words = [(END, ends), *[x for x in most if x[0] != END]]
+    codes = {w: i for i, (w, _) in enumerate(words, 1)}
+    head = np.array([0, *(n for _, n in words)], np.int64)
+    run, schema = _coded_rows(broadcast(codes), docs.schema["doc_id"].dataType.simpleString())
+    own = docs.select("doc_id", F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), "text")
+    coded = stage(own.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "coded")
+    # Behind the start of a text stand as many tokens as there are ends.
+    common = [i for i, n in enumerate([int(head[1]), *head[1:].tolist()]) if n * hot > total and i != 1]
+    rare = rarer.select(F.xxhash64("word").alias("w0"), F.col("n").alias("more"))
+    norm = F.lit(float(total + 0.5 * (kinds + 1)))
+    shared = broadcast(head)
+    texts = coded.select("row", ~F.col("held_out"), "words")
+
+    def tokens_of_part(part: int, often: bool) -> DataFrame:
+        frequent = texts.mapInArrow(*_positions(shared, common, part, parts, often, False))
+        others = texts.mapInArrow(*_positions(shared, common, part, parts, often, True)).join(rare, "w0", "left")
+        others = others.withColumn("c0", F.coalesce("more", F.lit(0).cast("long"))).drop("more")
+        return frequent.unionByName(others).withColumn("p", (F.col("c0") + F.lit(0.5)) / norm)
+
+    sums = []
+    for part in range(parts):
+        scored = _deeper(tokens_of_part(part, False).repartition("w1"), range(1, DEPTH + 1), total)
+        if common:
+            counted = tokens_of_part(part, True).repartition("w1", "w0").withColumn("c", _seen(["w1", "w0"]))
+            of_context = counted.groupBy("w1").agg(*[F.expr(v).alias(k) for k, v in _OF_CONTEXT.items()])
+            first = counted.join(F.broadcast(of_context), "w1").withColumn("p", _smoothed(total))
+            first = first.drop("c", *_OF_CONTEXT).repartition("w1", "w2")
+            scored = scored.unionByName(_deeper(first, range(2, DEPTH + 1), total))
+        by_row = scored.groupBy("row").agg(
+            F.count(F.lit(1)).alias("n_tokens"),
+            F.sum(F.when(F.col("c0") > 0, 1).otherwise(0)).alias("n_known"),
+            F.sum(F.log10((F.col("c0") + F.lit(0.5)) / norm)).alias("base_score"),
+            F.sum(F.log10("p")).alias("score"),
+        )
+        sums.append(stage(by_row, "part"))
+        # Shuffled files go when the frames that made them do.
+        counted = of_context = first = scored = by_row = None
+        gc.collect()
+        spark._jvm.System.gc()
+    names = ["n_tokens", "n_known", "base_score", "score"]
+    whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+    return coded.select("row", "doc_id", "held_out").join(whole, "row").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 def score_documents(
-    docs: DataFrame, held_out: str = "held_out", head_words: int = HEAD, frequent: int = FREQUENT
+    docs: DataFrame,
+    held_out: str = "held_out",
+    head_words: int = HEAD,
+    frequent: int | None = None,
+    parts: int = PARTS,
+    hot: int = HOT,
 ) -> DataFrame:
     """Base and model score of each row; rows where the boolean ``held_out`` is not true teach both.
 
+    All words and all contexts take part. With ``frequent``, only so many words are symbols, and only
+    contexts of at least ``P_MIN`` of all tokens are considered: a small tree that the driver holds.
     ``n_known`` counts tokens seen in training, ``train_tokens`` is their number in training.
     Defined results: NULL and empty texts are the end alone; repeated rows and NULL ``doc_id`` give
     one result each and teach each time; without a training row all counts are zero; an empty table
     gives no rows; other columns are not read.
     """
-    if not 0 <= frequent <= min(FREQUENT, head_words):
+    if frequent is not None and not 0 <= frequent <= min(FREQUENT, head_words):
         raise ValueError(f"frequent must lie between 0 and {min(FREQUENT, head_words)}")
     spark = docs.sparkSession
     training = docs.where(~F.coalesce(F.col(held_out), F.lit(False))).select("text")
@@ -288,6 +461,8 @@ def score_documents(
     if most:
         word, n = most[-1]
         rarer = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(word))))
+    if frequent is None:
+        return _score_all_contexts(docs, held_out, rarer, most, head[END], total, kinds, parts, hot)
     own_symbols = dict([x for x in most if x[0] != END][:frequent]) | {END: head[END]}
     tree, symbols = fit_tree(training, own_symbols, total)
     once, twice = counts.agg(F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()

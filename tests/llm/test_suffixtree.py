@@ -90,6 +90,64 @@ def plain_model(rows, depth, p_min, frequent):
     return score, retained
 
 
+def whole_model(rows, depth):
+    """Log10 probability of a text by all words and all contexts, step by step in dictionaries."""
+    texts = [tokens_of(text) for _, text, held in rows if not held]
+    c = Counter(t for text in texts for t in text)
+    total = sum(c.values())
+    seen = {}
+    for text in texts:
+        own = [None] * depth + text
+        for at in range(depth, len(own)):
+            for d in range(1, depth + 1):
+                seen.setdefault(tuple(own[at - d : at]), Counter())[own[at]] += 1
+    retained = set()
+
+    def probability(context, word):
+        if not context:
+            return (c[word] + 0.5) / (total + 0.5 * (len(c) + 1))
+        parent = probability(context[1:], word)
+        if context not in retained:
+            return parent
+        n = seen[context]
+        return (n[word] + len(n) * parent) / (sum(n.values()) + len(n))
+
+    for context, n in sorted(seen.items(), key=lambda x: len(x[0])):
+        size = sum(n.values())
+        gain = sum(v * np.log(v / size / probability(context[1:], w)) for w, v in n.items())
+        if gain > len(n) / 2 * np.log(max(total, 2)):
+            retained.add(context)
+
+    def score(text):
+        own = [None] * depth + tokens_of(text)
+        return sum(np.log10(probability(tuple(own[at - depth : at]), own[at])) for at in range(depth, len(own)))
+
+    return score, retained
+
+
+@pytest.mark.parametrize("head,hot", [(100_000, 500), (30, 10), (1, 1)])
+def test_all_words_and_contexts_are_learnt(spark, head, hot):
+    """More words than the symbols of the small tree, and contexts below any share of the tokens."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        text, at = [], rng.randrange(1500)
+        for _ in range(rng.randrange(1, 80)):
+            at = (at * 7 + 3) % 1500 if rng.random() < 0.7 else int(1500 * rng.random() ** 4)
+            text.append(f"w{at}")
+        rows.append((i, " ".join(text), i % 5 == 1))
+    rows += [(150, None, False), (151, "never seen w1 w10", True), (152, "", True)]
+    found = suffixtree.score_documents(spark.createDataFrame(rows, SCHEMA), head_words=head, hot=hot, parts=3).collect()
+    score, retained = whole_model(rows, suffixtree.DEPTH)
+    assert len({w for (w, *_) in retained}) > suffixtree.FREQUENT
+    expected = base_scores(rows)
+    assert len(found) == len(rows)
+    for r in found:
+        assert r["score"] == pytest.approx(score(rows[r["doc_id"]][1]))
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == expected[r["doc_id"]][:3]
+        assert r["base_score"] == pytest.approx(expected[r["doc_id"]][3])
+
+
 def test_query_base_scores_and_held_out_gain(spark):
     found = QUERIES["op8_suffix_tree"](spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
