@@ -1,19 +1,23 @@
 """Language-model scores from a probabilistic suffix tree over tokens, beside a unigram base.
 
-A text is lower-cased (A-Z) and cut into words; an end follows. The ``FREQUENT`` most frequent words
-and the end are symbols of their own, and all other words are one symbol. The tree is grown level by
-level from counts over all training texts: a context of l symbols is considered if it makes up at
-least ``P_MIN`` of all tokens, which the level before has counted, so the tree has at most
-DEPTH / P_MIN contexts however large the corpus is. A context is retained if its next-symbol counts
-diverge from its parent's distribution by more than their description costs: n * KL > T / 2 * ln N, for
-n tokens with T different symbols after the context, of N in all. The parent is the longest retained
-proper suffix; distributions are smoothed towards it with weight T / (n + T). A symbol is scored in
-the state of the longest retained suffix of what precedes it.
-
-Within the symbol of other words, a word that occurred c times has the probability (c - d) / C of all
-C such tokens, with the discount d = n1 / (n1 + 2 * n2) from the numbers of words seen once and twice.
-What the discounts free is the probability of a word never seen, as one event: the events are those
-of the base, the words seen in training and one for all others.
+A text is lower-cased (A-Z) and cut into words; an end follows. Words and the end are the symbols. A
+context is a string of up to ``DEPTH`` symbols, or of the start and the symbols behind it. Each that
+occurs is considered. It is retained if its next-symbol counts diverge from its parent's distribution
+by more than their description costs: n * KL > T / 2 * ln N, for n tokens with T different symbols after
+the context, of N in all. The parent is the longest retained proper suffix; distributions are smoothed
+towards it with weight T / (n + T), and the root is the base. A symbol is scored in the state of the
+longest retained suffix of what precedes it. The events are those of the base: the words seen in
+training, and one for all others.
+
+No task and not the driver holds this tree: all contexts of a token end with the token before it, by
+which tokens are dealt out, and counts are windows over them.
+
+On request a small tree is grown instead, for a driver that keeps it. The ``frequent`` most frequent
+words and the end are its symbols, and all other words are one symbol. A context is considered if it
+makes up at least ``P_MIN`` of all tokens, which the level before has counted, so the tree has at most
+DEPTH / P_MIN contexts. Within the symbol of other words, a word that occurred c times has the
+probability (c - d) / C of all C such tokens, with the discount d = n1 / (n1 + 2 * n2) from the numbers
+of words seen once and twice. What the discounts free is the probability of a word never seen.
 
 Counts of the ``HEAD`` most frequent words go to all tasks. Other words, which are each rare, meet
 their counts in a join.
@@ -21,9 +25,9 @@ their counts in a join.
 
 from __future__ import annotations
 
-import gc
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import repeat
@@ -31,7 +35,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.sources.storage import stage
@@ -46,7 +50,7 @@ COUNTED = 400_000
 #: Tokens whose contexts are sorted together.
 TOGETHER = 1 << 20
 #: Parts of the whole tree that are worked on one after the other.
-PARTS = 4
+PARTS = 6
 #: A context of one token with more than one of so many tokens is dealt out over tasks.
 HOT = 500
 
@@ -366,6 +370,21 @@ def _deeper(tokens: DataFrame, depths: range, total: int) -> DataFrame:
     return tokens
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What jobs inside the block have shuffled leaves the disk when each of them ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _score_all_contexts(
     docs: DataFrame, held_out: str, rarer: DataFrame, most: list, ends: int, total: int,
     kinds: int, parts: int, hot: int,
@@ -413,11 +432,8 @@ def _score_all_contexts(
             F.sum(F.log10((F.col("c0") + F.lit(0.5)) / norm)).alias("base_score"),
             F.sum(F.log10("p")).alias("score"),
         )
-        sums.append(stage(by_row, "part"))
-        # Shuffled files go when the frames that made them do.
-        counted = of_context = first = scored = by_row = None
-        gc.collect()
-        spark._jvm.System.gc()
+        with _shuffles_dropped(spark):
+            sums.append(stage(by_row, "part"))
     names = ["n_tokens", "n_known", "base_score", "score"]
     whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
     return coded.select("row", "doc_id", "held_out").join(whole, "row").select(
