@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import workers
 from millrace.llm.bwt import repeated_windows
-from millrace.sources.storage import stage
+from millrace.sources.storage import fresh_path, shuffles_dropped, stage, stage_scope
 
 SPAN = 100
 GRAM = 24
@@ -307,11 +307,14 @@ def covered_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
 
     ``copy``: the whole text appeared earlier and is at least ``span`` bytes long. ``ranges`` may
     overlap. ``docs`` needs a non-NULL ``doc_id`` of type long and ``text``; ``sha`` names the text
-    that was judged, should several stand under one ``doc_id``.
+    that was judged, should several stand under one ``doc_id``. Segments and what was shuffled for them
+    leave the disk before this returns.
     """
+    spark = docs.sparkSession
     sized = docs.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n"))
     own = sized.groupBy("doc_id").agg(F.min(F.struct("sha", "n")).alias("own"), F.count("*").alias("rows"))
-    judged = stage(own.select("doc_id", "own.*", "rows"), "texts")
+    with shuffles_dropped(spark):
+        judged = stage(own.select("doc_id", "own.*", "rows"), "texts")
     docs = _one_row_each(docs, judged)
     earliest = judged.groupBy("sha").agg(F.min("doc_id").alias("first"))
     copies = (
@@ -333,23 +336,27 @@ def covered_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
         .join(judged.select("doc_id", "sha"), "doc_id")
     )
     texts = docs.select("doc_id", "text", F.sha2("text", 256).alias("sha"))
-    segments = stage(
+    found = (
         texts.join(wanted, ["doc_id", "sha"])
         .sortWithinPartitions("doc_id")
         .select("doc_id", "text", "keys", "hot")
-        .mapInArrow(_segment_rows(span, gram), _SEGMENT),
-        "segments",
+        .mapInArrow(_segment_rows(span, gram), _SEGMENT)
     )
-    inner = segments.where("segment is null").select(
-        "doc_id", F.col("at").alias("low"), (F.col("at") + F.col("windows") + span - 1).alias("high")
-    )
-    met = (
-        segments.where("segment is not null")
-        .repartition("key")
-        .sortWithinPartitions("key", "d1", "d2", "doc_id", "at")
-        .mapInArrow(_merge_groups(span, gram), "doc_id long, low int, high int")
-    )
-    ranges = inner.union(met).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    path = fresh_path(spark, "ranges")
+    with stage_scope(spark), shuffles_dropped(spark):
+        segments = stage(found, "segments")
+        inner = segments.where("segment is null").select(
+            "doc_id", F.col("at").alias("low"), (F.col("at") + F.col("windows") + span - 1).alias("high")
+        )
+        met = (
+            segments.where("segment is not null")
+            .repartition("key")
+            .sortWithinPartitions("key", "d1", "d2", "doc_id", "at")
+            .mapInArrow(_merge_groups(span, gram), "doc_id long, low int, high int")
+        )
+        joined = inner.union(met).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        joined.write.parquet(path)
+    ranges = spark.read.schema(joined.schema).parquet(path)
     marked = copies.select("doc_id", F.lit(True).alias("copy"))
     return (
         judged.select("doc_id", "sha")

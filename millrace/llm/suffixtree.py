@@ -27,7 +27,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import repeat
@@ -35,10 +34,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.sources.storage import stage
+from millrace.sources.storage import shuffles_dropped, stage
 
 DEPTH = 3
 P_MIN = 1e-4
@@ -370,21 +369,6 @@ def _deeper(tokens: DataFrame, depths: range, total: int) -> DataFrame:
     return tokens
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """What jobs inside the block have shuffled leaves the disk when each of them ends."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def _score_all_contexts(
     docs: DataFrame, held_out: str, rarer: DataFrame, most: list, ends: int, total: int,
     kinds: int, parts: int, hot: int,
@@ -432,7 +416,7 @@ def _score_all_contexts(
             F.sum(F.log10((F.col("c0") + F.lit(0.5)) / norm)).alias("base_score"),
             F.sum(F.log10("p")).alias("score"),
         )
-        with _shuffles_dropped(spark):
+        with shuffles_dropped(spark):
             sums.append(stage(by_row, "part"))
     names = ["n_tokens", "n_known", "base_score", "score"]
     whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])

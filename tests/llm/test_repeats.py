@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import bwt, repeats
 from millrace.llm.queries import QUERIES
+from millrace.sources import storage
 
 SCHEMA = "doc_id long, text string"
 
@@ -138,3 +140,28 @@ def test_rows_stored_again_in_another_file_keep_their_text(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(found) == 360 and {r["n_removed"] for r in found} == {0}
+
+
+def test_segments_and_shuffles_leave_the_disk(spark):
+    """What found the repeats is gone before the texts are cut, without any collection of garbage."""
+    rng = random.Random(12)
+    passage = "".join(rng.choices("abcdefghij klmnop", k=300))
+    rows = [(i, "".join(rng.choices("abcdefghij klmnop", k=400)) + passage) for i in range(200)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    before, staged = shuffled(), set(storage._scopes[-1])
+    done = repeats.remove_repeats(frame)
+    for _ in range(100):  # files are deleted beside the job
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert not [x for x in set(storage._scopes[-1]) - staged if "/segments-" in x]
+    assert sorted(r["n_removed"] for r in done.collect())[:2] == [0, 300]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") != "true"
