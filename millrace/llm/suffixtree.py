@@ -10,7 +10,7 @@ longest retained suffix of what precedes it. The events are those of the base: t
 training, and one for all others.
 
 No task and not the driver holds this tree: all contexts of a token end with the token before it, by
-which tokens are dealt out, and counts are windows over them.
+which tokens are dealt out in chunks, and counts are made by sorting a bucket of them.
 
 On request a small tree is grown instead, for a driver that keeps it. The ``frequent`` most frequent
 words and the end are its symbols, and all other words are one symbol. A context is considered if it
@@ -34,10 +34,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.storage import shuffles_dropped, stage
+from millrace.sources.storage import fresh_path, shuffles_dropped, stage, stage_scope
 
 DEPTH = 3
 P_MIN = 1e-4
@@ -49,7 +49,10 @@ COUNTED = 400_000
 #: Tokens whose contexts are sorted together.
 TOGETHER = 1 << 20
 #: Parts of the whole tree that are worked on one after the other.
-PARTS = 6
+PARTS = 4
+#: Tokens that one call works on, on average, and texts whose sums are added up together.
+BUCKET = 1 << 18
+GROUP = 1 << 12
 #: A context of one token with more than one of so many tokens is dealt out over tasks.
 HOT = 500
 
@@ -271,6 +274,16 @@ def _score_rows(tree, symbols, head, others: OtherWords, depth: int, id_type: st
     return run, f"{fields}, joint double, rare array<binary>"
 
 
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of one length as bytes: their first bytes, their second ones, ..., which compress well."""
+    return np.ascontiguousarray(np.stack(columns).astype(np.int64).view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)).tobytes()
+
+
+def _unpacked(chunk: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(chunk, np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view(np.int64).reshape(columns, -1)
+
+
 def _coded_rows(codes, id_type: str):
     """Each row with the codes of its tokens: the numbers of the head, and hashes of other words."""
 
@@ -281,145 +294,319 @@ def _coded_rows(codes, id_type: str):
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)
                 texts = [words_of(t) for t in batch.column(2).to_pylist()]
-                sizes = np.array([0, *(len(w) + 1 for w in texts)], np.int64)
+                sizes = np.array([len(w) + 1 for w in texts], np.int64)
                 tokens = [t for words in texts for t in (*words, END)]
                 own = np.fromiter(map(known.get, tokens, repeat(-1)), np.int64, len(tokens))
                 rare = np.flatnonzero(own < 0)
                 hashes = [digest(tokens[i], 42) for i in rare.tolist()]
                 own[rare] = np.array(hashes, np.uint64).view(np.int64)
-                words = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(own))
+                words = [_packed([x]) for x in np.split(own, np.cumsum(sizes)[:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), words], ["doc_id", "held_out", "words"]
+                    [batch.column(0), batch.column(1), pa.array(sizes), pa.array(words, pa.binary())],
+                    ["doc_id", "held_out", "n", "words"],
                 )
 
-    return run, f"doc_id {id_type}, held_out boolean, words array<long>"
+    return run, f"doc_id {id_type}, held_out boolean, n long, words binary"
+
+
+#: Tokens go in chunks. Their columns: twice the row, plus one in training; the count of the token if it is
+#: outside the head, else 0; the token, and the three before it (0 before the start); for those after a
+#: frequent token also the count of both.
+_CHUNK = "bucket long, chunk binary"
+_COLUMNS = 6
+
 
+def _spread(values: np.ndarray, into: int) -> np.ndarray:
+    """Numbers below ``into``, from other bits than ``_flows`` uses."""
+    with np.errstate(over="ignore"):
+        mixed = (values.view(np.uint64) ^ (values.view(np.uint64) >> np.uint64(31))) * np.uint64(_MULTIPLIER)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(32)) % np.uint64(into)).astype(np.int64)
 
-def _positions(counts, common: list[int], part: int, parts: int, often: bool, rare: bool):
-    """Tokens with the three before them (0 before the start) whose last one before is in the part.
 
-    ``often``: those after one of ``common``, or the others. ``rare``: those outside the head, which
-    come without their count ``c0``, or the others.
+def _pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (one.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9) + two.view(np.uint64)).view(np.int64)
+
+
+def _dealt(bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """A chunk for each bucket."""
+    order = np.argsort(bucket, kind="stable")
+    columns = [x[order] for x in columns]
+    each, first = np.unique(bucket[order], return_index=True)
+    chunks = [_packed([x[i:j] for x in columns]) for i, j in zip(first, [*first[1:], len(order)])]
+    return pa.RecordBatch.from_arrays([pa.array(each, pa.int64()), pa.array(chunks, pa.binary())], ["bucket", "chunk"])
+
+
+def _chunk_rows(outside: int, common: np.ndarray, flow: int | None, parts: int, buckets: int):
+    """Chunks of the tokens of the head in one flow, or those of all other tokens, dealt out by themselves.
+
+    A flow has the tokens of one part by the token before, after one of ``common`` or after others.
     """
-    names = ["row", "train", "w0", "w1", "w2", "w3"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = counts.value
-        many = np.zeros(len(head) + 1, bool)
-        many[common] = True
-        outside = len(head)
+        waiting, size = [], 0
         for batch in batches:
-            sizes = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            words = batch.column(2).flatten().to_numpy()
-            starts = np.cumsum(sizes) - sizes
-            last = np.append(0, words[:-1])[: len(words)]
-            last[starts] = 0
-            with np.errstate(over="ignore"):
-                mixed = last.view(np.uint64) * np.uint64(_MULTIPLIER)
-            wanted = (mixed >> np.uint64(32)) % np.uint64(parts) == part
-            wanted &= many[np.where((last >= 0) & (last < outside), last, outside)] == often
-            wanted &= ((words < 0) | (words >= outside)) == rare
-            chosen = np.flatnonzero(wanted)
-            text = np.searchsorted(starts, chosen, side="right") - 1
-            place = chosen - starts[text]
-            columns = [
-                batch.column(0).to_numpy()[text],
-                batch.column(1).to_numpy(zero_copy_only=False)[text].astype(np.int32),
-                words[chosen],
-                *[np.where(place >= k, words[np.maximum(chosen - k, 0)], 0) for k in (1, 2, 3)],
-            ]
-            if not rare:
-                columns.append(head[columns[2]])
-            for begin in range(0, len(chosen), 20_000):
-                own = [pa.array(x[begin : begin + 20_000]) for x in columns]
-                yield pa.RecordBatch.from_arrays(own, names if rare else [*names, "c0"])
-
-    fields = "row long, train int, w0 long, w1 long, w2 long, w3 long"
-    return run, fields if rare else f"{fields}, c0 long"
-
-
-def _seen(pair: list[str]) -> Column:
-    return F.sum("train").over(Window.partitionBy(*pair))
-
-
-#: Over the tokens after a context: their number, that of different ones, and the sum of n * ln(n / parent).
-_OF_CONTEXT = {
-    "n": "sum(train)",
-    "t": "sum(if(train > 0, train / c, 0D))",
-    "s": "sum(if(train > 0, ln(c / p), 0D))",
-}
-
-
-def _smoothed(total: int) -> Column:
-    """Probability after a context with the counts above: its parent's, if it is not retained."""
-    n, kinds = F.col("n"), F.round("t")
-    gain = F.col("s") - n * F.log(n)
-    retained = (n > 0) & (gain > kinds / 2 * F.lit(float(np.log(max(total, 2)))))
-    return F.when(retained, (F.col("c") + kinds * F.col("p")) / (n + kinds)).otherwise(F.col("p"))
-
-
-def _deeper(tokens: DataFrame, depths: range, total: int) -> DataFrame:
-    """``p`` after contexts of these depths; all tokens after one context lie in one task."""
+            for row, train, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                waiting.append((2 * row + train, _unpacked(words, 1)[0]))
+                size += len(waiting[-1][1])
+                if size > TOGETHER:
+                    yield deal(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            yield deal(waiting)
+
+    def deal(texts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = np.array([len(x) for _, x in texts], np.int64)
+        words = np.concatenate([x for _, x in texts])
+        starts = np.cumsum(sizes) - sizes
+        last = np.append(0, words[:-1])
+        last[starts] = 0
+        wanted = (words < 0) | (words >= outside)
+        if flow is not None:
+            wanted = ~wanted & (_flows(last, common, outside, parts) == flow)
+        at = np.flatnonzero(wanted)
+        text = np.searchsorted(starts, at, side="right") - 1
+        place = at - starts[text]
+        before = [np.where(place >= k, words[np.maximum(at - k, 0)], 0) for k in (1, 2, 3)]
+        own = words[at]
+        bucket = _spread(own, buckets) if flow is None else _buckets(last[at], own, flow % 2, buckets)
+        row = np.array([r for r, _ in texts], np.int64)[text]
+        return _dealt(bucket, [row, np.zeros(len(at), np.int64), own, *before])
+
+    return run
+
+
+def _flows(last: np.ndarray, common: np.ndarray, outside: int, parts: int) -> np.ndarray:
+    """Twice the part by the token before, plus one after a common one."""
+    many = np.zeros(outside + 1, bool)
+    many[common] = True
+    with np.errstate(over="ignore"):
+        part = ((last.view(np.uint64) * np.uint64(_MULTIPLIER)) >> np.uint64(32)) % np.uint64(parts)
+    return 2 * part.astype(np.int64) + many[np.where((last >= 0) & (last < outside), last, outside)]
+
+
+def _buckets(last: np.ndarray, own: np.ndarray, often: np.ndarray | int, buckets: int) -> np.ndarray:
+    """By the token before, with the token itself after a common one."""
+    return _spread(np.where(np.asarray(often) > 0, _pair(last, own), last), buckets)
+
+
+def _gathered(table: pa.Table, columns: int = _COLUMNS) -> list[np.ndarray]:
+    return list(np.concatenate([_unpacked(x, columns) for x in table.column("chunk").to_pylist()], axis=1))
+
+
+def _counted_rare(outside: int, common: np.ndarray, parts: int, buckets: int):
+    """Tokens outside the head with their counts, by flow and bucket: all of a word are here."""
+
+    def run(table: pa.Table) -> pa.Table:
+        row, _, own, *before = _gathered(table)
+        kind = np.unique(own, return_inverse=True)[1]
+        count = np.bincount(kind, weights=row & 1).astype(np.int64)[kind]
+        flow = _flows(before[0], common, outside, parts)
+        bucket = _buckets(before[0], own, flow % 2, buckets)
+        return pa.Table.from_batches([_dealt(flow * buckets + bucket, [row, count, own, *before])])
+
+    return run
+
+
+def _numbered(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Equal pairs of small numbers get equal numbers from 0, without gaps."""
+    bits, place = int(low.max()).bit_length(), len(low).bit_length()
+    if int(high.max()).bit_length() + bits + place > 63:
+        return np.unique(np.stack([high, low]), axis=1, return_inverse=True)[1].ravel()
+    packed = (high << (bits + place)) | (low << place) | np.arange(len(low))
+    packed.sort()
+    key = packed >> place
+    number = np.empty(len(low), np.int64)
+    number[packed & ((1 << place) - 1)] = np.cumsum(np.append(False, key[1:] != key[:-1]))
+    return number
+
+
+def _small(words: list[np.ndarray], outside: int) -> list[np.ndarray]:
+    """Words outside the head get small numbers, too."""
+    joined = np.concatenate(words)
+    rare = np.flatnonzero((joined < 0) | (joined >= outside))
+    joined[rare] = np.unique(joined[rare], return_inverse=True)[1] + outside
+    return np.split(joined, len(words))
+
+
+def _smoothed(c, p, n, kinds, s, total: int) -> np.ndarray:
+    """Probability after a context: its parent's, if it is not retained.
+
+    Over the tokens after the context: ``n`` is their number, ``kinds`` that of different ones and ``s`` the
+    sum of c * ln(c / p), for the counts ``c`` of the different ones and their probabilities by the parent.
+    """
+    gain = s - n * np.log(np.maximum(n, 1))
+    retained = (n > 0) & (gain > kinds / 2 * np.log(max(total, 2)))
+    return np.where(retained, (c + kinds * p) / np.maximum(n + kinds, 1), p)
+
+
+def _counts_after(context: np.ndarray, own: np.ndarray, train: np.ndarray, p: np.ndarray):
+    """(number of each pair of context and token, their counts, contexts and probabilities; n, kinds, s)."""
+    pair = _numbered(context, own)
+    c = np.bincount(pair, weights=train)
+    some = np.empty(len(c), np.int64)
+    some[pair] = np.arange(len(pair))
+    of, p = context[some], p[some]
+    seen = np.flatnonzero(c > 0)
+    size = int(context.max()) + 1
+    each = c[seen]
+    sums = [np.bincount(of[seen], weights=x, minlength=size) for x in (each, np.ones(len(seen)), each * np.log(each / p[seen]))]
+    return pair, c, of, p, sums
+
+
+def _deeper(words: list[np.ndarray], train: np.ndarray, p: np.ndarray, depths: range, total: int) -> np.ndarray:
+    """``p`` after contexts of these depths; all tokens after one context are here."""
+    none = np.zeros(len(p), np.int64)
+    context = none
+    for word in words[1 : depths.start]:
+        context = _numbered(context, word)
     for depth in depths:
-        context = ["w1", "w2", "w3"][:depth]
-        over = Window.partitionBy(*context)
-        tokens = tokens.withColumn("c", _seen([*context, "w0"]))
-        tokens = tokens.withColumns({k: F.expr(v).over(over) for k, v in _OF_CONTEXT.items()})
-        tokens = tokens.withColumn("p", _smoothed(total)).drop("c", *_OF_CONTEXT)
-    return tokens
+        context = _numbered(context, words[depth])
+        pair, c, of, own, sums = _counts_after(context, words[0], train, p)
+        p = _smoothed(c, own, *(x[of] for x in sums), total)[pair]
+    return p
+
+
+def _sums(row, c0, p, norm: float, groups: int) -> pa.Table:
+    """Sums of each text, in chunks by groups of texts. Sums of logarithms are kept as the bits of doubles."""
+    rows, text = np.unique(row >> 1, return_inverse=True)
+    size = np.bincount(text)
+    known = np.bincount(text, weights=c0 > 0).astype(np.int64)
+    logs = [np.bincount(text, weights=np.log10(x)).view(np.int64) for x in ((c0 + 0.5) / norm, p)]
+    return pa.Table.from_batches([_dealt(_spread(rows, groups), [rows, size, known, *logs])])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """One row for each text of a group."""
+    rows, size, known, *logs = _gathered(table, 5)
+    rows, text = np.unique(rows, return_inverse=True)
+    whole = [np.bincount(text, weights=x).astype(np.int64) for x in (size, known)]
+    whole += [np.bincount(text, weights=x.view(np.float64)) for x in logs]
+    return pa.table([rows, *whole], names=["row", *_SUMS])
+
+
+_SUMS = ["n_tokens", "n_known", "base_score", "score"]
+_SUMMED = "row long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _scored(head, norm: float, total: int, groups: int):
+    """Sums of texts over the tokens of a bucket: all tokens after the same one are here."""
+
+    def run(table: pa.Table) -> pa.Table:
+        counts = head.value
+        row, more, *words = _gathered(table)
+        c0, words = _own_counts(counts, more, words)
+        p = _deeper(words, row & 1, (c0 + 0.5) / norm, range(1, DEPTH + 1), total)
+        return _sums(row, c0, p, norm, groups)
+
+    return run
+
+
+def _own_counts(counts: np.ndarray, more: np.ndarray, words: list[np.ndarray]):
+    outside = len(counts)
+    c0 = np.where((words[0] >= 0) & (words[0] < outside), counts[np.clip(words[0], 0, outside - 1)], more)
+    return c0, _small(words, outside)
+
+
+def _counted_pairs(head, norm: float, buckets: int):
+    """Tokens after frequent ones with the count of both, by the two before, and what the contexts add up to.
+
+    All tokens with the same one before are here.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        counts = head.value
+        row, more, *words = _gathered(table)
+        c0, small = _own_counts(counts, more, words)
+        context = small[1]
+        pair, c, _, _, sums = _counts_after(context, small[0], row & 1, (c0 + 0.5) / norm)
+        columns = [row, more, *words, c.astype(np.int64)[pair]]
+        dealt = _dealt(_spread(_pair(words[1], words[2]), buckets), columns)
+        each = np.unique(context)
+        none = pa.nulls(len(each))
+        of = [pa.array(x[each]) for x in sums]
+        tables = [
+            pa.Table.from_batches([dealt]),
+            pa.table([none.cast(pa.int64()), none.cast(pa.binary()), pa.array(each), *of], names=["bucket", "chunk", "w1", "n", "t", "s"]),
+        ]
+        return pa.concat_tables(tables, promote_options="default")
+
+    return run, f"{_CHUNK}, w1 long, n double, t double, s double"
+
+
+def _scored_after_common(head, contexts, norm: float, total: int, groups: int):
+    """The same as ``_scored`` for tokens after frequent ones: all after the same two are here."""
+
+    def run(table: pa.Table) -> pa.Table:
+        counts, sums = head.value, contexts.value
+        row, more, *words, c = _gathered(table, _COLUMNS + 1)
+        c0, words = _own_counts(counts, more, words)
+        at = np.searchsorted(sums[0], words[1])
+        p = _smoothed(c, (c0 + 0.5) / norm, *(x[at] for x in sums[1:]), total)
+        p = _deeper(words, row & 1, p, range(2, DEPTH + 1), total)
+        return _sums(row, c0, p, norm, groups)
+
+    return run
 
 
 def _score_all_contexts(
-    docs: DataFrame, held_out: str, rarer: DataFrame, most: list, ends: int, total: int,
-    kinds: int, parts: int, hot: int,
-) -> DataFrame:
+    docs: DataFrame, held_out: str, most: list, ends: int, total: int, kinds: int, parts: int, hot: int
+) -> DataFrame:
     """Scores by the tree of all words and all contexts of up to ``DEPTH`` tokens.
 
     The contexts of a token end with the token before it, so the tree falls into parts by that token,
     which are worked on one after the other to bound the disk; in a part, tokens are dealt out by the
-    token before them. A context of one token with more than one of ``hot`` tokens is dealt out by the
-    next token, and then by the two before.
+    token before them, in buckets of about ``BUCKET`` tokens. A context of one token with more than one
+    of ``hot`` tokens, or more than ``TOGETHER``, is dealt out by the next token, and then by the two
+    before. Tokens outside the head are dealt out by themselves first, for their counts.
     """
     spark = docs.sparkSession
     broadcast = spark.sparkContext.broadcast
     words = [(END, ends), *[x for x in most if x[0] != END]]
     codes = {w: i for i, (w, _) in enumerate(words, 1)}
-    head = np.array([0, *(n for _, n in words)], np.int64)
+    counts = np.array([0, *(n for _, n in words)], np.int64)
     run, schema = _coded_rows(broadcast(codes), docs.schema["doc_id"].dataType.simpleString())
     own = docs.select("doc_id", F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), "text")
     coded = stage(own.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "coded")
+    rows, tokens = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets, groups = 1 + tokens // (parts * BUCKET), 1 + rows // GROUP
     # Behind the start of a text stand as many tokens as there are ends.
-    common = [i for i, n in enumerate([int(head[1]), *head[1:].tolist()]) if n * hot > total and i != 1]
-    rare = rarer.select(F.xxhash64("word").alias("w0"), F.col("n").alias("more"))
-    norm = F.lit(float(total + 0.5 * (kinds + 1)))
-    shared = broadcast(head)
-    texts = coded.select("row", ~F.col("held_out"), "words")
+    after = np.append(counts[1], counts[1:])
+    common = np.flatnonzero((after * hot > total) | (after > TOGETHER))
+    common = common[common != 1]
+    norm = float(total + 0.5 * (kinds + 1))
+    head, outside = broadcast(counts), len(counts)
+    texts = coded.select("row", (~F.col("held_out")).cast("int").alias("train"), "words")
+
+    with shuffles_dropped(spark):
+        others = texts.mapInArrow(_chunk_rows(outside, common, None, parts, buckets), _CHUNK)
+        counted = others.groupBy("bucket").applyInArrow(_counted_rare(outside, common, parts, buckets), _CHUNK)
+        rare = stage(counted, "rare")
 
     def tokens_of_part(part: int, often: bool) -> DataFrame:
-        frequent = texts.mapInArrow(*_positions(shared, common, part, parts, often, False))
-        others = texts.mapInArrow(*_positions(shared, common, part, parts, often, True)).join(rare, "w0", "left")
-        others = others.withColumn("c0", F.coalesce("more", F.lit(0).cast("long"))).drop("more")
-        return frequent.unionByName(others).withColumn("p", (F.col("c0") + F.lit(0.5)) / norm)
+        flow = 2 * part + often
+        frequent = texts.mapInArrow(_chunk_rows(outside, common, flow, parts, buckets), _CHUNK)
+        own = rare.where(F.col("bucket").between(flow * buckets, (flow + 1) * buckets - 1))
+        return frequent.unionByName(own.withColumn("bucket", F.col("bucket") - flow * buckets)).groupBy("bucket")
 
     sums = []
     for part in range(parts):
-        scored = _deeper(tokens_of_part(part, False).repartition("w1"), range(1, DEPTH + 1), total)
-        if common:
-            counted = tokens_of_part(part, True).repartition("w1", "w0").withColumn("c", _seen(["w1", "w0"]))
-            of_context = counted.groupBy("w1").agg(*[F.expr(v).alias(k) for k, v in _OF_CONTEXT.items()])
-            first = counted.join(F.broadcast(of_context), "w1").withColumn("p", _smoothed(total))
-            first = first.drop("c", *_OF_CONTEXT).repartition("w1", "w2")
-            scored = scored.unionByName(_deeper(first, range(2, DEPTH + 1), total))
-        by_row = scored.groupBy("row").agg(
-            F.count(F.lit(1)).alias("n_tokens"),
-            F.sum(F.when(F.col("c0") > 0, 1).otherwise(0)).alias("n_known"),
-            F.sum(F.log10((F.col("c0") + F.lit(0.5)) / norm)).alias("base_score"),
-            F.sum(F.log10("p")).alias("score"),
-        )
         with shuffles_dropped(spark):
-            sums.append(stage(by_row, "part"))
-    names = ["n_tokens", "n_known", "base_score", "score"]
-    whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+            scored = tokens_of_part(part, False).applyInArrow(_scored(head, norm, total, groups), _CHUNK)
+            sums.append(stage(scored.groupBy("bucket").applyInArrow(_summed, _SUMMED), "part"))
+            if not len(common):
+                continue
+            path = fresh_path(spark, "sums")
+            with stage_scope(spark):
+                pairs = stage(tokens_of_part(part, True).applyInArrow(*_counted_pairs(head, norm, buckets)), "pairs")
+                of = pairs.where("chunk is null").groupBy("w1").agg(*[F.sum(x).alias(x) for x in "nts"]).orderBy("w1")
+                contexts = broadcast([x.to_numpy() for x in of.toArrow().columns])
+                run = _scored_after_common(head, contexts, norm, total, groups)
+                scored = pairs.where("chunk is not null").groupBy("bucket").applyInArrow(run, _CHUNK)
+                scored.groupBy("bucket").applyInArrow(_summed, _SUMMED).write.parquet(path)
+            sums.append(spark.read.schema(_SUMMED).parquet(path))
+    whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in _SUMS])
     return coded.select("row", "doc_id", "held_out").join(whole, "row").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         "base_score", "score",
@@ -462,7 +649,7 @@ def score_documents(
         word, n = most[-1]
         rarer = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(word))))
     if frequent is None:
-        return _score_all_contexts(docs, held_out, rarer, most, head[END], total, kinds, parts, hot)
+        return _score_all_contexts(docs, held_out, most, head[END], total, kinds, parts, hot)
     own_symbols = dict([x for x in most if x[0] != END][:frequent]) | {END: head[END]}
     tree, symbols = fit_tree(training, own_symbols, total)
     once, twice = counts.agg(F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()
