@@ -49,7 +49,7 @@ COUNTED = 400_000
 #: Tokens whose contexts are sorted together.
 TOGETHER = 1 << 20
 #: Parts of the whole tree that are worked on one after the other.
-PARTS = 4
+PARTS = 2
 #: Tokens that one call works on, on average, and texts whose sums are added up together.
 BUCKET = 1 << 18
 GROUP = 1 << 12
@@ -275,13 +275,15 @@ def _score_rows(tree, symbols, head, others: OtherWords, depth: int, id_type: st
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
-    """Columns of one length as bytes: their first bytes, their second ones, ..., which compress well."""
-    return np.ascontiguousarray(np.stack(columns).astype(np.int64).view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)).tobytes()
+    """Columns of one length as bytes: this length, and what they hold in compressed form."""
+    whole = np.stack(columns).astype(np.int64, copy=False)
+    return whole.shape[1].to_bytes(8, "little") + pa.compress(whole, codec="lz4_raw", asbytes=True)
 
 
 def _unpacked(chunk: bytes, columns: int) -> np.ndarray:
-    planes = np.frombuffer(chunk, np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1)
-    return np.ascontiguousarray(planes).view(np.int64).reshape(columns, -1)
+    size = int.from_bytes(chunk[:8], "little")
+    whole = pa.decompress(memoryview(chunk)[8:], 8 * columns * size, codec="lz4_raw")
+    return np.frombuffer(whole, np.int64).reshape(columns, size)
 
 
 def _coded_rows(codes, id_type: str):
@@ -300,7 +302,7 @@ def _coded_rows(codes, id_type: str):
                 rare = np.flatnonzero(own < 0)
                 hashes = [digest(tokens[i], 42) for i in rare.tolist()]
                 own[rare] = np.array(hashes, np.uint64).view(np.int64)
-                words = [_packed([x]) for x in np.split(own, np.cumsum(sizes)[:-1])]
+                words = [x.tobytes() for x in np.split(own, np.cumsum(sizes)[:-1])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(sizes), pa.array(words, pa.binary())],
                     ["doc_id", "held_out", "n", "words"],
@@ -348,17 +350,17 @@ def _chunk_rows(outside: int, common: np.ndarray, flow: int | None, parts: int,
         waiting, size = [], 0
         for batch in batches:
             for row, train, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                waiting.append((2 * row + train, _unpacked(words, 1)[0]))
-                size += len(waiting[-1][1])
+                waiting.append((2 * row + train, words))
+                size += len(words) // 8
                 if size > TOGETHER:
                     yield deal(waiting)
                     waiting, size = [], 0
         if waiting:
             yield deal(waiting)
 
-    def deal(texts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        sizes = np.array([len(x) for _, x in texts], np.int64)
-        words = np.concatenate([x for _, x in texts])
+    def deal(texts: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        sizes = np.array([len(x) // 8 for _, x in texts], np.int64)
+        words = np.frombuffer(b"".join([x for _, x in texts]), np.int64)
         starts = np.cumsum(sizes) - sizes
         last = np.append(0, words[:-1])
         last[starts] = 0
@@ -568,7 +570,10 @@ def _score_all_contexts(
     counts = np.array([0, *(n for _, n in words)], np.int64)
     run, schema = _coded_rows(broadcast(codes), docs.schema["doc_id"].dataType.simpleString())
     own = docs.select("doc_id", F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), "text")
-    coded = stage(own.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "coded")
+    made = own.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    path = fresh_path(spark, "coded")
+    made.write.option("compression", "zstd").parquet(path)
+    coded = spark.read.schema(made.schema).parquet(path)
     rows, tokens = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets, groups = 1 + tokens // (parts * BUCKET), 1 + rows // GROUP
     # Behind the start of a text stand as many tokens as there are ends.

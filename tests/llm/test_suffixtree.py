@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,33 @@ def test_edge_rows(spark):
     untaught = suffixtree.score_documents(frame.withColumn("held_out", F.lit(True))).collect()
     assert all(r["train_tokens"] == r["n_known"] == 0 and np.isfinite(r["score"]) for r in untaught)
     assert suffixtree.score_documents(frame.limit(0)).count() == 0
+
+
+def test_tokens_are_dealt_out_in_chunks():
+    """A row that is shuffled holds the tokens of a bucket, not one token, and every token is in one of them."""
+    rng = np.random.default_rng(4)
+    texts = [rng.choice([1, 2, 3, 4, 5, -7, 10**15], 200) for _ in range(50)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(50)), pa.array([1, 0] * 25), pa.array([x.tobytes() for x in texts], pa.binary())],
+        ["row", "train", "words"],
+    )
+    parts, buckets, common, found = 2, 3, np.array([0, 2]), []
+    for flow in (None, *range(2 * parts)):
+        run = suffixtree._chunk_rows(6, common, flow, parts, buckets)
+        chunks = pa.Table.from_batches(run([batch]))
+        assert chunks.num_rows <= buckets
+        if chunks.num_rows:
+            found.append(np.stack(suffixtree._gathered(chunks)))
+    row, _, *words = np.concatenate(found, axis=1)
+    padded = [[0, 0, 0, *x.tolist()] for x in texts]
+    expected = [(2 * i + 1 - i % 2, *x[at - 3 : at + 1][::-1]) for i, x in enumerate(padded) for at in range(3, 203)]
+    assert sorted(zip(row.tolist(), *(w.tolist() for w in words))) == sorted(expected)
+
+
+def test_numbers_of_pairs():
+    rng = np.random.default_rng(5)
+    for high, low in ((9, 7), (1 << 40, 1 << 30)):
+        one, two = rng.integers(0, 9, 500) * (high // 9), rng.integers(0, 7, 500) * (low // 7)
+        number = suffixtree._numbered(one, two)
+        assert len(set(zip(number.tolist(), one.tolist(), two.tolist()))) == len(set(number.tolist()))
+        assert set(number.tolist()) == set(range(len(set(zip(one.tolist(), two.tolist())))))
