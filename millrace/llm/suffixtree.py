@@ -33,6 +33,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +50,9 @@ COUNTED = 400_000
 #: Tokens whose contexts are sorted together.
 TOGETHER = 1 << 20
 #: Parts of the whole tree that are worked on one after the other.
-PARTS = 2
+PARTS = 4
+#: Texts that are cut into words together.
+TEXTS = 2000
 #: Tokens that one call works on, on average, and texts whose sums are added up together.
 BUCKET = 1 << 18
 GROUP = 1 << 12
@@ -195,23 +198,38 @@ def fit_tree(
     return grow_tree(levels), symbols
 
 
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts, as ``words_of`` has them, and the number of words of each text."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, offsets = cut.flatten(), cut.offsets.to_numpy()
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[offsets - offsets[0]]
+    return words.filter(some).cast(pa.binary()), np.diff(before)
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words and, as the empty word, of ends."""
-    seen: Counter[bytes] = Counter()
+    seen = _counts([], [])
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(words_of(text))
-            seen[b""] += 1
-            if len(seen) > COUNTED:
-                yield _counts(seen)
-                seen = Counter()
-    yield _counts(seen)
-
-
-def _counts(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"]
-    )
+        for begin in range(0, batch.num_rows, TEXTS):
+            words, sizes = _cut(batch.column(0).slice(begin, TEXTS))
+            each = words.value_counts()
+            seen = pa.concat_tables([seen, _counts(each.field(0), each.field(1)), _counts([END], [len(sizes)])])
+            if seen.num_rows > 2 * COUNTED:
+                seen = _added_up(seen)
+                if seen.num_rows > COUNTED:
+                    yield from seen.to_batches()
+                    seen = seen.slice(0, 0)
+    yield from _added_up(seen).to_batches()
+
+
+def _counts(words, n) -> pa.Table:
+    return pa.table([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["word", "n"])
+
+
+def _added_up(counts: pa.Table) -> pa.Table:
+    sums = counts.group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return sums.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
 
 @dataclass
@@ -274,41 +292,99 @@ def _score_rows(tree, symbols, head, others: OtherWords, depth: int, id_type: st
     return run, f"{fields}, joint double, rare array<binary>"
 
 
-def _packed(columns: list[np.ndarray]) -> bytes:
-    """Columns of one length as bytes: this length, and what they hold in compressed form."""
-    whole = np.stack(columns).astype(np.int64, copy=False)
-    return whole.shape[1].to_bytes(8, "little") + pa.compress(whole, codec="lz4_raw", asbytes=True)
+_CODEC = "zstd"
 
 
-def _unpacked(chunk: bytes, columns: int) -> np.ndarray:
-    size = int.from_bytes(chunk[:8], "little")
-    whole = pa.decompress(memoryview(chunk)[8:], 8 * columns * size, codec="lz4_raw")
-    return np.frombuffer(whole, np.int64).reshape(columns, size)
+def _planes(columns: list[np.ndarray]) -> tuple[int, list[np.ndarray]]:
+    """The bytes of all columns by their place in a number, without those that are all zero; which they are."""
+    mask, planes = 0, []
+    for at, x in enumerate(columns):
+        used = int(np.bitwise_or.reduce(x)) & ((1 << 64) - 1)
+        split = x.view(np.uint8).reshape(-1, 8)
+        for byte in range(8):
+            if (used >> (8 * byte)) & 0xFF:
+                mask |= 1 << (8 * at + byte)
+                planes.append(np.ascontiguousarray(split[:, byte]))
+    return mask, planes
 
 
-def _coded_rows(codes, id_type: str):
-    """Each row with the codes of its tokens: the numbers of the head, and hashes of other words."""
+def _packed(columns: list[np.ndarray], first: np.ndarray) -> list[bytes]:
+    """Chunks that begin at the places ``first``: length, planes and first row, and the compressed planes.
+
+    The first column, the row, is held as the steps from one token to the next.
+    """
+    rows = columns[0][first]
+    steps = np.diff(columns[0], prepend=0)
+    steps[first] = 0
+    mask, planes = _planes([steps, *columns[1:]])
+    chunks = []
+    for i, j, row in zip(first.tolist(), [*first[1:].tolist(), len(steps)], rows.tolist()):
+        head = np.array([j - i, mask, row], np.int64).tobytes()
+        chunks.append(head + pa.compress(b"".join([x[i:j] for x in planes]), codec=_CODEC, asbytes=True))
+    return chunks
+
+
+def _unpacked(chunks: list[bytes], columns: int) -> list[np.ndarray]:
+    """Columns of all chunks, one behind the other."""
+    heads = np.array([np.frombuffer(x, np.int64, 3) for x in chunks], np.int64).reshape(-1, 3)
+    ends = np.cumsum(heads[:, 0])
+    first = ends - heads[:, 0]
+    whole = np.zeros((columns, int(heads[:, 0].sum()), 8), np.uint8)
+    for chunk, i, j, mask in zip(chunks, first.tolist(), ends.tolist(), heads[:, 1].tolist()):
+        places = [x for x in range(8 * columns) if (mask >> x) & 1]
+        size = j - i
+        planes = pa.decompress(memoryview(chunk)[24:], len(places) * size, codec=_CODEC)
+        for at, plane in zip(places, np.frombuffer(planes, np.uint8).reshape(len(places), size)):
+            whole[at // 8, i:j, at % 8] = plane
+    result = [x.view(np.int64).ravel() for x in whole]
+    steps = np.cumsum(result[0])
+    result[0] = steps + np.repeat(heads[:, 2] - steps[first], heads[:, 0])
+    return result
+
+
+def _ended(of_words: np.ndarray, ends: np.ndarray, of_end) -> np.ndarray:
+    """Values of words, with that of the end before each of the places ``ends``."""
+    result = np.empty(len(of_words) + len(ends), of_words.dtype)
+    last = np.zeros(len(result), bool)
+    last[ends - 1] = True
+    result[last], result[~last] = of_end, of_words
+    return result
+
+
+def _coded_rows(words_by_code, head, norm: float, id_type: str):
+    """Each row with the codes of its tokens: numbers from 1 for the head, whose first is the end, and hashes.
+
+    Beside them the sums of the base over the tokens of the head.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = codes.value
+        known, counts = pa.array(words_by_code.value, pa.binary()), head.value
+        logs = np.log10((counts + 0.5) / norm)
+        end = [1, int(counts[1] > 0), logs[1]]
         digest = xxhash.xxh64_intdigest
         for whole in batches:
-            for begin in range(0, whole.num_rows, 500):
-                batch = whole.slice(begin, 500)
-                texts = [words_of(t) for t in batch.column(2).to_pylist()]
-                sizes = np.array([len(w) + 1 for w in texts], np.int64)
-                tokens = [t for words in texts for t in (*words, END)]
-                own = np.fromiter(map(known.get, tokens, repeat(-1)), np.int64, len(tokens))
-                rare = np.flatnonzero(own < 0)
-                hashes = [digest(tokens[i], 42) for i in rare.tolist()]
-                own[rare] = np.array(hashes, np.uint64).view(np.int64)
-                words = [x.tobytes() for x in np.split(own, np.cumsum(sizes)[:-1])]
+            for begin in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(begin, TEXTS)
+                words, sizes = _cut(batch.column(2))
+                code = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64) + 1
+                of_code = [(counts > 0).astype(np.int64)[code], logs[code]]
+                rare = np.flatnonzero(code == 0)
+                for x in of_code:
+                    x[rare] = 0
+                others = words.take(pa.array(rare)).dictionary_encode()
+                hashes = [digest(x, 42) for x in others.dictionary.to_pylist()]
+                code[rare] = np.array(hashes, np.uint64).view(np.int64)[others.indices.to_numpy()]
+                sizes = sizes + 1
+                ends = np.cumsum(sizes)
+                own, *sums = [_ended(x, ends, of_end) for x, of_end in zip([code, *of_code], end)]
+                words = [x.tobytes() for x in np.split(own, ends[:-1])]
+                sums = [pa.array(np.add.reduceat(x, ends - sizes)) for x in sums]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(sizes), pa.array(words, pa.binary())],
-                    ["doc_id", "held_out", "n", "words"],
+                    [batch.column(0), batch.column(1), pa.array(sizes), *sums, pa.array(words, pa.binary())],
+                    ["doc_id", "held_out", "n", "known", "base", "words"],
                 )
 
-    return run, f"doc_id {id_type}, held_out boolean, n long, words binary"
+    return run, f"doc_id {id_type}, held_out boolean, n long, known long, base double, words binary"
 
 
 #: Tokens go in chunks. Their columns: twice the row, plus one in training; the count of the token if it is
@@ -333,10 +409,13 @@ def _pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 def _dealt(bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
     """A chunk for each bucket."""
+    if len(bucket) and bucket.max() < 1 << 16:
+        bucket = bucket.astype(np.uint16)  # sorted by digits
     order = np.argsort(bucket, kind="stable")
-    columns = [x[order] for x in columns]
-    each, first = np.unique(bucket[order], return_index=True)
-    chunks = [_packed([x[i:j] for x in columns]) for i, j in zip(first, [*first[1:], len(order)])]
+    bucket = bucket[order]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    each = bucket[first].astype(np.int64)
+    chunks = _packed([x[order] for x in columns], first)
     return pa.RecordBatch.from_arrays([pa.array(each, pa.int64()), pa.array(chunks, pa.binary())], ["bucket", "chunk"])
 
 
@@ -394,16 +473,21 @@ def _buckets(last: np.ndarray, own: np.ndarray, often: np.ndarray | int, buckets
 
 
 def _gathered(table: pa.Table, columns: int = _COLUMNS) -> list[np.ndarray]:
-    return list(np.concatenate([_unpacked(x, columns) for x in table.column("chunk").to_pylist()], axis=1))
+    return _unpacked(table.column("chunk").to_pylist(), columns)
 
 
 def _counted_rare(outside: int, common: np.ndarray, parts: int, buckets: int):
-    """Tokens outside the head with their counts, by flow and bucket: all of a word are here."""
+    """Tokens outside the head with their counts, by flow and bucket: all of a word are here.
+
+    In the place of their hashes they get numbers from ``outside`` on.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         row, _, own, *before = _gathered(table)
         kind = np.unique(own, return_inverse=True)[1]
         count = np.bincount(kind, weights=row & 1).astype(np.int64)[kind]
+        # Tokens are compared with tokens and those before with those before: a small number tells as much.
+        own = outside + kind * buckets + table.column("bucket")[0].as_py()
         flow = _flows(before[0], common, outside, parts)
         bucket = _buckets(before[0], own, flow % 2, buckets)
         return pa.Table.from_batches([_dealt(flow * buckets + bucket, [row, count, own, *before])])
@@ -470,26 +554,29 @@ def _deeper(words: list[np.ndarray], train: np.ndarray, p: np.ndarray, depths: r
     return p
 
 
-def _sums(row, c0, p, norm: float, groups: int) -> pa.Table:
-    """Sums of each text, in chunks by groups of texts. Sums of logarithms are kept as the bits of doubles."""
+def _sums(row, c0, rare, p, norm: float, groups: int) -> pa.Table:
+    """Sums of each text, in chunks by groups of texts: those of the base over tokens outside the head alone.
+
+    Sums of logarithms are kept as the bits of doubles.
+    """
     rows, text = np.unique(row >> 1, return_inverse=True)
-    size = np.bincount(text)
-    known = np.bincount(text, weights=c0 > 0).astype(np.int64)
-    logs = [np.bincount(text, weights=np.log10(x)).view(np.int64) for x in ((c0 + 0.5) / norm, p)]
-    return pa.Table.from_batches([_dealt(_spread(rows, groups), [rows, size, known, *logs])])
+    known = np.bincount(text, weights=rare & (c0 > 0)).astype(np.int64)
+    logs = [np.where(rare, np.log10((c0 + 0.5) / norm), 0.0), np.log10(p)]
+    logs = [np.bincount(text, weights=x).view(np.int64) for x in logs]
+    return pa.Table.from_batches([_dealt(_spread(rows, groups), [rows, known, *logs])])
 
 
 def _summed(table: pa.Table) -> pa.Table:
     """One row for each text of a group."""
-    rows, size, known, *logs = _gathered(table, 5)
+    rows, known, *logs = _gathered(table, 4)
     rows, text = np.unique(rows, return_inverse=True)
-    whole = [np.bincount(text, weights=x).astype(np.int64) for x in (size, known)]
+    whole = [np.bincount(text, weights=known).astype(np.int64)]
     whole += [np.bincount(text, weights=x.view(np.float64)) for x in logs]
     return pa.table([rows, *whole], names=["row", *_SUMS])
 
 
-_SUMS = ["n_tokens", "n_known", "base_score", "score"]
-_SUMMED = "row long, n_tokens long, n_known long, base_score double, score double"
+_SUMS = ["n_known", "base_score", "score"]
+_SUMMED = "row long, n_known long, base_score double, score double"
 
 
 def _scored(head, norm: float, total: int, groups: int):
@@ -500,7 +587,7 @@ def _scored(head, norm: float, total: int, groups: int):
         row, more, *words = _gathered(table)
         c0, words = _own_counts(counts, more, words)
         p = _deeper(words, row & 1, (c0 + 0.5) / norm, range(1, DEPTH + 1), total)
-        return _sums(row, c0, p, norm, groups)
+        return _sums(row, c0, words[0] >= len(counts), p, norm, groups)
 
     return run
 
@@ -547,7 +634,7 @@ def _scored_after_common(head, contexts, norm: float, total: int, groups: int):
         at = np.searchsorted(sums[0], words[1])
         p = _smoothed(c, (c0 + 0.5) / norm, *(x[at] for x in sums[1:]), total)
         p = _deeper(words, row & 1, p, range(2, DEPTH + 1), total)
-        return _sums(row, c0, p, norm, groups)
+        return _sums(row, c0, words[0] >= len(counts), p, norm, groups)
 
     return run
 
@@ -566,9 +653,10 @@ def _score_all_contexts(
     spark = docs.sparkSession
     broadcast = spark.sparkContext.broadcast
     words = [(END, ends), *[x for x in most if x[0] != END]]
-    codes = {w: i for i, (w, _) in enumerate(words, 1)}
     counts = np.array([0, *(n for _, n in words)], np.int64)
-    run, schema = _coded_rows(broadcast(codes), docs.schema["doc_id"].dataType.simpleString())
+    norm = float(total + 0.5 * (kinds + 1))
+    head, outside = broadcast(counts), len(counts)
+    run, schema = _coded_rows(broadcast([w for w, _ in words]), head, norm, docs.schema["doc_id"].dataType.simpleString())
     own = docs.select("doc_id", F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), "text")
     made = own.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
     path = fresh_path(spark, "coded")
@@ -580,8 +668,6 @@ def _score_all_contexts(
     after = np.append(counts[1], counts[1:])
     common = np.flatnonzero((after * hot > total) | (after > TOGETHER))
     common = common[common != 1]
-    norm = float(total + 0.5 * (kinds + 1))
-    head, outside = broadcast(counts), len(counts)
     texts = coded.select("row", (~F.col("held_out")).cast("int").alias("train"), "words")
 
     with shuffles_dropped(spark):
@@ -612,9 +698,10 @@ def _score_all_contexts(
                 scored.groupBy("bucket").applyInArrow(_summed, _SUMMED).write.parquet(path)
             sums.append(spark.read.schema(_SUMMED).parquet(path))
     whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in _SUMS])
-    return coded.select("row", "doc_id", "held_out").join(whole, "row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-        "base_score", "score",
+    return coded.select("row", "doc_id", "held_out", "n", "known", "base").join(whole, "row").select(
+        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.col("n_known")).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("base_score")).alias("base_score"),
+        "score",
     )
 
 
@@ -639,10 +726,9 @@ def score_documents(
         raise ValueError(f"frequent must lie between 0 and {min(FREQUENT, head_words)}")
     spark = docs.sparkSession
     training = docs.where(~F.coalesce(F.col(held_out), F.lit(False))).select("text")
-    counts = stage(
-        training.mapInArrow(_word_rows, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
-        "words",
-    )
+    words = training.mapInArrow(_word_rows, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    with shuffles_dropped(spark):
+        counts = stage(words, "words")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     norm = float(np.log10(total + 0.5 * (kinds + 1)))
     order = [F.desc("n"), F.col("word")]

@@ -245,3 +245,47 @@ def test_numbers_of_pairs():
         number = suffixtree._numbered(one, two)
         assert len(set(zip(number.tolist(), one.tolist(), two.tolist()))) == len(set(number.tolist()))
         assert set(number.tolist()) == set(range(len(set(zip(one.tolist(), two.tolist())))))
+
+
+def test_chunks_take_few_bytes():
+    """A shuffled token takes a fraction of its six columns, and they come back whole."""
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(1, 60_000, 400) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(1 << 33, (1 << 33) + 500)), pa.array([1] * 500), pa.array([x.tobytes() for x in texts], pa.binary())],
+        ["row", "train", "words"],
+    )
+    run = suffixtree._chunk_rows(60_000, np.array([0]), 0, 1, 20)
+    chunks = pa.Table.from_batches(run([batch]))
+    row, _, *words = suffixtree._gathered(chunks)
+    padded = [np.append([0, 0, 0], x) for x in texts]
+    expected = [((1 << 34) + 2 * i + 1, *x[at - 3 : at + 1][::-1]) for i, x in enumerate(padded) for at in range(4, 403)]
+    assert sorted(zip(row.tolist(), *(w.tolist() for w in words))) == sorted(expected)
+    assert sum(len(x) for x in chunks.column("chunk").to_pylist()) < 12 * len(row)
+
+
+def test_chunks_hold_any_number():
+    rng = np.random.default_rng(8)
+    for size in (0, 1, 2, 500):
+        columns = [rng.integers(-(1 << 62), 1 << 62, size) * 2 for _ in range(7)]
+        columns[3] = np.full(size, -(1 << 63))
+        columns[4] = np.zeros(size, np.int64)
+        bucket = rng.integers(0, 5, size) * (1 << 40)
+        chunks = pa.Table.from_batches([suffixtree._dealt(bucket, columns)])
+        assert sorted(chunks.column("bucket").to_pylist()) == sorted(set(bucket.tolist()))
+        found = suffixtree._gathered(chunks, 7)
+        order = np.argsort(bucket, kind="stable")
+        assert all((x == y[order]).all() for x, y in zip(found, columns))
+
+
+def test_words_are_cut_in_batches_as_one_by_one():
+    rng = random.Random(9)
+    pieces = [" ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "a", "B", "Z", "é", "\x1c", "\x85", "\xa0", "\0", "İ", "x"]
+    texts = [None, "", " ", " a ", *("".join(rng.choices(pieces, k=rng.randrange(30))) for _ in range(500))]
+    words, sizes = suffixtree._cut(pa.array(["left out", *texts]).slice(1))
+    expected = [suffixtree.words_of(t) for t in texts]
+    assert words.to_pylist() == [w for own in expected for w in own]
+    assert sizes.tolist() == [len(own) for own in expected]
+    rows = suffixtree._word_rows(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    counts = pa.Table.from_batches(rows).to_pydict()
+    assert dict(zip(counts["word"], counts["n"])) == Counter(w for own in expected for w in (*own, b""))
