@@ -705,6 +705,25 @@ def _score_all_contexts(
     )
 
 
+def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+    """The first ``limit`` words by falling counts, then by the words.
+
+    Every partition would send as many to the driver; the numbers of words by count tell the count of the
+    last one first, so only words of that count can be too many.
+    """
+    by_count = sorted(counts.groupBy("n").count().toArrow().to_pylist(), key=lambda r: -r["n"])
+    ahead, least = 0, 1
+    for r in by_count:
+        least = r["n"]
+        if ahead + r["count"] >= limit:
+            break
+        ahead += r["count"]
+    order = [F.desc("n"), F.col("word")]
+    rows = counts.where(F.col("n") > least).collect() if ahead else []
+    rows += counts.where(F.col("n") == least).orderBy(*order).limit(limit - ahead).collect()
+    return sorted([(bytes(r["word"]), r["n"]) for r in rows], key=lambda x: (-x[1], x[0]))
+
+
 def score_documents(
     docs: DataFrame,
     held_out: str = "held_out",
@@ -731,8 +750,7 @@ def score_documents(
         counts = stage(words, "words")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     norm = float(np.log10(total + 0.5 * (kinds + 1)))
-    order = [F.desc("n"), F.col("word")]
-    most = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(*order).limit(head_words).collect()]
+    most = _most_frequent(counts, head_words)
     ends = counts.where(F.length("word") == 0).first()
     head = dict(most) | {END: ends["n"] if ends else 0}
     rarer = counts

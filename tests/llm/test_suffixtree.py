@@ -289,3 +289,13 @@ def test_words_are_cut_in_batches_as_one_by_one():
     rows = suffixtree._word_rows(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
     counts = pa.Table.from_batches(rows).to_pydict()
     assert dict(zip(counts["word"], counts["n"])) == Counter(w for own in expected for w in (*own, b""))
+
+
+def test_most_frequent_words(spark):
+    rng = random.Random(10)
+    counts = [(f"w{i}".encode(), rng.randrange(1, 9)) for i in range(60)]
+    frame = spark.createDataFrame(counts, "word binary, n long").repartition(4)
+    order = sorted(counts, key=lambda x: (-x[1], x[0]))
+    for limit in (0, 1, 7, 30, 59, 60, 100):
+        assert suffixtree._most_frequent(frame, limit) == order[:limit]
+    assert suffixtree._most_frequent(frame.limit(0), 5) == []
