@@ -681,21 +681,26 @@ def _score_all_contexts(
         own = rare.where(F.col("bucket").between(flow * buckets, (flow + 1) * buckets - 1))
         return frequent.unionByName(own.withColumn("bucket", F.col("bucket") - flow * buckets)).groupBy("bucket")
 
+    def added_up(scored: DataFrame) -> DataFrame:
+        # Each file costs executors a process that sets its mode: few files, in proportion to the input.
+        return scored.groupBy("bucket").applyInArrow(_summed, _SUMMED).coalesce(1 + rows // (8 * GROUP))
+
     sums = []
     for part in range(parts):
         with shuffles_dropped(spark):
             scored = tokens_of_part(part, False).applyInArrow(_scored(head, norm, total, groups), _CHUNK)
-            sums.append(stage(scored.groupBy("bucket").applyInArrow(_summed, _SUMMED), "part"))
+            sums.append(stage(added_up(scored), "part"))
             if not len(common):
                 continue
             path = fresh_path(spark, "sums")
             with stage_scope(spark):
-                pairs = stage(tokens_of_part(part, True).applyInArrow(*_counted_pairs(head, norm, buckets)), "pairs")
+                counted = tokens_of_part(part, True).applyInArrow(*_counted_pairs(head, norm, buckets))
+                pairs = stage(counted.coalesce(1 + tokens // (2 * parts * TOGETHER)), "pairs")
                 of = pairs.where("chunk is null").groupBy("w1").agg(*[F.sum(x).alias(x) for x in "nts"]).orderBy("w1")
                 contexts = broadcast([x.to_numpy() for x in of.toArrow().columns])
                 run = _scored_after_common(head, contexts, norm, total, groups)
                 scored = pairs.where("chunk is not null").groupBy("bucket").applyInArrow(run, _CHUNK)
-                scored.groupBy("bucket").applyInArrow(_summed, _SUMMED).write.parquet(path)
+                added_up(scored).write.parquet(path)
             sums.append(spark.read.schema(_SUMMED).parquet(path))
     whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in _SUMS])
     return coded.select("row", "doc_id", "held_out", "n", "known", "base").join(whole, "row").select(
